@@ -10,7 +10,7 @@ from tallymark.functions.identity import (
     valid_case_id,
     valid_idempotency_key,
 )
-from tallymark.functions.money import fee_kobo, format_naira, naira, rate, to_ngn_kobo
+from tallymark.functions.money import fee_kobo, format_naira, naira, rate, round_to, to_ngn_kobo
 from tallymark.functions.status import cleaned_note, drifted, effective_status, status_rank
 
 __all__ = [
@@ -26,6 +26,7 @@ __all__ = [
     "payout_id",
     "publisher_id",
     "rate",
+    "round_to",
     "run_key",
     "status_rank",
     "to_ngn_kobo",

@@ -56,6 +56,13 @@ def to_ngn_kobo(kobo: Column, currency: Column, fx: Column) -> Column:
     return F.when(currency == "USD", converted).otherwise(kobo)
 
 
+def round_to(value: Column, digits: int) -> Column:
+    """Round the scaled double, half away from zero, as SQL engines on doubles do. Rounding
+    the decimal text instead would differ where a tie is not a double."""
+    scale = F.lit(float(10**digits))
+    return F.round(value * scale) / scale
+
+
 def rate(part: Column, whole: Column, digits: int) -> Column:
     """Guarded ratio: null when there is nothing to divide by."""
-    return F.round(F.try_divide(part.cast("double"), whole.cast("double")), digits)
+    return round_to(F.try_divide(part.cast("double"), whole.cast("double")), digits)

@@ -35,7 +35,7 @@ from tallymark.schemas import (
 from tallymark.sources.tables import materialize
 
 STATES = (UNTOUCHED, *ANALYST_STATUSES)
-FAN = 256
+FAN = 1024
 
 
 def transition_table(spark: SparkSession) -> DataFrame:

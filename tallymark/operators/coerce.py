@@ -78,29 +78,27 @@ def coerce(messages: DataFrame, schema: StructType) -> DataFrame:
 
     payload = F.coalesce(F.col("value"), F.lit(b""))
     # Wrapped in an array, text after the document makes the whole thing invalid.
+    docs = F.from_json(
+        F.concat(F.lit("["), "_text", F.lit("]")), f"array<{variants.simpleString()}>"
+    )
     parsed = (
         messages.withColumn("_null", F.col("value").isNull())
         .withColumn("value", payload)
         .withColumn("_utf8", F.is_valid_utf8(F.col("value").cast("string")))
         .withColumn("_text", F.when(F.col("_utf8"), F.col("value").cast("string")))
-        .withColumn(
-            "_docs",
-            F.from_json(
-                F.concat(F.lit("["), "_text", F.lit("]")), f"array<{variants.simpleString()}>"
-            ),
-        )
+        .withColumn("_docs", docs)
         .withColumn("_doc", F.when(F.size("_docs") == 1, F.get("_docs", F.lit(0))))
     )
-    raws = {f.name: F.col("_doc")[f.name] for f in fields}
-    kinds = parsed.withColumn(
-        "_kind", F.struct(*[F.schema_of_variant(raws[f.name]).alias(f.name) for f in fields])
-    )
-    kind = {f.name: F.col("_kind")[f.name] for f in fields}
-    typed = kinds.withColumn(
-        "record",
-        F.struct(*[_value(raws[f.name], kind[f.name], f.dataType).alias(f.name) for f in fields]),
+    kind = {f.name: F.col(f"_kind_{f.name}") for f in fields}
+    value = {f.name: F.col(f"_value_{f.name}") for f in fields}
+    typed = parsed.withColumns(
+        {f"_kind_{f.name}": F.schema_of_variant(F.col("_doc")[f.name]) for f in fields}
+    ).withColumns(
+        {
+            f"_value_{f.name}": _value(F.col("_doc")[f.name], kind[f.name], f.dataType)
+            for f in fields
+        }
     )
-    value = {f.name: F.col("record")[f.name] for f in fields}
 
     looks_like_object = F.regexp_replace(F.col("_text"), r"\A\s+", "").startswith("{")
     faults = [_fault(kind[f.name], value[f.name], f.dataType) for f in fields]
@@ -122,8 +120,12 @@ def coerce(messages: DataFrame, schema: StructType) -> DataFrame:
         )
         .otherwise(_first([*times, *faults, F.when(missing, "MissingRequired")]))
     )
-    return typed.withColumn("error_type", error).drop(
-        "_null", "_utf8", "_text", "_docs", "_doc", "_kind"
+    record = F.struct(*[value[f.name].alias(f.name) for f in fields])
+    # The one-element explode is a fence. Without it the optimizer pushes a later filter on
+    # error_type below the parse and evaluates the whole parse once more per reference.
+    outcome = F.explode(F.array(F.struct(record.alias("record"), error.alias("error_type"))))
+    return typed.select(*messages.columns, outcome.alias("_outcome")).select(
+        *messages.columns, "_outcome.record", "_outcome.error_type"
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.functions import rate
+from tallymark.functions import rate, round_to
 from tallymark.schemas import FAILURE_REASONS
 
 
@@ -92,7 +92,7 @@ def mart_merchant_daily(stg_tx: DataFrame) -> DataFrame:
         F.sum(F.when(success, fee)).alias("fees_kobo"),
         F.sum(F.when(success, amount - fee)).alias("net_successful_kobo"),
         F.count_distinct("customer_id").alias("unique_customers"),
-        F.round(F.avg("arrival_lag_seconds"), 1).alias("avg_arrival_lag_seconds"),
+        round_to(F.avg("arrival_lag_seconds"), 1).alias("avg_arrival_lag_seconds"),
         F.max("arrival_lag_seconds").alias("max_arrival_lag_seconds"),
     )
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymark.functions import naira
+from tallymark.functions import naira, round_to
 
 UNSETTLED = ("missing_settlement", "unverified_source")
 OFF_AMOUNT = ("short_paid", "partial_settlement", "overpaid")
@@ -21,7 +21,7 @@ def _with_share(counts: DataFrame, count: str, digits: int) -> DataFrame:
     """Add each row's percentage of the total count."""
     total = F.sum(count).over(Window.partitionBy())
     share = F.col(count) * F.lit(100.0) / total
-    return counts.withColumn("pct", F.round(share, digits))
+    return counts.withColumn("pct", round_to(share, digits))
 
 
 # --- Transactions -------------------------------------------------------------------
@@ -75,7 +75,7 @@ def payout_summary(fct_stl: DataFrame) -> DataFrame:
     average = F.try_divide(
         F.col("settlement_lines").cast("double"), F.col("payout_batches").cast("double")
     )
-    return totals.withColumn("avg_lines_per_batch", F.round(average, 1))
+    return totals.withColumn("avg_lines_per_batch", round_to(average, 1))
 
 
 def orphan_count(fct_stl: DataFrame) -> DataFrame:
@@ -184,7 +184,7 @@ def bucket_summary(recon: DataFrame) -> DataFrame:
         recon.groupBy("reconciliation_bucket")
         .agg(
             F.count("*").alias("transactions"),
-            F.round(millions, 2).alias("outstanding_ngn_millions"),
+            round_to(millions, 2).alias("outstanding_ngn_millions"),
         )
         .orderBy(F.desc("transactions"), "reconciliation_bucket")
     )

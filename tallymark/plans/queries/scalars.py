@@ -163,7 +163,7 @@ register(
         F.greatest(F.lit(0).cast("bigint"), -_C("settlement_variance_kobo")).alias("short_by"),
         F.least(_C("expected_net_kobo"), _C("settled_net_kobo")).alias("covered"),
         F.length("case_id").cast("bigint").alias("id_length"),
-        F.round(_C("expected_net_kobo") / F.lit(1e6), 2).alias("millions"),
+        fn.round_to(_C("expected_net_kobo") / F.lit(1e6), 2).alias("millions"),
     ),
     sql(
         "select transaction_ref, abs(settlement_variance_kobo) as size,"
