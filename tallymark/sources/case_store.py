@@ -65,7 +65,7 @@ class CaseStore:
         state = self._state()
         if state["log"] is None:
             return self.spark.createDataFrame([], nullable(CASE_ACTION))
-        schema = nullable(CASE_ACTION).add("segment", "int")
+        schema = nullable(CASE_ACTION).add("segment", "integer")
         rows = self.spark.read.schema(schema).parquet(f"{self.root}/{state['log']}")
         return rows.where(F.col("segment") < state["segments"]).select(*CASE_ACTION.names)
 

@@ -84,7 +84,13 @@ def write_marker(spark: SparkSession, folder: str, text: str) -> None:
 def read_marker(spark: SparkSession, folder: str) -> str | None:
     if not path_exists(spark, f"{folder}/{MARKER}"):
         return None
-    return spark.read.text(f"{folder}/{MARKER}").first()["value"]
+    fs, conf = _hadoop(spark)
+    target = fs.Path(f"{folder}/{MARKER}")
+    stream = target.getFileSystem(conf).open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def write_version(df: DataFrame, path: str, month: bool = False) -> int:

@@ -78,7 +78,7 @@ def live_snapshot(spark: SparkSession, out: str) -> DataFrame:
     schema = StructType(list(TRANSACTION_EVENT.fields)).add("successful_at", "timestamp")
     if not path_exists(spark, out):
         return spark.createDataFrame([], schema)
-    rows = spark.read.schema(schema.add("seq", "bigint")).parquet(out)
+    rows = spark.read.schema(schema.add("seq", "long")).parquet(out)
     rest = [c for c in names if c != "transaction_ref"]
     return (
         rows.groupBy("transaction_ref")
