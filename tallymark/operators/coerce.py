@@ -43,7 +43,7 @@ def _value(raw: Column, kind: Column, dtype: DataType) -> Column:
     if isinstance(dtype, StringType):
         return F.when(kind == "STRING", F.try_variant_get(raw, "$", "string"))
     if isinstance(dtype, (LongType, IntegerType)):
-        whole = (kind == "BIGINT") | kind.rlike(r"\ADECIMAL\(\d+,0\)\z")
+        whole = (kind == "BIGINT") | (kind.startswith("DECIMAL") & kind.endswith(",0)"))
         return F.when(whole, F.try_variant_get(raw, "$", dtype.simpleString()))
     if isinstance(dtype, DoubleType):
         number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import logging
 import time
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -13,7 +15,7 @@ from tallymark.operators import checks, marts, staging
 from tallymark.operators.reconcile import reconcile
 from tallymark.session import use_utc
 from tallymark.sources.case_store import CaseStore
-from tallymark.sources.publish import MARTS, publish_all, published
+from tallymark.sources.publish import MARTS, publish_all, published, read_marker, write_marker
 from tallymark.sources.tables import read_staged, write_staged
 
 log = logging.getLogger(__name__)
@@ -45,6 +47,14 @@ def stage(raw: DataFrame, dataset: str, root: str) -> dict[str, int]:
     return {"raw": rows_in, "staged": rows_out}
 
 
+def staged_root(spark: SparkSession, root: str) -> str:
+    """Folder of the last completed staging."""
+    version = read_marker(spark, f"{root}/staged")
+    if version is None:
+        raise FileNotFoundError(f"nothing has been staged under {root}")
+    return f"{root}/staged/{version}"
+
+
 def build_marts(stg_tx: DataFrame, stg_stl: DataFrame) -> dict[str, DataFrame]:
     return {
         "fct_transactions": marts.fct_transactions(stg_tx),
@@ -62,8 +72,8 @@ def run(
     root: str,
     run_at: str,
 ) -> RunReport:
-    """Every step reads what the one before has written. Staged rows go to `root/staged`,
-    published marts to `root/marts`, cases to `root/cases`."""
+    """Every step reads what the one before has written. Staged rows go to a new
+    version under `root/staged`, marts to `root/marts`, cases to `root/cases`."""
     use_utc(spark)
     report = RunReport()
 
@@ -73,18 +83,21 @@ def run(
         report.seconds[name] = round(time.time() - started, 3)
         return result
 
-    staged_root, mart_root = f"{root}/staged", f"{root}/marts"
+    # a fresh folder per run: whoever still reads the last run's staged files keeps them
+    version = f"v={uuid.uuid4().hex}"
+    stage_to, mart_root = f"{root}/staged/{version}", f"{root}/marts"
+
+    raw = {"transactions": raw_transactions, "settlements": raw_settlements}
 
     def stage_both() -> None:
-        for dataset, raw in (
-            ("transactions", raw_transactions),
-            ("settlements", raw_settlements),
-        ):
-            report.staged[dataset] = stage(raw, dataset, staged_root)
+        with ThreadPoolExecutor(max_workers=len(raw)) as pool:
+            counts = pool.map(lambda name: stage(raw[name], name, stage_to), raw)
+            report.staged.update(zip(raw, counts, strict=True))
 
     timed("raw_to_staged", stage_both)
-    stg_tx = staging.stg_transactions(read_staged(spark, staged_root, "transactions"))
-    stg_stl = staging.stg_settlements(read_staged(spark, staged_root, "settlements"))
+    write_marker(spark, f"{root}/staged", version)
+    stg_tx = staging.stg_transactions(read_staged(spark, stage_to, "transactions"))
+    stg_stl = staging.stg_settlements(read_staged(spark, stage_to, "settlements"))
     report.tables = timed(
         "marts_and_publish", lambda: publish_all(build_marts(stg_tx, stg_stl), mart_root)
     )

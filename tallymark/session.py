@@ -18,6 +18,8 @@ def local_session(cores: int | str = 8, app: str = "tallymark", **conf: str) ->
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # small data: keep all cores busy; a cluster keeps the 64 MB default or more
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4MB")
         .config("spark.sql.shuffle.partitions", str(cores if cores != "*" else 8))
     )
     for key, value in conf.items():

@@ -7,7 +7,7 @@ from tallymark import functions as fn
 from tallymark.operators import ledger as lg
 from tallymark.operators import staging as st
 from tallymark.plans import fixtures
-from tallymark.plans.nightly import run
+from tallymark.plans.nightly import run, staged_root
 from tallymark.schemas import (
     BANK_CODES,
     PUBLISH_LEDGER,
@@ -26,7 +26,7 @@ from tallymark.sources.publish import (
     published,
     read_marker,
 )
-from tallymark.sources.tables import read_json, write_json, write_table
+from tallymark.sources.tables import read_json, read_staged, write_json, write_table
 from tallymark.sources.topics import file_messages
 from tallymark.streaming.drain import Dataset, drain
 from tallymark.streaming.live import dedupe_stream, live_snapshot, start_latest_status
@@ -173,8 +173,10 @@ def test_nightly_run_twice(spark, base, tmp_path):
         "ngn_amount_discrepancies",
         "usd_rows_with_variance",
     }
+    old = read_staged(spark, staged_root(spark, str(tmp_path)), "transactions")
     again = go("2024-01-17 00:00:00")
     assert again.cases == {"open": 115, "cleared": 0}
+    assert old.count() == 1500  # a reader of the first run's files is not disturbed
 
 
 # --- Ledger ----------------------------------------------------------------------------
