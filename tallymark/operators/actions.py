@@ -255,11 +255,13 @@ def apply_actions(
     candidates = candidates.withColumn("blocked", F.col("owner").isNotNull())
 
     while True:
-        judged = _judge(candidates.drop("owner"), fan)
+        judged = materialize(_judge(candidates.drop("owner"), fan), "judged")
         taken = judged.where(F.col("accepted")).select("idempotency_key", *OWNER)
         if recorded is not None:
             taken = taken.unionByName(recorded.select("idempotency_key", *OWNER))
-        verdict = judged.join(owners(taken), "idempotency_key", "left").withColumn(
+        # both sides are plain scans, so a key with most of the requests can be split
+        owned = materialize(owners(taken), "owners")
+        verdict = judged.join(owned, "idempotency_key", "left").withColumn(
             "now_blocked",
             F.coalesce(F.col("owner._action_id") < F.col("action_id"), F.lit(False)),
         )

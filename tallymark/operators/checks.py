@@ -116,11 +116,19 @@ def _unpivot(one_row: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return one_row.unpivot([], list(columns), "column_name", "violations")
 
 
+def _rows_without_match(rows: DataFrame, others: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is absent from `others`.
+
+    The search runs on distinct keys of both sides, so a key that owns most of the rows
+    costs one row per task. Only the rows of absent keys, normally none, are looked up.
+    """
+    absent = rows.select(key).distinct().join(others.select(key).distinct(), key, "anti")
+    return rows.join(absent, key, "semi")
+
+
 def check_relationship(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
-    """Child rows whose key no parent row has. The child side keeps its own partitions
-    splittable; the parent side is reduced to its keys first."""
-    keys = parent.select(key).distinct()
-    return child.where(F.col(key).isNotNull()).join(keys, key, "anti")
+    """Child rows whose key no parent row has."""
+    return _rows_without_match(child.where(F.col(key).isNotNull()), parent, key)
 
 
 def unique_rules(tables: dict[str, DataFrame]) -> DataFrame:
@@ -262,12 +270,8 @@ def mart_row_delta(recon: DataFrame, fct_tx: DataFrame, fct_stl: DataFrame) -> D
 
 
 def settled_without_line(recon: DataFrame, fct_stl: DataFrame) -> DataFrame:
-    lines = fct_stl.select("transaction_ref").distinct()
-    return (
-        recon.where(F.col("is_settled"))
-        .select("transaction_ref", "settlement_id")
-        .join(lines, "transaction_ref", "anti")
-    )
+    settled = recon.where(F.col("is_settled")).select("transaction_ref", "settlement_id")
+    return _rows_without_match(settled, fct_stl, "transaction_ref")
 
 
 def daily_ties_to_fact(daily: DataFrame, fct_tx: DataFrame) -> DataFrame:
