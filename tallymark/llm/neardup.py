@@ -370,3 +370,22 @@ def near_duplicates(
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
         "text_key",
     )
+
+
+def drop_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """One document of each component, all columns: that of the least doc_id. Of rows that
+    repeat doc_id and text one is kept, whichever."""
+    kept = near_duplicates(docs, percent).filter("kept")
+    kept = kept.groupBy("doc_id", "text_key").agg(F.count("*").alias("rows"))
+    kept = materialize(kept.withColumnRenamed("text_key", "key"), "kept")
+
+    def rows_of(chosen: DataFrame) -> DataFrame:
+        keyed = docs.withColumn("__key", text_key())
+        same = keyed["doc_id"].eqNullSafe(chosen["doc_id"]) & (keyed["__key"] == chosen["key"])
+        return keyed.join(chosen, same, "left_semi")
+
+    found = rows_of(kept.filter("rows = 1"))
+    repeated = kept.filter("rows > 1")
+    if not repeated.isEmpty():
+        found = found.unionByName(rows_of(repeated).dropDuplicates(["doc_id", "__key"]))
+    return found.drop("__key")

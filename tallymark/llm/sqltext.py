@@ -29,3 +29,80 @@ select d.doc_id, coalesce(n, 0) as n_shingles, coalesce(component_id, d.doc_id)
     d.doc_id = coalesce(component_id, d.doc_id) as kept
 from documents d left join placed using (doc_id)
 """
+
+_MARKS = ["<<SYS>>", "<</SYS>>", "[INST]", "[/INST]", "[ANS]", "</s>", "[ROLE]", "[/ROLE]", "[END]", "<s>"]
+
+#: Signs that escaping adds: one for each escape sign or control string.
+_SIGNS = " + ".join(
+    f"(length(text) - length(replace(text, '{mark}', ''))) // {len(mark)}" for mark in ["\\", *_MARKS]
+)
+
+CHATS = f"""
+with turns as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all values
+        (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+ordered as (
+    select *, row_number() over (partition by conv_id order by turn nulls last, role, text) as n,
+        length(text) + {_SIGNS} as escaped_chars
+    from turns),
+before as (
+    select *, lag(role, 1, '') over (partition by conv_id order by n) as previous from ordered)
+select conv_id, count(*) as n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' order by n)) as turns_sha256,
+    coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by n) filter (role = 'assistant'), '')) as loss_sha256,
+    (3 + sum(escaped_chars + case role when 'system' then 15 when 'user' then 13 when 'assistant' then 9
+        else 18 + length(role) end))::bigint as formatted_chars,
+    coalesce(bool_and(case previous when '' then role in ('system', 'user') when 'system' then role = 'user'
+        when 'user' then role = 'assistant' when 'assistant' then role = 'user' else false end), false)
+        and arg_max(role, n) = 'assistant' as valid
+from before group by conv_id
+"""
+
+#: Letter k of 32: five bits of the digest, from two of its hexadecimal digits.
+WARC = """
+with payloads as (select page_id, coalesce(html, '') as html from pages),
+digests as (select page_id, strlen(html) as payload_bytes, sha1(html) as sha from payloads),
+coded as (
+    select *, array_to_string(list_transform(range(32), lambda k:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+            (('0x' || rpad(substr(sha, 5 * k // 4 + 1, 2), 2, '0'))::int >> (3 - 5 * k % 4)) & 31), 1)), '')
+        as payload_digest
+    from digests),
+firsts as (select *, min(page_id) over (partition by payload_digest) as head from coded)
+select page_id, payload_bytes, payload_digest,
+    case when page_id = head then 'response' else 'revisit' end as record_type,
+    case when page_id <> head then head end as refers_to
+from firsts
+"""
+
+MIXING = f"""
+with sizes as (
+    select doc_id, coalesce('s' || source, 't') as src,
+        coalesce(len(regexp_extract_all(text, '{WORD}')), 0)::bigint as size,
+        md5('mix:' || coalesce(doc_id::varchar, '')) as key
+    from documents),
+sources as (
+    select src, sum(size)::bigint as source_size,
+        [3.0, 1.0, 2.0][(row_number() over (order by src) - 1) % 3 + 1]::double as weight
+    from sizes group by src),
+limits as (select *, source_size * 2.0::double as most from sources),
+levels as (
+    select *, (sum(source_size) over () * 1.5::double - coalesce(sum(most) over (
+            order by most / weight, src rows between unbounded preceding and 1 preceding), 0))
+        / sum(weight) over (order by most / weight, src rows between current row and unbounded following)
+        as level
+    from limits),
+targets as (select src, source_size, least(most, max(level) over () * weight) as target from levels),
+placed as (
+    select s.*, t.source_size, t.target, floor(t.target + 0.5)::bigint as budget,
+        coalesce(sum(size) over (partition by s.src order by key, doc_id
+            rows between unbounded preceding and 1 preceding), 0)::bigint as before
+    from sizes s join targets t using (src)),
+rounds as (
+    select *, case when source_size > 0 then budget // source_size else 0 end as epochs from placed)
+select doc_id, size, source_size, target,
+    (epochs * size + least(greatest(budget - epochs * source_size - before, 0), size))::bigint as taken
+from rounds
+"""

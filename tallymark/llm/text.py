@@ -20,7 +20,7 @@ from pyspark.sql.types import StructType
 BATCH_BYTES = "16m"
 
 #: Texts handed to the array code at once. One text may be longer; it then goes alone.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 _MIX_A = np.uint64(0xBF58476D1CE4E5B9)
 _MIX_B = np.uint64(0x94D049BB133111EB)
