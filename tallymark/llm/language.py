@@ -3,7 +3,8 @@
 Each learned language has a raw-content dictionary: text of that language that a zstandard
 compressor may refer back to. A text is cut into blocks, every block is compressed with each
 dictionary, and the language whose dictionaries make the text smallest is the answer. Blocks
-keep the dictionary in reach over the whole of a long text. The margin is the part by which
+keep the dictionary in reach over the whole of a long text; a short text is repeated, because
+a few bytes are stored as they are and would tell nothing. Case is folded. The margin is the part by which
 the best is smaller than the second; a narrow margin rejects the text.
 """
 
@@ -28,7 +29,14 @@ TEXT_BYTES = 2_000
 DICTIONARY_BYTES = 200_000
 
 BLOCK_BYTES = 4_000
-LEVEL = 3
+
+#: Texts under SHORT_BYTES are compressed SHORT_TIMES over.
+SHORT_BYTES = 256
+SHORT_TIMES = 4
+
+#: Compression effort, and the shortest match looked for.
+LEVEL = 6
+MIN_MATCH = 4
 
 #: Texts whose best and second sizes differ by less than this part are rejected.
 MIN_MARGIN = 0.005
@@ -57,7 +65,7 @@ def learn(docs: DataFrame) -> dict[str, bytes]:
     rows = texts.select(F.col("f.lang").alias("lang"), "n", part).distinct().orderBy("lang", F.desc("n"))
     parts: dict[str, list[bytes]] = {}
     for lang, _, text in rows.toLocalIterator():
-        parts.setdefault(lang, []).append(text.encode()[:TEXT_BYTES])
+        parts.setdefault(lang, []).append(text.lower().encode()[:TEXT_BYTES])
     # the end of a dictionary is the cheapest to refer to: the first texts stand there
     return {lang: b"\n".join(found)[-DICTIONARY_BYTES:] for lang, found in sorted(parts.items())}
 
@@ -69,22 +77,27 @@ def has_letter(text: str) -> bool:
 class Classifier:
     def __init__(self, dictionaries: dict[str, bytes]) -> None:
         self.langs = list(dictionaries)
-        self.packers = []
-        for content in dictionaries.values():
-            learned = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            learned.precompute_compress(level=LEVEL)
-            self.packers.append(
-                zstandard.ZstdCompressor(
-                    level=LEVEL,
-                    dict_data=learned,
-                    write_checksum=False,
-                    write_content_size=False,
-                    write_dict_id=False,
-                )
+        effort = zstandard.ZstdCompressionParameters.from_level(
+            LEVEL,
+            min_match=MIN_MATCH,
+            write_checksum=False,
+            write_content_size=False,
+            write_dict_id=False,
+        )
+        self.packers = [
+            zstandard.ZstdCompressor(
+                compression_params=effort,
+                dict_data=zstandard.ZstdCompressionDict(
+                    content, dict_type=zstandard.DICT_TYPE_RAWCONTENT
+                ),
             )
+            for content in dictionaries.values()
+        ]
 
     def sizes(self, text: str) -> list[int]:
-        raw = text.encode()
+        raw = text.lower().encode()
+        if len(raw) < SHORT_BYTES:
+            raw = (raw + b"\n") * SHORT_TIMES
         blocks = [raw[start : start + BLOCK_BYTES] for start in range(0, len(raw), BLOCK_BYTES)]
         return [sum(len(packer.compress(block)) for block in blocks) for packer in self.packers]
 
