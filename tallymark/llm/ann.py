@@ -33,9 +33,11 @@ MIN_LISTS, MAX_LISTS = 8, 1024
 REPLICAS = 4
 REPLICA_RATIO = 1.15
 
-#: Lists a query reads at most, and the ratio to its nearest centroid beyond which none is read.
+#: Lists a query reads at most and at least, and the ratio to its nearest centroid beyond which
+#: no further one is read.
 PROBES = 48
 PROBE_RATIO = 1.6
+LEAST_PROBES = 8
 
 BLOCK_ROWS = 2000
 NEIGHBOURS = 16
@@ -148,7 +150,7 @@ def _place(graph: Graph, replicas: int, ratio: float):
     return run
 
 
-def _route(graph: Graph, probes: int, ratio: float):
+def _route(graph: Graph, probes: int, least: int, ratio: float):
     """Adds the lists that a query reads."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,8 +160,9 @@ def _route(graph: Graph, probes: int, ratio: float):
             lists = []
             for vector in _vectors(batch.column("vector")):
                 found = graph.search(vector, min(probes, len(graph.centroids)))
-                limit = ratio * found[0][0]
-                lists.append([node for d, node in found if d <= limit or node == found[0][1]])
+                lists.append(
+                    [n for at, (d, n) in enumerate(found) if at < least or d <= ratio * found[0][0]]
+                )
             yield pa.RecordBatch.from_arrays(
                 [batch.column("vec_id"), batch.column("vector"), pa.array(lists, pa.list_(pa.int32()))],
                 names=["vec_id", "vector", "lists"],
@@ -239,8 +242,8 @@ def nearest(
     postings = materialize(postings, "posting-blocks")
     schema = "vec_id long, vector array<double>, lists array<int>"
 
-    def search(asked: DataFrame, probes: int, ratio: float) -> DataFrame:
-        routed = asked.mapInArrow(_route(graph, probes, ratio), schema)
+    def search(asked: DataFrame, probes: int, least: int) -> DataFrame:
+        routed = asked.mapInArrow(_route(graph, probes, least, ratio), schema)
         routed = routed.select(F.col("vec_id").alias("query_id"), "vector", F.explode("lists").alias("list"))
         routed = routed.join(sizes, "list").withColumn(
             "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -256,11 +259,11 @@ def nearest(
         found = found.withColumn("rank", rank).filter(F.col("rank") <= top)
         return materialize(found.select("query_id", "rank", "vec_id", "score"), "nearest")
 
-    found = search(asked, probes, ratio)
+    found = search(asked, probes, LEAST_PROBES)
     full = found.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= top)
     short = asked.join(full, asked["vec_id"] == full["query_id"], "left_anti")
-    if short.isEmpty() or len(graph.centroids) <= probes and ratio == float("inf"):
+    if short.isEmpty():
         return found
-    again = search(short, len(graph.centroids), float("inf"))
+    again = search(short, len(graph.centroids), len(graph.centroids))
     kept = found.join(full.select("query_id"), "query_id", "left_semi")
     return kept.select("query_id", "rank", "vec_id", "score").unionByName(again)

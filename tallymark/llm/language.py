@@ -53,7 +53,8 @@ def learn(docs: DataFrame) -> dict[str, bytes]:
     Every language gives at most DICTIONARY_TEXTS texts, different from each other. They are
     chosen on narrow rows; only the chosen texts, a bounded number, go to the driver.
     """
-    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
+    known = docs.select("doc_id", "text", "lang")
+    known = known.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     narrow = known.select("lang", "doc_id", text_key().alias("key"))
     once = narrow.groupBy("lang", "key").agg(F.min("doc_id").alias("doc_id"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
