@@ -70,12 +70,12 @@ register(
 register(
     "f04_as_of",
     lambda ws: rc.as_of(ws.stg_transactions()),
-    sql("select cast(as_of_date as varchar) as as_of_date from as_of"),
+    sql("select cast(cast(max(ingested_at) as date) as varchar) as as_of_date from stg_tx"),
 )
 register(
     "f05_eligible",
     lambda ws: rc.eligible(ws.stg_transactions(), ws.stg_settlements()).select(*_names(ELIGIBLE)),
-    sql(f"select {cols(ELIGIBLE)} from eligible"),
+    sql(f"select {cols(ELIGIBLE)} from charges_due"),
 )
 register(
     "f06_with_lines",
@@ -84,7 +84,7 @@ register(
     ),
     sql(
         "select transaction_ref, settlement_id, settled_net_kobo,"
-        " cast(as_of_date as varchar) as as_of_date, days_since_success from joined",
+        " cast(as_of_date as varchar) as as_of_date, days_since_success from recon",
         faulty=True,
     ),
     faulty=True,
@@ -133,7 +133,7 @@ register(
     lambda ws: rc.with_lines(ws.stg_transactions(), ws.stg_settlements()).select(
         "transaction_ref", "settlement_id", "payout_id"
     ),
-    sql("select transaction_ref, settlement_id, payout_id from joined"),
+    sql("select transaction_ref, settlement_id, payout_id from recon"),
 )
 register(
     "j03_reporting_date_on_every_row",
@@ -141,14 +141,14 @@ register(
     .groupBy("as_of_date")
     .agg(F.count("*").alias("mart_rows")),
     sql("select cast(as_of_date as varchar) as as_of_date, count(*) as mart_rows"
-        " from joined group by 1"),
+        " from recon group by 1"),
 )
 register(
     "j04_exists_for_reversed",
     lambda ws: rc.eligible(ws.stg_transactions(), ws.stg_settlements())
     .where(F.col("is_reversed"))
     .select("transaction_ref", "status"),
-    sql("select transaction_ref, status from eligible where status = 'reversed'"),
+    sql("select transaction_ref, status from charges_due where status = 'reversed'"),
 )
 register(
     "j05_expected_mart_rows",
