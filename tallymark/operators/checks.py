@@ -7,15 +7,19 @@ share a single pass over it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallymark.schemas import (
     ACTIONS,
     ANALYST_STATUSES,
     BREAK_TYPES,
+    CASE,
+    CASE_ACTION,
     CHANNELS,
     CURRENCIES,
     FRESHNESS,
@@ -167,51 +171,99 @@ def accepted_rules(tables: dict[str, DataFrame]) -> DataFrame:
 # --- Rules of the marts -------------------------------------------------------------
 
 
-def break_flags_inconsistent(recon: DataFrame) -> DataFrame:
-    """Flag, type and exposure of a break must agree, and no outcome may leak."""
-    is_break, kind = F.col("is_break"), F.col("break_type")
-    status, exposure = F.col("reconciliation_status"), F.col("exposure_kobo")
+def _break_flags_off() -> Column:
+    """Three facts: a row is flagged exactly if it has a type; exactly if it has exposure, of
+    zero or more; and matched rows are never, overdue missing ones always flagged. A null on
+    either side of a fact breaks it."""
+    flag, status = F.col("is_break"), F.col("reconciliation_status")
+    exposure = F.col("exposure_kobo")
     overdue = (status == "missing_settlement") & (F.col("reconciliation_bucket") == "breached_sla")
-    broken = _any(
-        [
-            is_break & kind.isNull(),
-            ~is_break & kind.isNotNull(),
-            ~is_break & (exposure != 0),
-            is_break & (exposure < 0),
-            (status == "matched") & is_break,
-            overdue & ~is_break,
-            F.length("case_id") != 64,
-        ]
+    typed_as_flagged = flag.eqNullSafe(F.col("break_type").isNotNull())
+    exposed_as_flagged = F.when(flag, exposure >= 0).otherwise(exposure == 0)
+    status_agrees = ~((status == "matched") & flag) & ~(overdue & ~flag)
+    named = F.length("case_id") == 64
+    facts = [typed_as_flagged, exposed_as_flagged, status_agrees, named]
+    return ~reduce(lambda a, b: a & b, [F.coalesce(fact, F.lit(False)) for fact in facts])
+
+
+def _money_negative() -> Column:
+    return _any([F.col(c) < 0 for c in ("net_ngn_kobo", "fee_ngn_kobo", "amount_ngn_kobo")])
+
+
+def _matched_with_rest() -> Column:
+    return F.col("is_amount_matched") & (F.col("outstanding_net_kobo") != 0)
+
+
+def _settled_early() -> Column:
+    return (F.col("settlement_lag_days") < 0) & ~F.col("is_orphan_settlement")
+
+
+def _rate_outside() -> Column:
+    return (F.col("success_rate") < 0) | (F.col("success_rate") > 1)
+
+
+def _usd_without_rate() -> Column:
+    fx = F.col("fx_rate_to_ngn")
+    return (F.col("currency") == "USD") & (fx.isNull() | (fx <= 0))
+
+
+def _matched_off() -> Column:
+    off = [
+        F.col("settlement_variance_kobo") != 0,
+        F.col("outstanding_net_kobo") != 0,
+        ~F.col("is_amount_matched"),
+    ]
+    return (F.col("reconciliation_status") == "matched") & _any(off)
+
+
+def _stale_missing() -> Column:
+    return (F.col("source_freshness_status") == "stale_or_incomplete") & (
+        F.col("reconciliation_status") == "missing_settlement"
     )
-    return recon.where(broken).select(
+
+
+#: Rules on single rows: table -> rule -> condition of a violation.
+ROW_RULES: dict[str, dict[str, Callable[[], Column]]] = {
+    "fct_transactions": {"negative_money": _money_negative, "usd_without_rate": _usd_without_rate},
+    "fct_settlements": {"settled_before_charge": _settled_early},
+    "mart_settlement_reconciliation": {
+        "break_flags": _break_flags_off,
+        "matched_with_outstanding": _matched_with_rest,
+        "inconsistent_matched": _matched_off,
+        "stale_but_missing": _stale_missing,
+    },
+    "mart_merchant_daily": {"success_rate_range": _rate_outside},
+    "mart_channel_performance": {"success_rate_range": _rate_outside},
+}
+
+
+def break_flags_inconsistent(recon: DataFrame) -> DataFrame:
+    """Rows whose flag, type, exposure and status of a break do not agree."""
+    return recon.where(_break_flags_off()).select(
         "transaction_ref", "reconciliation_status", "is_break", "break_type", "exposure_kobo"
     )
 
 
 def negative_money(fct_tx: DataFrame) -> DataFrame:
-    columns = ("net_ngn_kobo", "fee_ngn_kobo", "amount_ngn_kobo")
-    return fct_tx.where(_any([F.col(c) < 0 for c in columns])).select(
+    return fct_tx.where(_money_negative()).select(
         "transaction_ref", "amount_ngn_kobo", "fee_ngn_kobo", "net_ngn_kobo"
     )
 
 
 def matched_with_outstanding(recon: DataFrame) -> DataFrame:
-    return recon.where(F.col("is_amount_matched") & (F.col("outstanding_net_kobo") != 0)).select(
-        "transaction_ref", "outstanding_net_kobo"
-    )
+    return recon.where(_matched_with_rest()).select("transaction_ref", "outstanding_net_kobo")
 
 
 def settled_before_charge(fct_stl: DataFrame) -> DataFrame:
-    return fct_stl.where(
-        (F.col("settlement_lag_days") < 0) & ~F.col("is_orphan_settlement")
-    ).select("settlement_id", "transaction_ref", "settlement_lag_days")
+    return fct_stl.where(_settled_early()).select(
+        "settlement_id", "transaction_ref", "settlement_lag_days"
+    )
 
 
 def success_rate_out_of_range(daily: DataFrame, channel: DataFrame) -> DataFrame:
     def outside(df: DataFrame, model: str, grain: str) -> DataFrame:
-        rate = F.col("success_rate")
-        return df.where((rate < 0) | (rate > 1)).select(
-            F.lit(model).alias("model"), F.col(grain).alias("grain"), rate
+        return df.where(_rate_outside()).select(
+            F.lit(model).alias("model"), F.col(grain).alias("grain"), "success_rate"
         )
 
     return outside(daily, "mart_merchant_daily", "merchant_id").unionByName(
@@ -220,22 +272,14 @@ def success_rate_out_of_range(daily: DataFrame, channel: DataFrame) -> DataFrame
 
 
 def usd_without_rate(fct_tx: DataFrame) -> DataFrame:
-    """Such a row converts to nothing, which hides revenue instead of failing."""
-    fx = F.col("fx_rate_to_ngn")
-    return fct_tx.where((F.col("currency") == "USD") & (fx.isNull() | (fx <= 0))).select(
+    """Dollar charges that no positive rate converts."""
+    return fct_tx.where(_usd_without_rate()).select(
         "transaction_ref", "currency", "fx_rate_to_ngn", "amount_ngn_kobo"
     )
 
 
 def inconsistent_matched(recon: DataFrame) -> DataFrame:
-    return recon.where(
-        (F.col("reconciliation_status") == "matched")
-        & (
-            (F.col("settlement_variance_kobo") != 0)
-            | (F.col("outstanding_net_kobo") != 0)
-            | ~F.col("is_amount_matched")
-        )
-    ).select(
+    return recon.where(_matched_off()).select(
         "transaction_ref", "settlement_variance_kobo", "outstanding_net_kobo", "is_amount_matched"
     )
 
@@ -284,10 +328,69 @@ def daily_ties_to_fact(daily: DataFrame, fct_tx: DataFrame) -> DataFrame:
 
 def stale_but_missing(recon: DataFrame) -> DataFrame:
     """A stale source can only ever say unverified."""
-    return recon.where(
-        (F.col("source_freshness_status") == "stale_or_incomplete")
-        & (F.col("reconciliation_status") == "missing_settlement")
-    ).select("transaction_ref", "source_freshness_status", "reconciliation_status")
+    return recon.where(_stale_missing()).select(
+        "transaction_ref", "source_freshness_status", "reconciliation_status"
+    )
+
+
+# --- All rules at once, the gate before publishing ----------------------------------
+
+
+def _rules_of(table: str) -> dict[str, Column]:
+    """Conditions of a violation for every rule that looks at single rows of a table."""
+    rules = {f"not_null_{c}": F.col(c).isNull() for c in NOT_NULL.get(table, ())}
+    for column, values in ACCEPTED.get(table, {}).items():
+        rules[f"accepted_{column}"] = F.col(column).isNotNull() & ~F.col(column).isin(*values)
+    return rules | {name: rule() for name, rule in ROW_RULES.get(table, {}).items()}
+
+
+def table_tests(df: DataFrame, table: str) -> DataFrame:
+    """(table_name, rule, violations) of the row rules and the uniqueness of one table, in one
+    pass: rule counts are summed up per key first, which also shows keys with copies."""
+    rules = _rules_of(table)
+    keys = [column for name, column in UNIQUE if name == table]
+    if keys:
+        counted = df.groupBy(keys[0]).agg(
+            F.count("*").alias("copies"), *[F.count_if(r).alias(n) for n, r in rules.items()]
+        )
+        sums = [F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n) for n in rules]
+        twice = F.count_if((F.col("copies") > 1) & F.col(keys[0]).isNotNull())
+        row = counted.agg(twice.alias(f"unique_{keys[0]}"), *sums)
+    else:
+        row = df.agg(*[F.count_if(r).alias(n) for n, r in rules.items()])
+    parts = [row.unpivot([], row.columns, "rule", "violations")]
+    for column in keys[1:]:
+        copies = check_unique(df, column).agg(F.count("*").alias("violations"))
+        parts.append(copies.select(F.lit(f"unique_{column}").alias("rule"), "violations"))
+    return _union(parts).select(F.lit(table).alias("table_name"), "rule", "violations")
+
+
+def data_tests(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row per data test over staged tables, facts and marts."""
+    recon, fct_tx = tables["mart_settlement_reconciliation"], tables["fct_transactions"]
+    lines, charges = tables["stg_settlements"], tables["stg_transactions"]
+
+    def single(table: str, rule: str, counted: DataFrame, value: Column) -> DataFrame:
+        return counted.select(
+            F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), value.alias("violations")
+        )
+
+    parts = [table_tests(df, name) for name, df in tables.items()]
+    orphans = check_relationship(lines, charges, "transaction_ref").agg(F.count("*").alias("n"))
+    parts.append(single("stg_settlements", "line_has_charge", orphans, F.col("n")))
+    delta = mart_row_delta(recon, fct_tx, tables["fct_settlements"])
+    parts.append(single("mart_settlement_reconciliation", "ties_to_fact", delta, F.abs("row_delta")))
+    ties = daily_ties_to_fact(tables["mart_merchant_daily"], fct_tx)
+    parts.append(single("mart_merchant_daily", "ties_to_fact", ties, F.abs("difference")))
+    return _union(parts)
+
+
+def require_data_tests(tables: dict[str, DataFrame]) -> None:
+    """Raise if any data test has a violation."""
+    failed = data_tests(tables).where(F.col("violations") > 0).collect()  # a row per test
+    if failed:
+        names = ", ".join(sorted(f"{r['table_name']}.{r['rule']}={r['violations']}" for r in failed))
+        raise RuntimeError(f"{len(failed)} data test(s) failed: {names}")
 
 
 # --- Report over the served tables --------------------------------------------------
@@ -394,12 +497,16 @@ def compare_bags(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:
 
 
 def bag_difference(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:
-    """Copies on one side only, as rows."""
-    left, right = expected.select(key), found.select(key)
+    """Keys with more copies on one side, the side and the number of copies it has more."""
+    surplus = F.col("found") - F.col("expected")
     return (
-        left.exceptAll(right)
-        .withColumn("side", F.lit("missing"))
-        .unionByName(right.exceptAll(left).withColumn("side", F.lit("extra")))
+        bag_counts(expected, found, key)
+        .where(surplus != 0)
+        .select(
+            key,
+            F.when(surplus > 0, "extra").otherwise("missing").alias("side"),
+            F.abs(surplus).alias("copies"),
+        )
     )
 
 
@@ -413,6 +520,18 @@ def duplicate_ledger_rows(ledger: DataFrame) -> DataFrame:
 # --- Constraints of the case store --------------------------------------------------
 
 
+CASE_KEYS = ("case_id", "display_id", "transaction_ref")
+
+
+def _required(df: DataFrame, schema: StructType) -> dict[str, Column]:
+    """A rule per required column: a null passes every other rule, so it needs its own."""
+    return {
+        f"{field.name}_present": F.col(field.name).isNull()
+        for field in schema
+        if not field.nullable and field.name in df.columns
+    }
+
+
 def case_constraint_violations(cases: DataFrame) -> DataFrame:
     """Rows that must not be published, with the constraint each one breaks."""
     rules = {
@@ -425,16 +544,41 @@ def case_constraint_violations(cases: DataFrame) -> DataFrame:
         "decision_has_fingerprint": F.col("analyst_status").isNull()
         != F.col("decided_fingerprint").isNull(),
     }
-    return _violations(cases, "case_id", rules)
+    return _violations(cases, "case_id", rules | _required(cases, CASE))
 
 
 def action_constraint_violations(actions: DataFrame) -> DataFrame:
     rules = {
-        "analyst_present": F.trim("analyst") == "",
+        "analyst_present": F.trim(F.coalesce("analyst", F.lit(""))) == "",
         "action_known": ~F.col("action").isin(*ACTIONS),
         "key_length": ~F.length("idempotency_key").between(8, 128),
     }
-    return _violations(actions, "action_id", rules)
+    return _violations(actions, "action_id", _required(actions, CASE_ACTION) | rules)
+
+
+def case_key_violations(cases: DataFrame) -> DataFrame:
+    """Keys of the case table that two rows share, all keys in one pass."""
+    keys = [F.struct(F.lit(k).alias("key_name"), F.col(k).alias("key_value")) for k in CASE_KEYS]
+    return (
+        cases.select(F.explode(F.array(*keys)).alias("key"))
+        .select("key.*")
+        .where(F.col("key_value").isNotNull())
+        .groupBy("key_name", "key_value")
+        .agg(F.count("*").alias("copies"))
+        .where(F.col("copies") > 1)
+    )
+
+
+def action_key_violations(actions: DataFrame, cases: DataFrame) -> DataFrame:
+    """Idempotency keys used twice, and actions on a case that does not exist."""
+    twice = check_unique(actions, "idempotency_key").select(
+        F.lit("idempotency_key_unique").alias("constraint_name"),
+        F.col("idempotency_key").alias("key_value"),
+    )
+    orphans = check_relationship(actions, cases, "case_id").select(
+        F.lit("action_has_case").alias("constraint_name"), F.col("case_id").alias("key_value")
+    )
+    return twice.unionByName(orphans.distinct())
 
 
 def _violations(df: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:
@@ -445,5 +589,8 @@ def _violations(df: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:
 
 
 def removed_audit_rows(old_log: DataFrame, new_log: DataFrame) -> DataFrame:
-    """Rows of the old log that the new one lacks or has changed."""
-    return old_log.exceptAll(new_log.select(*old_log.columns))
+    """Rows of the old log that the new one lacks or has changed, with the copies it lacks."""
+    columns = old_log.columns
+    row = F.struct(*columns).alias("row")
+    lost = bag_difference(old_log.select(row), new_log.select(*columns).select(row), "row")
+    return lost.where(F.col("side") == "missing").select("row.*", "copies")

@@ -15,11 +15,21 @@ from tallymark.operators import checks, marts, staging
 from tallymark.operators.reconcile import reconcile
 from tallymark.session import use_utc
 from tallymark.sources.case_store import CaseStore
-from tallymark.sources.publish import MARTS, publish_all, published, read_marker, write_marker
+from tallymark.sources.publish import (
+    MARTS,
+    drop_old_versions,
+    publish_all,
+    published,
+    read_marker,
+    write_marker,
+)
 from tallymark.sources.tables import read_staged, write_staged
 
 log = logging.getLogger(__name__)
 
+#: Versions of staged tables and marts that stay, the live one among them.
+KEEP_VERSIONS = 3
+
 
 @dataclass
 class RunReport:
@@ -73,7 +83,8 @@ def run(
     run_at: str,
 ) -> RunReport:
     """Every step reads what the one before has written. Staged rows go to a new
-    version under `root/staged`, marts to `root/marts`, cases to `root/cases`."""
+    version under `root/staged`, marts to `root/marts`, cases to `root/cases`. Marts go live
+    only if all data tests hold on their drafts. KEEP_VERSIONS of each are kept."""
     use_utc(spark)
     report = RunReport()
 
@@ -98,8 +109,14 @@ def run(
     write_marker(spark, f"{root}/staged", version)
     stg_tx = staging.stg_transactions(read_staged(spark, stage_to, "transactions"))
     stg_stl = staging.stg_settlements(read_staged(spark, stage_to, "settlements"))
+    staged = {"stg_transactions": stg_tx, "stg_settlements": stg_stl}
     report.tables = timed(
-        "marts_and_publish", lambda: publish_all(build_marts(stg_tx, stg_stl), mart_root)
+        "marts_and_publish",
+        lambda: publish_all(
+            build_marts(stg_tx, stg_stl),
+            mart_root,
+            gate=lambda drafts: checks.require_data_tests({**staged, **drafts}),
+        ),
     )
     served = {name: published(spark, mart_root, name) for name in MARTS}
     _, soft = timed("checks", lambda: checks.enforce(checks.serving_report(served)))
@@ -111,4 +128,7 @@ def run(
             served["mart_settlement_reconciliation"], F.lit(run_at).cast("timestamp")
         ),
     )
+    for name in MARTS:
+        drop_old_versions(spark, mart_root, name, KEEP_VERSIONS)
+    drop_old_versions(spark, root, "staged", KEEP_VERSIONS)
     return report

@@ -220,6 +220,48 @@ from cases_two join (values (1, 'exposure_not_negative'), (2, 'amount_not_negati
 union all select case_id, 'decision_has_fingerprint' from cases_two
 where k % 7 = 5 and decided_fingerprint is null"""),
 )
+
+
+def _broken_keys(ws):
+    """Cases without required fields, and some rows twice."""
+    cases = ws.second_cases()
+    number = F.substring("transaction_ref", 4, 10).cast("bigint")
+    return cases.withColumns(
+        {
+            "merchant_id": F.when(number % 11 != 3, F.col("merchant_id")),
+            "display_id": F.when(number % 11 != 4, F.col("display_id")),
+            "exposure_kobo": F.when(number % 11 != 5, F.col("exposure_kobo")),
+        }
+    ).unionByName(cases.where(number % 13 == 6))
+
+
+register(
+    "k12_required_fields",
+    lambda ws: ck.case_constraint_violations(_broken_keys(ws)),
+    _sql("""
+select case_id, constraint_name from cases_two join (values (3, 'merchant_id_present'),
+  (4, 'display_id_present'), (5, 'exposure_kobo_present')) v(slot, constraint_name)
+  on cast(substr(transaction_ref, 4, 10) as bigint) % 11 = slot"""),
+)
+register(
+    "k12_unique_keys",
+    lambda ws: ck.case_key_violations(_broken_keys(ws)),
+    _sql("""
+select key_name, key_value, 2::bigint as copies from (
+  select *, cast(substr(transaction_ref, 4, 10) as bigint) as n from cases_two) c,
+  lateral (values ('case_id', c.case_id), ('transaction_ref', c.transaction_ref),
+    ('display_id', if(c.n % 11 = 4, null, c.display_id))) v(key_name, key_value)
+where n % 13 = 6 and key_value is not null"""),
+)
+register(
+    "k12_action_keys",
+    lambda ws: ck.action_key_violations(ws.requests(), ws.second_cases()),
+    _sql("""
+select distinct 'action_has_case' as constraint_name, case_id as key_value from requests
+  where case_id not in (select case_id from cases_two)
+union all select 'idempotency_key_unique', idempotency_key from requests
+  group by 2 having count(*) > 1"""),
+)
 register(
     "k12_action_constraints",
     lambda ws: ck.action_constraint_violations(ws.requests()),

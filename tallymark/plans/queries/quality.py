@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallymark.operators import checks as ck
+from tallymark.operators import staging
 from tallymark.plans import fixtures
 from tallymark.plans.queries.base import register
 from tallymark.plans.sqltext import sql
@@ -41,6 +42,16 @@ def _broken_tables(ws) -> dict:
     }
 
 
+# a fact that is not known to be true is broken
+_BREAK_FLAGS_OFF = (
+    "not coalesce((is_break = (break_type is not null)) and length(case_id) = 64"
+    " and if(is_break, exposure_kobo >= 0, exposure_kobo = 0)"
+    " and not (reconciliation_status = 'matched' and is_break)"
+    " and not (reconciliation_status = 'missing_settlement'"
+    " and reconciliation_bucket = 'breached_sla' and not is_break), false)"
+)
+
+
 def _quoted(values) -> str:
     return ", ".join(str(v) if isinstance(v, int) else f"'{v}'" for v in values)
 
@@ -83,11 +94,7 @@ register(
     lambda ws: ck.break_flags_inconsistent(fixtures.break_recon(ws.recon)),
     sql("""
 select transaction_ref, reconciliation_status, is_break, break_type, exposure_kobo
-from recon_broken where (is_break and break_type is null)
-  or (not is_break and break_type is not null) or (not is_break and exposure_kobo <> 0)
-  or (is_break and exposure_kobo < 0) or (reconciliation_status = 'matched' and is_break)
-  or (reconciliation_status = 'missing_settlement' and reconciliation_bucket = 'breached_sla'
-      and not is_break) or length(case_id) <> 64"""),
+from recon_broken where """ + _BREAK_FLAGS_OFF),
 )
 register(
     "c06_negative_money",
@@ -243,6 +250,85 @@ register(
     sql(_REPORT, faulty=True),
     faulty=True,
 )
+# --- the gate: every data test on tables with faults
+
+_ALL_BROKEN = {
+    "stg_transactions": "stg_tx_broken",
+    "stg_settlements": "stg_stl",
+    "fct_transactions": "fct_tx_broken",
+    "fct_settlements": "fct_stl_broken",
+    "mart_settlement_reconciliation": "recon_broken",
+    "mart_merchant_daily": "daily_broken",
+    "mart_channel_performance": "channels_broken",
+}
+_ROW_TESTS = {
+    "fct_transactions": {
+        "negative_money": "least(net_ngn_kobo, fee_ngn_kobo, amount_ngn_kobo) < 0",
+        "usd_without_rate": "currency = 'USD' and coalesce(fx_rate_to_ngn, 0) <= 0",
+    },
+    "fct_settlements": {
+        "settled_before_charge": "settlement_lag_days < 0 and not is_orphan_settlement"
+    },
+    "mart_settlement_reconciliation": {
+        "break_flags": _BREAK_FLAGS_OFF,
+        "matched_with_outstanding": "is_amount_matched and outstanding_net_kobo <> 0",
+        "inconsistent_matched": "reconciliation_status = 'matched' and (settlement_variance_kobo"
+        " <> 0 or outstanding_net_kobo <> 0 or not is_amount_matched)",
+        "stale_but_missing": "source_freshness_status = 'stale_or_incomplete'"
+        " and reconciliation_status = 'missing_settlement'",
+    },
+    "mart_merchant_daily": {"success_rate_range": "success_rate not between 0 and 1"},
+    "mart_channel_performance": {"success_rate_range": "success_rate not between 0 and 1"},
+}
+
+
+def _tests_sql() -> str:
+    rules = [(t, name, where) for t, of in _ROW_TESTS.items() for name, where in of.items()]
+    rules += [(t, f"not_null_{c}", f"{c} is null") for t, cs in ck.NOT_NULL.items() for c in cs]
+    rules += [
+        (t, f"accepted_{c}", f"{c} not in ({_quoted(values)})")
+        for t, of in ck.ACCEPTED.items()
+        for c, values in of.items()
+    ]
+    rules.append(
+        ("stg_settlements", "line_has_charge", "transaction_ref not in (select transaction_ref from stg_tx_broken)")
+    )
+    parts = [
+        f"select '{t}' as table_name, '{name}' as rule, count(*) as violations"
+        f" from {_ALL_BROKEN[t]} where {where}"
+        for t, name, where in rules
+    ]
+    parts += [
+        f"select '{t}', 'unique_{c}', count(*) from (select {c} from {_ALL_BROKEN[t]}"
+        f" where {c} is not null group by 1 having count(*) > 1)"
+        for t, c in ck.UNIQUE
+    ]
+    parts.append(
+        "select 'mart_settlement_reconciliation', 'ties_to_fact', abs((select count(*) from"
+        " recon_broken) - (select count(*) from fct_tx_broken where is_settlement_eligible or"
+        " (is_reversed and transaction_ref in (select transaction_ref from fct_stl_broken))))"
+    )
+    parts.append(
+        "select 'mart_merchant_daily', 'ties_to_fact', abs((select cast(sum(attempts) as bigint)"
+        " from daily_broken) - (select count(*) from fct_tx_broken))"
+    )
+    return " union all ".join(parts)
+
+
+register(
+    "c17_data_tests",
+    lambda ws: ck.data_tests(
+        {
+            **_broken_tables(ws),
+            "fct_transactions": fixtures.break_fct_transactions(ws.fct_tx),
+            "fct_settlements": fixtures.break_fct_settlements(ws.fct_stl),
+            "mart_merchant_daily": fixtures.break_success_rate(ws.daily),
+            "mart_channel_performance": fixtures.break_success_rate(ws.channels),
+        }
+    ),
+    sql(_tests_sql(), faulty=True),
+    faulty=True,
+)
 register(
     "c18_daily_ties_to_fact",
     lambda ws: ck.daily_ties_to_fact(ws.daily, ws.fct_tx),
@@ -261,14 +347,33 @@ register(
         " and reconciliation_status = 'missing_settlement'"
     ),
 )
-register(
-    "c20_event_bag_exact",
-    lambda ws: ck.compare_bags(ws.raw_settlements(), ws.raw_settlements(), "event_id"),
-    sql(
-        "select count(*) as expected, count(*) as found, cast(0 as bigint) as extra,"
-        " cast(0 as bigint) as missing, true as exact from stl_raw"
-    ),
-)
+
+
+def _bags_of_events(ws):
+    """Events by key against events by id: the same bag. Deliveries against a layer that lost
+    some and doubled others: not."""
+    raw = ws.raw_transactions()
+    by_key = staging.dedupe_transactions(raw)
+    by_id = raw.select("event_id").distinct()
+    off = fixtures.lost_and_doubled(raw)
+    return (
+        ck.compare_bags(by_key, by_id, "event_id")
+        .withColumn("bag", F.lit("events"))
+        .unionByName(ck.compare_bags(raw, off, "event_id").withColumn("bag", F.lit("deliveries")))
+    )
+
+
+_BAGS = """
+select bag, sum(e)::bigint as expected, sum(f)::bigint as found,
+  sum(greatest(0, f - e))::bigint as extra, sum(greatest(0, e - f))::bigint as missing,
+  bool_and(e = f) as exact
+from (select bag, event_id, sum(e) as e, sum(f) as f from (
+  select 'events' as bag, event_id, 1 as e, 0 as f from tx_once
+  union all select distinct 'events', event_id, 0, 1 from tx_raw
+  union all select 'deliveries', event_id, 1, 0 from tx_raw
+  union all select 'deliveries', event_id, 0, 1 from tx_raw_off) group by 1, 2)
+where e > 0 group by 1"""
+register("c20_event_bag_exact", _bags_of_events, sql(_BAGS))
 _CHUNK = {
     "chunk": """
 select 'nightly|n=1000000|days=14|seed=42|chunk=1000' as run_key,

@@ -254,9 +254,9 @@ register(
         ws.raw_transactions(), fixtures.lost_and_doubled(ws.raw_transactions()), "event_id"
     ),
     sql(
-        "select event_id, 'missing' as side from (select event_id from tx_raw except all"
-        " select event_id from tx_raw_off) union all select event_id, 'extra' from"
-        " (select event_id from tx_raw_off except all select event_id from tx_raw)"
+        "select event_id, if(n > 0, 'missing', 'extra') as side, abs(n)::bigint as copies from"
+        " (select event_id, sum(one) as n from (select event_id, 1 as one from tx_raw union all"
+        " select event_id, -1 from tx_raw_off) group by 1) where n <> 0"
     ),
 )
 register(

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
+#: Work folder of a local session that names none. Its subfolders have unique names and may be
+#: removed when no session runs.
+LOCAL_WORK = "/tmp/checkpoints"
+
+
 def local_session(cores: int | str = 8, app: str = "tallymark", **conf: str) -> SparkSession:
     """A local session for tests and benches. A cluster brings its own session."""
     builder = (
@@ -37,8 +41,8 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def work_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: `spark.checkpoint.dir` of the session.
 
-    A local session may go without it and gets a fresh temporary folder. A cluster
-    may not: an executor-local folder would be lost with its executor.
+    A local session may go without it and then uses LOCAL_WORK. A cluster may not: a folder
+    on one machine would be lost with it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -47,7 +51,7 @@ def work_root(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tallymark-")
+        root = LOCAL_WORK
         spark.sparkContext.setCheckpointDir(root)
     elif not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(root)

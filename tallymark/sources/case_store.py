@@ -1,16 +1,19 @@
 """The case snapshot and the audit log on a file store.
 
-One marker names the live snapshot and the live end of the log. A change writes its files
-first and replaces the marker last, so a failed sync or apply leaves the old state, and
-the state of a case and the actions behind it can never come apart.
+The state is a small numbered file that names the live snapshot and the segments of the log.
+A change reads state n, writes its files under fresh names and then creates state n + 1,
+which only succeeds if nobody else has: then the change starts again from the newer state.
+So no writer overwrites another's work, a failed change leaves the old state, and the state
+of a case and the actions behind it can never come apart.
 
-The log is a folder of segments; applying requests adds one and rewrites nothing.
+The log is a set of segments; applying requests adds one and rewrites nothing.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,9 +24,15 @@ from tallymark.operators import cases as cs
 from tallymark.operators import checks as ck
 from tallymark.operators.actions import AppliedActions, apply_actions
 from tallymark.schemas import BREAK, CASE, CASE_ACTION, nullable
-from tallymark.sources.publish import read_marker, write_marker, write_version
+from tallymark.sources.publish import create_file, delete_path, list_names, read_file, write_version
 
-EMPTY = {"cases": None, "log": None, "segments": 0}
+EMPTY = {"cases": None, "segments": []}
+
+#: States kept for readers that still hold an older one, with the snapshots they name.
+KEEP_STATES = 3
+
+#: Times a change starts again because another one came first.
+ATTEMPTS = 50
 
 
 def _refuse(violations: DataFrame, what: str) -> None:
@@ -37,50 +46,114 @@ class CaseStore:
     spark: SparkSession
     root: str
 
-    def _state(self) -> dict:
-        text = read_marker(self.spark, self.root)
-        return dict(EMPTY) if text is None else json.loads(text)
-
-    def _commit(self, state: dict) -> None:
-        write_marker(self.spark, self.root, json.dumps(state))
-
-    def _read(self, path: str, schema: StructType) -> DataFrame:
-        return self.spark.read.schema(nullable(schema)).parquet(path).select(*schema.names)
-
-    def _draft(self, cases: DataFrame) -> str:
-        """Write a new snapshot that nobody reads yet, and check it."""
-        name = f"v={uuid.uuid4().hex}"
-        write_version(cases.select(*CASE.names), f"{self.root}/cases/{name}")
-        written = self._read(f"{self.root}/cases/{name}", CASE)
-        _refuse(ck.case_constraint_violations(written), "case constraint violated")
-        return name
+    # --- state
+
+    def _numbers(self) -> list[int]:
+        names = list_names(self.spark, f"{self.root}/states")
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
+
+    def _state_path(self, number: int) -> str:
+        return f"{self.root}/states/{number:012d}.json"
+
+    def _state(self) -> tuple[int, dict]:
+        """The number of the live state and the state."""
+        numbers = self._numbers()
+        if not numbers:
+            return 0, dict(EMPTY)
+        return numbers[-1], json.loads(read_file(self.spark, self._state_path(numbers[-1])))
+
+    def _change(self, build: Callable[[dict], tuple[dict, object]]):
+        """Build the next state from the live one until nobody comes in between."""
+        for _ in range(ATTEMPTS):
+            number, state = self._state()
+            after, result = build(state)
+            if create_file(self.spark, self._state_path(number + 1), json.dumps(after)):
+                self._drop_old()
+                return result
+            self._drop(set(self._files(after)) - set(self._files(state)))
+        raise RuntimeError(f"{self.root}: gave up after {ATTEMPTS} changes by others")
+
+    @staticmethod
+    def _files(state: dict) -> list[str]:
+        return [f for f in (state["cases"], *state["segments"]) if f]
+
+    def _drop(self, files: set[str]) -> None:
+        for file in files:
+            delete_path(self.spark, f"{self.root}/{file}")
+
+    def _drop_old(self) -> None:
+        """Remove states beyond the newest, and the files that only they name."""
+        numbers = self._numbers()
+        states = {}
+        for number in numbers:
+            text = read_file(self.spark, self._state_path(number))
+            if text is not None:  # another change may have removed it meanwhile
+                states[number] = json.loads(text)
+        kept = {f for n in numbers[-KEEP_STATES:] for f in self._files(states.get(n, EMPTY))}
+        for number in numbers[:-KEEP_STATES]:
+            self._drop(set(self._files(states.get(number, EMPTY))) - kept)
+            delete_path(self.spark, self._state_path(number))
+
+    # --- reading
+
+    def _read(self, paths: list[str], schema: StructType) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], nullable(schema))
+        full = [f"{self.root}/{path}" for path in paths]
+        return self.spark.read.schema(nullable(schema)).parquet(*full).select(*schema.names)
+
+    def _cases(self, state: dict) -> DataFrame:
+        return self._read([state["cases"]] if state["cases"] else [], CASE)
 
     def cases(self) -> DataFrame:
-        name = self._state()["cases"]
-        if name is None:
-            return self.spark.createDataFrame([], nullable(CASE))
-        return self._read(f"{self.root}/cases/{name}", CASE)
+        return self._cases(self._state()[1])
 
     def actions(self) -> DataFrame:
-        state = self._state()
-        if state["log"] is None:
-            return self.spark.createDataFrame([], nullable(CASE_ACTION))
-        schema = nullable(CASE_ACTION).add("segment", "integer")
-        rows = self.spark.read.schema(schema).parquet(f"{self.root}/{state['log']}")
-        return rows.where(F.col("segment") < state["segments"]).select(*CASE_ACTION.names)
+        return self._read(self._state()[1]["segments"], CASE_ACTION)
 
     def effective(self) -> DataFrame:
         return cs.effective_cases(self.cases())
 
+    def case(self, case_id: str) -> DataFrame:
+        _, state = self._state()  # both from one state
+        effective = cs.effective_cases(self._cases(state))
+        return cs.case_with_actions(
+            effective, self._read(state["segments"], CASE_ACTION), F.lit(case_id)
+        )
+
+    # --- writing
+
+    def _draft_cases(self, cases: DataFrame) -> str:
+        """Write a new snapshot that nobody reads yet, and check it."""
+        name = f"cases/v={uuid.uuid4().hex}"
+        write_version(cases.select(*CASE.names), f"{self.root}/{name}")
+        written = self._read([name], CASE)
+        try:
+            _refuse(ck.case_constraint_violations(written), "case constraint violated")
+            _refuse(ck.case_key_violations(written), "case key is not unique")
+        except ValueError:
+            self._drop({name})
+            raise
+        return name
+
+    def _draft_segment(self, rows: DataFrame) -> str:
+        name = f"log/segment={uuid.uuid4().hex}"
+        write_version(rows.select(*CASE_ACTION.names), f"{self.root}/{name}")
+        return name
+
     def sync(self, breaks: DataFrame, run_at: Column) -> dict:
         """Reconcile the system columns with the latest breaks."""
         breaks = breaks.select(*BREAK.names)
         _refuse(ck.check_unique(breaks, "case_id"), "a case occurs twice in the break feed")
-        before = self.cases()
-        counts = cs.sync_counts(before, breaks).first()
-        draft = self._draft(cs.sync_cases(before, breaks, run_at))
-        self._commit({**self._state(), "cases": draft})
-        return {"open": counts["current_breaks"], "cleared": counts["newly_cleared"]}
+
+        def build(state: dict) -> tuple[dict, dict]:
+            before = self._cases(state)
+            counts = cs.sync_counts(before, breaks).first()
+            draft = self._draft_cases(cs.sync_cases(before, breaks, run_at))
+            done = {"open": counts["current_breaks"], "cleared": counts["newly_cleared"]}
+            return {**state, "cases": draft}, done
+
+        return self._change(build)
 
     def sync_mart(self, recon: DataFrame, run_at: Column) -> dict:
         """Sync from the mart itself; an empty mart is a failed load and is refused."""
@@ -89,22 +162,29 @@ class CaseStore:
 
     def apply(self, requests: DataFrame) -> AppliedActions:
         """Apply analyst requests and append the accepted ones to the audit log."""
-        state = self._state()
-        applied = apply_actions(self.cases(), requests, self.actions())
-        _refuse(ck.action_constraint_violations(applied.recorded), "action constraint violated")
-        draft = self._draft(applied.cases)
-        log = state["log"] or f"log-{uuid.uuid4().hex}"
-        segment = f"{self.root}/{log}/segment={state['segments']}"
-        write_version(applied.recorded.select(*CASE_ACTION.names), segment)
-        self._commit({"cases": draft, "log": log, "segments": state["segments"] + 1})
-        return applied
-
-    def replace_log(self, new_log: DataFrame) -> None:
-        """Rewrite the log, to compact or extend it. It must hold every old row unchanged."""
-        _refuse(ck.removed_audit_rows(self.actions(), new_log), "the audit log is append-only")
-        log = f"log-{uuid.uuid4().hex}"
-        write_version(new_log.select(*CASE_ACTION.names), f"{self.root}/{log}/segment=0")
-        self._commit({**self._state(), "log": log, "segments": 1})
 
-    def case(self, case_id: str) -> DataFrame:
-        return cs.case_with_actions(self.effective(), self.actions(), F.lit(case_id))
+        def build(state: dict) -> tuple[dict, AppliedActions]:
+            cases, log = self._cases(state), self._read(state["segments"], CASE_ACTION)
+            applied = apply_actions(cases, requests, log)
+            _refuse(ck.action_constraint_violations(applied.recorded), "action constraint violated")
+            _refuse(
+                ck.action_key_violations(applied.recorded, cases), "action key constraint violated"
+            )
+            draft = self._draft_cases(applied.cases)
+            segment = self._draft_segment(applied.recorded)
+            return {"cases": draft, "segments": [*state["segments"], segment]}, applied
+
+        return self._change(build)
+
+    def replace_log(self, new_log: Callable[[DataFrame], DataFrame] | DataFrame) -> None:
+        """Rewrite the log, to compact or extend it. It must hold every old row unchanged: a
+        log that misses rows added meanwhile is refused. Given a function of the old log, it
+        is applied again to what the log holds by then."""
+
+        def build(state: dict) -> tuple[dict, None]:
+            old = self._read(state["segments"], CASE_ACTION)
+            new = new_log(old) if callable(new_log) else new_log
+            _refuse(ck.removed_audit_rows(old, new), "the audit log is append-only")
+            return {**state, "segments": [self._draft_segment(new)]}, None
+
+        self._change(build)

@@ -1,16 +1,19 @@
 """Publishing marts for readers.
 
 A version is written next to the live one and becomes visible only when a small marker
-file that names it is replaced, in one rename. Readers resolve the marker, so they see
-the old version or the new one, never a mix and never an empty table.
+file that names it is replaced in one step. Readers resolve the marker, so they see the
+old version or the new one, never a mix and never an empty table.
 """
 
 from __future__ import annotations
 
+import os
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,27 +82,107 @@ def _hadoop(spark: SparkSession):
     return spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
 
 
-def write_marker(spark: SparkSession, folder: str, text: str) -> None:
-    """Replace the marker of a folder in one rename."""
-    fs, conf = _hadoop(spark)
-    target = fs.Path(f"{folder}/{MARKER}")
-    draft = fs.Path(f"{folder}/{MARKER}.{uuid.uuid4().hex}")
-    stream = draft.getFileSystem(conf).create(draft, True)
+#: Stores without a rename in one step, where a file appears whole when it is closed.
+OBJECT_STORES = ("s3", "s3a", "s3n", "gs", "abfs", "abfss", "wasb", "wasbs", "oss", "cosn")
+
+
+def _scheme(spark: SparkSession, path) -> str:
+    _, conf = _hadoop(spark)
+    return path.getFileSystem(conf).getUri().getScheme() or "file"
+
+
+def _put(spark: SparkSession, path, text: str, overwrite: bool) -> None:
+    _, conf = _hadoop(spark)
+    stream = path.getFileSystem(conf).create(path, overwrite)
     try:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
+
+
+def _rename(spark: SparkSession, source, target, overwrite: bool) -> None:
+    fs, conf = _hadoop(spark)
     rename = getattr(fs, "Options$Rename")
     flags = spark.sparkContext._gateway.new_array(rename, 1)
-    flags[0] = rename.OVERWRITE
-    fs.FileContext.getFileContext(target.toUri(), conf).rename(draft, target, flags)
+    flags[0] = rename.OVERWRITE if overwrite else rename.NONE
+    fs.FileContext.getFileContext(target.toUri(), conf).rename(source, target, flags)
+
+
+def write_marker(spark: SparkSession, folder: str, text: str) -> None:
+    """Replace the marker of a folder: by a rename, or on an object store, whose renames are a
+    copy and a delete, by one overwriting put."""
+    fs, _ = _hadoop(spark)
+    target = fs.Path(f"{folder}/{MARKER}")
+    if _scheme(spark, target) in OBJECT_STORES:
+        _put(spark, target, text, overwrite=True)
+        return
+    draft = fs.Path(f"{folder}/{MARKER}.{uuid.uuid4().hex}")
+    _put(spark, draft, text, overwrite=True)
+    _rename(spark, draft, target, overwrite=True)
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a file that must not exist yet; false if somebody else was first.
+
+    Local disks link a finished draft, HDFS renames it without overwriting, object stores put
+    it on the condition that the name is free: each shows the file whole or not at all.
+    """
+    fs, conf = _hadoop(spark)
+    target = fs.Path(path)
+    scheme = _scheme(spark, target)
+    if scheme in OBJECT_STORES:
+        if target.getFileSystem(conf).exists(target):
+            return False
+        try:
+            _put(spark, target, text, overwrite=False)
+        except Py4JJavaError:
+            if target.getFileSystem(conf).exists(target):
+                return False
+            raise
+        return True
+    draft = fs.Path(f"{target.getParent().toString()}/.draft-{uuid.uuid4().hex}")
+    _put(spark, draft, text, overwrite=True)
+    try:
+        if scheme == "file":
+            os.link(draft.toUri().getPath(), target.toUri().getPath())
+        else:
+            _rename(spark, draft, target, overwrite=False)
+    except FileExistsError:
+        return False
+    except Py4JJavaError:
+        if target.getFileSystem(conf).exists(target):
+            return False
+        raise
+    finally:
+        draft.getFileSystem(conf).delete(draft, False)
+    return True
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names directly under a folder; none where it is missing."""
+    if not path_exists(spark, folder):
+        return []
+    fs, conf = _hadoop(spark)
+    target = fs.Path(folder)
+    return [s.getPath().getName() for s in target.getFileSystem(conf).listStatus(target)]
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, conf = _hadoop(spark)
+    target = fs.Path(path)
+    target.getFileSystem(conf).delete(target, True)
 
 
 def read_marker(spark: SparkSession, folder: str) -> str | None:
-    if not path_exists(spark, f"{folder}/{MARKER}"):
+    return read_file(spark, f"{folder}/{MARKER}")
+
+
+def read_file(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, or None where there is none."""
+    if not path_exists(spark, path):
         return None
     fs, conf = _hadoop(spark)
-    target = fs.Path(f"{folder}/{MARKER}")
+    target = fs.Path(path)
     stream = target.getFileSystem(conf).open(target)
     try:
         return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
@@ -117,38 +200,76 @@ def write_version(df: DataFrame, path: str, month: bool = False) -> int:
     return counted.get["rows"]
 
 
-def publish(df: DataFrame, name: str, root: str, view: bool = True) -> dict:
-    """Publish one mart; an empty one is refused. Returns its name, rows and version."""
-    spec, spark = mart_spec(name), df.sparkSession
+def write_draft(df: DataFrame, name: str, root: str) -> dict:
+    """Write a version nobody reads yet; an empty one is refused."""
+    spec = mart_spec(name)
     version = f"v={uuid.uuid4().hex}"
     rows = write_version(
         laid_out(df, spec), f"{root}/{name}/{version}", month=spec.month_of is not None
     )
     if rows == 0:
         raise RuntimeError(f"{name}: 0 rows written; refusing to replace live data")
-    write_marker(spark, f"{root}/{name}", version)
+    return {"table": name, "version": version, "rows": rows}
+
+
+def read_version(spark: SparkSession, root: str, name: str, version: str) -> DataFrame:
+    """One version of a table. The schema comes from its files."""
+    return spark.read.parquet(f"{root}/{name}/{version}").drop("month")
+
+
+def go_live(spark: SparkSession, draft: dict, root: str, view: bool = True) -> None:
+    name = draft["table"]
+    write_marker(spark, f"{root}/{name}", draft["version"])
     if view:
         published(spark, root, name).createOrReplaceTempView(name)
-    return {"table": name, "version": version, "rows": rows}
 
 
-def publish_all(marts: dict[str, DataFrame], root: str, only: str | None = None) -> list[dict]:
+def publish(df: DataFrame, name: str, root: str, view: bool = True) -> dict:
+    """Publish one mart. Returns its name, rows and version."""
+    draft = write_draft(df, name, root)
+    go_live(df.sparkSession, draft, root, view)
+    return draft
+
+
+def publish_all(
+    marts: dict[str, DataFrame],
+    root: str,
+    only: str | None = None,
+    gate: Callable[[dict[str, DataFrame]], None] | None = None,
+) -> list[dict]:
     """Publish the marts, or one of them by name. They do not depend on each other, so
-    their jobs share the cluster: the tail of one overlaps the start of the next."""
+    their jobs share the cluster: the tail of one overlaps the start of the next.
+
+    All drafts are written before anything goes live. The gate reads them and raises to stop:
+    then the drafts are removed and readers keep what they have.
+    """
     if only is not None:
         mart_spec(only)
     chosen = {name: df for name, df in marts.items() if only in (None, name)}
-    with ThreadPoolExecutor(max_workers=max(1, len(chosen))) as pool:
-        return list(pool.map(lambda item: publish(item[1], item[0], root), chosen.items()))
+    if not chosen:
+        return []
+    spark = next(iter(chosen.values())).sparkSession
+    with ThreadPoolExecutor(max_workers=len(chosen)) as pool:
+        drafts = list(pool.map(lambda item: write_draft(item[1], item[0], root), chosen.items()))
+    if gate is not None:
+        try:
+            gate({d["table"]: read_version(spark, root, d["table"], d["version"]) for d in drafts})
+        except Exception:
+            for draft in drafts:
+                delete_path(spark, f"{root}/{draft['table']}/{draft['version']}")
+            raise
+    for draft in drafts:
+        go_live(spark, draft, root)
+    return drafts
 
 
 def published(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The current version of a published table. The schema comes from its files."""
+    """The current version of a published table."""
     mart_spec(name)
     version = read_marker(spark, f"{root}/{name}")
     if version is None:
         raise FileNotFoundError(f"{name} has never been published under {root}")
-    return spark.read.parquet(f"{root}/{name}/{version}").drop("month")
+    return read_version(spark, root, name, version)
 
 
 def drop_old_versions(spark: SparkSession, root: str, name: str, keep: int = 2) -> int:

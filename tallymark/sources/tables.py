@@ -8,6 +8,7 @@ rebalance hint, which lets adaptive execution split a day that holds most of the
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallymark.schemas import (
@@ -32,13 +33,43 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def count_files(spark: SparkSession, path: str) -> int:
+    """Data files under a folder; marker and hidden files do not count."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(path)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(target, True)
+    count = 0
+    while found.hasNext():
+        count += found.next().getPath().getName()[0] not in "._"
+    return count
+
+
+COMMITTED = "dataset string, batch string"
+
+
+def _commits(spark: SparkSession, root: str) -> DataFrame:
+    """(dataset, batch) of every batch whose commit record was written."""
+    if not path_exists(spark, f"{root}/commits"):
+        return spark.createDataFrame([], COMMITTED)
+    return spark.read.schema(COMMITTED).json(f"{root}/commits")
+
+
+def committed_rows(spark: SparkSession, root: str, dataset: str, schema: StructType) -> DataFrame:
+    """Rows of committed batches only: a half-written batch of a drain that is still going, or
+    died, stays out. The join prunes batch folders before any file is read."""
+    raw = spark.read.schema(
+        StructType(list(nullable(schema).fields)).add("batch", "string").add("ingest_date", "date")
+    ).parquet(f"{root}/{dataset}")
+    done = _commits(spark, root).where(F.col("dataset") == dataset).select("batch").distinct()
+    return raw.join(done, "batch", "semi").select(*schema.names)
+
+
 def read_raw(spark: SparkSession, root: str, dataset: str) -> DataFrame:
     """Every committed delivery of a dataset, over all drains."""
     path = f"{root}/{dataset}"
     if not path_exists(spark, path):
         raise FileNotFoundError(f"no raw data under {path}; run the ingest first")
-    schema = nullable(DATASETS[dataset])
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+    return committed_rows(spark, root, dataset, DATASETS[dataset])
 
 
 def write_staged(staged: DataFrame, root: str, dataset: str) -> str:

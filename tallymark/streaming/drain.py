@@ -23,9 +23,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallymark.operators.coerce import accepted, coerce, quarantined, require_rows
-from tallymark.sources.tables import path_exists
+from tallymark.sources.tables import count_files, path_exists
 
-COMMIT = "dataset string, topic string, consumed bigint, written bigint, malformed bigint, ingested_at string"
+COMMIT = (
+    "dataset string, topic string, consumed bigint, written bigint, malformed bigint,"
+    " files bigint, quarantine_files bigint, ingested_at string"
+)
+
+
+_COUNTS = ("consumed", "written", "malformed", "files", "quarantine_files")
 
 
 @dataclass(frozen=True)
@@ -35,13 +41,13 @@ class Dataset:
     schema: StructType
 
 
-def _tag(checkpoint: str) -> str:
+def checkpoint_tag(checkpoint: str) -> str:
     """A new checkpoint is a new reader: its batches must not overwrite older ones."""
     return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
 
-def _write(df: DataFrame, path: str) -> int:
-    """Replace one batch folder and return its row count, counted while writing."""
+def _write(df: DataFrame, path: str) -> tuple[int, int]:
+    """Replace one batch folder and return its rows, counted while writing, and its files."""
     counted = Observation()
     (
         df.withColumn("ingest_date", F.to_date("ingested_at"))
@@ -51,7 +57,7 @@ def _write(df: DataFrame, path: str) -> int:
         .partitionBy("ingest_date")
         .parquet(path)
     )
-    return counted.get["rows"]
+    return counted.get["rows"], count_files(df.sparkSession, path)
 
 
 def write_batch(
@@ -69,9 +75,9 @@ def write_batch(
         try:
             folder = f"batch={batch_name}"
             good = accepted(rows, dataset.schema, ingested_at)
-            written = _write(good, f"{out}/{dataset.name}/{folder}")
+            written, files = _write(good, f"{out}/{dataset.name}/{folder}")
             bad = quarantined(rows, ingested_at)
-            malformed = _write(bad, f"{out}/quarantine/{dataset.name}/{folder}")
+            malformed, bad_files = _write(bad, f"{out}/quarantine/{dataset.name}/{folder}")
         finally:
             rows.unpersist()
         records.append(
@@ -81,6 +87,8 @@ def write_batch(
                 "consumed": written + malformed,
                 "written": written,
                 "malformed": malformed,
+                "files": files,
+                "quarantine_files": bad_files,
                 "ingested_at": stamp.isoformat(),
             }
         )
@@ -98,15 +106,13 @@ def drain(
 ) -> dict[str, dict[str, int]]:
     """Drain the stream and return counts per dataset for this run."""
     stamp = stamp or datetime.now(UTC)
-    tag = _tag(checkpoint)
-    stats = {
-        d.name: {"consumed": 0, "written": 0, "malformed": 0, "batches": 0} for d in datasets
-    }
+    tag = checkpoint_tag(checkpoint)
+    stats = {d.name: dict.fromkeys((*_COUNTS, "batches"), 0) for d in datasets}
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         for record in write_batch(batch, f"{tag}-{batch_id:08d}", datasets, out, stamp):
             counts = stats[record["dataset"]]
-            for key in ("consumed", "written", "malformed"):
+            for key in _COUNTS:
                 counts[key] += record[key]
             counts["batches"] += 1
 
@@ -136,13 +142,3 @@ def commits(spark: SparkSession, out: str) -> DataFrame:
     if not path_exists(spark, f"{out}/commits"):
         return spark.createDataFrame([], f"{COMMIT}, batch string")
     return spark.read.schema(f"{COMMIT}, batch string").json(f"{out}/commits")
-
-
-def read_committed(spark: SparkSession, out: str, dataset: str, schema: StructType) -> DataFrame:
-    """Raw rows of committed batches only: a half-written batch of a run that is still
-    going, or died, stays out. The join prunes batch folders before any file is read."""
-    raw = spark.read.schema(
-        StructType(list(schema.fields)).add("batch", "string").add("ingest_date", "date")
-    ).parquet(f"{out}/{dataset}")
-    done = commits(spark, out).where(F.col("dataset") == dataset).select("batch").distinct()
-    return raw.join(done, "batch", "semi").select(*schema.names)

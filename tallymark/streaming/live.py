@@ -1,88 +1,176 @@
 """Continuous forms of dedupe and latest status.
 
-Both keep their state in Spark's state store, so a micro-batch costs what arrived and not
-what is already known.
+Both keep what they know as files in hash buckets, not in a state store: a micro-batch reads
+and writes only the buckets of the keys it holds, and no event is too late. Folders carry the
+checkpoint's tag or a fresh name, so a replay with a new checkpoint adds to what is there and
+never outranks it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tallymark.functions import status_rank
 from tallymark.operators.staging import TRANSACTION_KEY
-from tallymark.schemas import TRANSACTION_EVENT
-from tallymark.sources.tables import path_exists
+from tallymark.schemas import TRANSACTION_EVENT, nullable
+from tallymark.sources.publish import delete_path, read_marker, write_marker
+from tallymark.sources.tables import materialize, path_exists
+from tallymark.streaming.drain import checkpoint_tag
+
+#: Buckets of the kept events and of the snapshot. Fixed for the life of an output folder; a
+#: batch collects the numbers of the buckets it touches, at most so many.
+BUCKETS = 64
 
 _ORDER = ("updated_at", "status_rank", "event_id")
 _REST = tuple(
     c for c in TRANSACTION_EVENT.names if c not in (*_ORDER, "transaction_ref", "ingested_at")
 )
+_SNAPSHOT = StructType([*nullable(TRANSACTION_EVENT).fields]).add("successful_at", "timestamp")
 
 
-def dedupe_stream(events: DataFrame, delay: str) -> DataFrame:
-    """Drop redeliveries that arrive within `delay` of the first copy by event time."""
-    return events.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(
-        list(TRANSACTION_KEY)
-    )
+def _bucket(*keys: str) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int").alias("bucket")
+
+
+def _touched(rows: DataFrame) -> list[int]:
+    return sorted(r["bucket"] for r in rows.select("bucket").distinct().collect())
+
+
+def _run(events: DataFrame, on_batch, checkpoint: str, available_now: bool) -> StreamingQuery:
+    writer = events.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+# --- first deliveries
+
+
+def _kept_schema() -> StructType:
+    return StructType([*nullable(TRANSACTION_EVENT).fields]).add("batch", "string").add("bucket", "int")
+
+
+def keep_first_deliveries(batch: DataFrame, batch_name: str, out: str) -> None:
+    """Append the events of a batch whose key no other batch has kept.
+
+    Of several deliveries in the batch the earliest stays. Only the buckets of the batch's
+    keys are read. A retried batch overwrites its own folder and does not see it as known.
+    """
+    spark = batch.sparkSession
+    rest = [c for c in TRANSACTION_EVENT.names if c not in TRANSACTION_KEY]
+    order = ["ingested_at", *[c for c in rest if c != "ingested_at"]]
+    first = batch.groupBy(*TRANSACTION_KEY).agg(F.min(F.struct(*order)).alias("first"))
+    first = first.select(*TRANSACTION_KEY, "first.*").withColumn("bucket", _bucket(*TRANSACTION_KEY))
+    first = materialize(first, "first-deliveries")
+    fresh = first
+    if path_exists(spark, out):
+        known = spark.read.schema(_kept_schema()).parquet(out)
+        known = known.where(F.col("bucket").isin(_touched(first)) & (F.col("batch") != batch_name))
+        same = [first[k].eqNullSafe(known[k]) for k in TRANSACTION_KEY]
+        fresh = first.join(known, same, "left_anti")
+    fresh.select(*TRANSACTION_EVENT.names, "bucket").write.mode("overwrite").partitionBy(
+        "bucket"
+    ).parquet(f"{out}/batch={batch_name}")
+
+
+def start_dedupe(
+    events: DataFrame, out: str, checkpoint: str, available_now: bool = True
+) -> StreamingQuery:
+    """Keep one delivery of every event, however late it or its redeliveries come."""
+    tag = checkpoint_tag(checkpoint)
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        keep_first_deliveries(batch, f"{tag}-{batch_id:08d}", out)
 
+    return _run(events, on_batch, checkpoint, available_now)
 
-def latest_status_stream(events: DataFrame) -> DataFrame:
-    """Latest event and last success per transaction, over everything seen so far.
 
-    max is not moved by a second copy, so redeliveries need no separate dedupe: of equal
-    events the earliest arrival wins.
+def deduped(spark: SparkSession, out: str) -> DataFrame:
+    """The kept events."""
+    if not path_exists(spark, out):
+        return spark.createDataFrame([], nullable(TRANSACTION_EVENT))
+    return spark.read.schema(_kept_schema()).parquet(out).select(*TRANSACTION_EVENT.names)
+
+
+# --- latest status
+
+
+def _latest(rows: DataFrame) -> DataFrame:
+    """One row per transaction: its last event by event order and its last success.
+
+    max is moved neither by a second copy nor by an older event, so merging a batch twice, or
+    in another order, gives the same rows. Of equal events the earliest arrival wins.
     """
     arrival = (-F.unix_micros("ingested_at")).alias("_arrival")
-    ranked = events.withColumn("status_rank", status_rank(F.col("status")))
+    ranked = rows.withColumn("status_rank", status_rank(F.col("status")))
     latest = F.max(F.struct(*_ORDER, arrival, *_REST)).alias("last")
-    success = F.max(F.when(F.col("status") == "success", F.col("updated_at")))
-    return ranked.groupBy("transaction_ref").agg(latest, success.alias("successful_at"))
+    grouped = ranked.groupBy("transaction_ref").agg(
+        latest, F.max("successful_at").alias("successful_at")
+    )
+    arrived = F.timestamp_micros(-F.col("_arrival")).alias("ingested_at")
+    names = [arrived if c == "ingested_at" else F.col(c) for c in TRANSACTION_EVENT.names]
+    return grouped.select("transaction_ref", "last.*", "successful_at").select(*names, "successful_at")
+
+
+def _state(spark: SparkSession, out: str) -> dict[str, str]:
+    """Bucket number to the folder that holds its rows."""
+    text = read_marker(spark, out) if path_exists(spark, out) else None
+    return {} if text is None else json.loads(text)["folders"]
+
+
+def _rows(spark: SparkSession, out: str, state: dict[str, str], buckets: list[str]) -> DataFrame | None:
+    paths = [f"{out}/{state[b]}/bucket={b}" for b in buckets if b in state]
+    paths = [p for p in paths if path_exists(spark, p)]
+    return spark.read.schema(_SNAPSHOT).parquet(*paths) if paths else None
 
 
-def _flat(grouped: DataFrame) -> DataFrame:
-    return grouped.select("transaction_ref", "last.*", "successful_at").select(
-        *[
-            F.timestamp_micros(-F.col("_arrival")).alias("ingested_at") if c == "ingested_at" else c
-            for c in TRANSACTION_EVENT.names
-        ],
-        "successful_at",
+def merge_latest(batch: DataFrame, out: str) -> None:
+    """Fold a batch into the snapshot: rewrite the touched buckets, then move the marker.
+
+    The folders that only the state before last refers to are removed; a reader that has
+    resolved the last state still finds its files.
+    """
+    spark = batch.sparkSession
+    success = F.when(F.col("status") == "success", F.col("updated_at")).alias("successful_at")
+    changed = _latest(batch.select(*TRANSACTION_EVENT.names, success))
+    changed = materialize(changed.withColumn("bucket", _bucket("transaction_ref")), "changed")
+    touched = [str(b) for b in _touched(changed)]
+    if not touched:
+        return
+    text = read_marker(spark, out) if path_exists(spark, out) else None
+    before = {"folders": {}, "previous": []} if text is None else json.loads(text)
+    state = before["folders"]
+    rows = changed.drop("bucket")
+    known = _rows(spark, out, state, touched)
+    if known is not None:
+        rows = _latest(rows.unionByName(known))
+    folder = f"v={uuid.uuid4().hex}"
+    rows.withColumn("bucket", _bucket("transaction_ref")).write.partitionBy("bucket").parquet(
+        f"{out}/{folder}"
     )
+    after = {**state, **dict.fromkeys(touched, folder)}
+    live, last = set(after.values()), set(state.values())
+    write_marker(spark, out, json.dumps({"folders": after, "previous": sorted(last - live)}))
+    for old in set(before["previous"]) - live - last:
+        delete_path(spark, f"{out}/{old}")
 
 
 def start_latest_status(
     events: DataFrame, out: str, checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:
-    """Write the transactions each micro-batch changed, one folder per batch. A retried
-    batch overwrites its folder."""
-
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        _flat(batch).write.mode("overwrite").parquet(f"{out}/seq={batch_id}")
-
-    writer = (
-        latest_status_stream(events)
-        .writeStream.outputMode("update")
-        .foreachBatch(on_batch)
-        .option("checkpointLocation", checkpoint)
-    )
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+    """Keep the snapshot of latest statuses current. Merging is idempotent: a retried batch or
+    a replay changes nothing."""
+    return _run(events, lambda batch, _: merge_latest(batch, out), checkpoint, available_now)
 
 
 def live_snapshot(spark: SparkSession, out: str) -> DataFrame:
-    """Current row per transaction: the one from the highest batch that touched it."""
-    names = [*TRANSACTION_EVENT.names, "successful_at"]
-    schema = StructType(list(TRANSACTION_EVENT.fields)).add("successful_at", "timestamp")
-    if not path_exists(spark, out):
-        return spark.createDataFrame([], schema)
-    rows = spark.read.schema(schema.add("seq", "long")).parquet(out)
-    rest = [c for c in names if c != "transaction_ref"]
-    return (
-        rows.groupBy("transaction_ref")
-        .agg(F.max(F.struct("seq", *rest)).alias("last"))
-        .select("transaction_ref", "last.*")
-        .select(*names)
-    )
+    """Current row per transaction, read as it stands."""
+    state = _state(spark, out)
+    rows = _rows(spark, out, state, list(state))
+    return spark.createDataFrame([], _SNAPSHOT) if rows is None else rows

@@ -357,3 +357,77 @@ def test_constraints_find_each_fault(base):
     names = {r["constraint_name"] for r in broken.collect()}
     assert len(names) == 7
     assert ck.case_constraint_violations(base.second_cases()).isEmpty()
+
+
+# --- Changes that cross ----------------------------------------------------------------
+
+
+def crossing(monkeypatch, store, other):
+    """Another writer changes the store just before the first commit that follows."""
+    from tallymark.sources import case_store as module
+
+    real, left = module.create_file, [other]
+
+    def create(spark, path, text):
+        if left:
+            left.pop()()
+        return real(spark, path, text)
+
+    monkeypatch.setattr(module, "create_file", create)
+
+
+def agree(store):
+    """Every decided case has an action in the log that says so."""
+    last = store.actions().groupBy("case_id").agg(F.max_by("resulting_status", "action_id").alias("last"))
+    both = store.cases().join(last, "case_id", "left")
+    return both.where(~F.col("analyst_status").eqNullSafe(F.col("last"))).isEmpty()
+
+
+def test_an_action_inside_a_sync_is_not_lost(store, spark, monkeypatch):
+    store.sync(breaks(spark, brk(1), brk(2)), stamp(0))
+    crossing(monkeypatch, store, lambda: store.apply(log(spark, request(1, 1, "CLOSE"))))
+    store.sync(breaks(spark, brk(1, exposure=77), brk(2)), stamp(1))
+    assert status_of(store, 1) == ("CLOSED", True)
+    assert store.actions().count() == 1 and agree(store)
+
+
+def test_two_crossing_applies_keep_both(store, spark, monkeypatch):
+    store.sync(breaks(spark, brk(1), brk(2)), stamp(0))
+    crossing(monkeypatch, store, lambda: store.apply(log(spark, request(1, 1, "CLOSE"))))
+    applied = store.apply(log(spark, request(2, 1, "START_REVIEW"), request(3, 2, "ESCALATE")))
+    assert outcomes(applied)[3] == "accepted" and outcomes(applied)[2] != "accepted"
+    assert sorted(r.action_id for r in store.actions().collect()) == [1, 3]
+    assert status_of(store, 1)[0] == "CLOSED" and status_of(store, 2)[0] == "ESCALATED"
+    assert agree(store)
+
+
+def test_a_log_rewrite_crossing_an_apply_loses_no_row(store, spark, monkeypatch):
+    store.sync(breaks(spark, brk(1), brk(2)), stamp(0))
+    store.apply(log(spark, request(1, 1, "CLOSE")))
+    crossing(monkeypatch, store, lambda: store.apply(log(spark, request(2, 2, "ESCALATE"))))
+    store.replace_log(lambda old: old.coalesce(1))
+    assert sorted(r.action_id for r in store.actions().collect()) == [1, 2] and agree(store)
+    stale = spark.createDataFrame(store.actions().where("action_id = 1").collect(), nullable(CASE_ACTION))
+    with pytest.raises(ValueError, match="append-only"):
+        store.replace_log(stale)
+
+
+def test_old_states_and_their_files_go(store, spark, tmp_path):
+    from tallymark.sources.case_store import KEEP_STATES
+
+    for n in range(KEEP_STATES + 3):
+        store.sync(breaks(spark, brk(1, exposure=n)), stamp(0))
+    assert len(list((tmp_path / "store" / "states").glob("*.json"))) == KEEP_STATES
+    assert len(list((tmp_path / "store" / "cases").glob("v=*"))) == KEEP_STATES
+    assert store.cases().first()["exposure_kobo"] == KEEP_STATES + 2
+
+
+@pytest.mark.parametrize("column", ["case_id", "break_type", "merchant_id", "exposure_kobo"])
+def test_a_break_without_a_required_field_is_refused(store, spark, column):
+    store.sync(breaks(spark, brk(1)), stamp(0))
+    feed = breaks(spark, brk(1), brk(2)).withColumn(
+        column, F.when(F.col("transaction_ref") == brk(1)[1], F.col(column))
+    )
+    with pytest.raises(ValueError, match="constraint violated|not unique"):
+        store.sync(feed, stamp(1))
+    assert store.cases().count() == 1

@@ -1,9 +1,11 @@
 import json
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallymark import functions as fn
+from tallymark.operators import checks
 from tallymark.operators import ledger as lg
 from tallymark.operators import staging as st
 from tallymark.plans import fixtures
@@ -29,7 +31,14 @@ from tallymark.sources.publish import (
 from tallymark.sources.tables import read_json, read_staged, write_json, write_table
 from tallymark.sources.topics import file_messages
 from tallymark.streaming.drain import Dataset, drain
-from tallymark.streaming.live import dedupe_stream, live_snapshot, start_latest_status
+from tallymark.streaming.live import (
+    deduped,
+    keep_first_deliveries,
+    live_snapshot,
+    merge_latest,
+    start_dedupe,
+    start_latest_status,
+)
 
 # --- Publishing ------------------------------------------------------------------------
 
@@ -114,22 +123,83 @@ def test_stream_of_events_ends_in_the_batch_result(spark, base, tmp_path):
     assert live_snapshot(spark, out).exceptAll(batch).isEmpty()
 
 
-def test_stream_dedupe_drops_redeliveries(spark, base, tmp_path):
-    folder = str(tmp_path / "events")
+def rows_as(spark, events, *changes):
+    """One event of the base, with columns replaced."""
+    one = events.orderBy("event_id").limit(1)
+    rows = [one.withColumns({k: F.lit(v).cast(one.schema[k].dataType) for k, v in c.items()}) for c in changes]
+    return reduce(lambda a, b: a.unionByName(b), rows)
+
+
+def feed(spark, folder, schema):
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def test_stream_dedupe_is_the_batch_dedupe(spark, base, tmp_path):
+    folder, out = str(tmp_path / "events"), str(tmp_path / "out")
     schema = split_events(base, folder)
-    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    query = (
-        dedupe_stream(source, "30 days")
-        .writeStream.format("parquet")
-        .option("path", str(tmp_path / "out"))
-        .option("checkpointLocation", str(tmp_path / "ck"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    got = spark.read.schema(schema).parquet(str(tmp_path / "out"))
-    assert got.count() == 3012
-    assert got.select("transaction_ref", "event_id").distinct().count() == 3012
+    start_dedupe(feed(spark, folder, schema), out, str(tmp_path / "ck")).awaitTermination()
+    got = deduped(spark, out)
+    want = st.dedupe_transactions(base.raw_transactions())
+    keys = ["transaction_ref", "event_id"]
+    assert got.count() == want.count() == got.select(*keys).distinct().count()
+    same = [c for c in want.columns if c != "ingested_at"]
+    assert got.select(*same).exceptAll(want.select(*same)).isEmpty()
+    # a replay with a new checkpoint adds nothing
+    start_dedupe(feed(spark, folder, schema), out, str(tmp_path / "ck2")).awaitTermination()
+    assert deduped(spark, out).count() == want.count()
+
+
+def test_a_late_first_delivery_is_kept(spark, base, tmp_path):
+    folder, out, ck = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")
+    raw = base.raw_transactions()
+    early = {"event_id": "a", "event_ts": "2024-01-10 00:00:00"}
+    later = {"event_id": "b", "event_ts": "2024-01-11 00:00:00"}
+    late = {"event_id": "c", "event_ts": "2023-06-01 00:00:00"}
+    for changes in ([early], [later, later], [late], [early, late]):
+        rows_as(spark, raw, *changes).coalesce(1).write.mode("append").parquet(folder)
+        stream = feed(spark, folder, nullable(TRANSACTION_EVENT))
+        start_dedupe(stream, out, ck).awaitTermination()
+    assert sorted(r.event_id for r in deduped(spark, out).collect()) == ["a", "b", "c"]
+
+
+def test_a_retried_batch_keeps_its_events(spark, base, tmp_path):
+    out = str(tmp_path / "out")
+    rows = base.raw_transactions().limit(50)
+    for _ in range(2):
+        keep_first_deliveries(rows, "t-1", out)
+    assert deduped(spark, out).count() == st.dedupe_transactions(rows).count()
+
+
+def test_snapshot_after_a_replay_is_the_batch_result(spark, base, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    raw = base.raw_transactions()
+    first = {"transaction_ref": "t", "event_id": "e1", "status": "pending", "updated_at": "2024-01-01 00:00:00"}
+    second = {**first, "event_id": "e2", "status": "success", "updated_at": "2024-01-02 00:00:00"}
+    third = {**first, "event_id": "e3", "status": "reversed", "updated_at": "2024-01-03 00:00:00"}
+    schema = nullable(TRANSACTION_EVENT)
+
+    def add(change, checkpoint):
+        rows_as(spark, raw, change).coalesce(1).write.mode("append").parquet(folder)
+        start_latest_status(feed(spark, folder, schema), out, str(tmp_path / checkpoint)).awaitTermination()
+
+    add(first, "ck")
+    add(second, "ck")
+    add(third, "ck2")  # a new checkpoint replays all three
+    events = spark.read.schema(schema).parquet(folder)
+    want = st.latest_status(st.dedupe_transactions(events))
+    assert [r.event_id for r in live_snapshot(spark, out).collect()] == ["e3"]
+    assert live_snapshot(spark, out).exceptAll(want).isEmpty()
+
+
+def test_a_batch_rewrites_only_the_buckets_it_touches(spark, base, tmp_path):
+    out = str(tmp_path / "out")
+    raw = base.raw_transactions()
+    merge_latest(raw, out)
+    before = json.loads(read_marker(spark, out))["folders"]
+    merge_latest(rows_as(spark, raw, {"transaction_ref": "new"}), out)
+    after = json.loads(read_marker(spark, out))["folders"]
+    assert sum(before.get(b) != after[b] for b in after) == 1
+    assert live_snapshot(spark, out).count() == raw.select("transaction_ref").distinct().count() + 1
 
 
 def test_messages_to_staged_rows(spark, base, tmp_path):
@@ -254,3 +324,74 @@ def test_constants():
 def test_work_folder_follows_the_session(spark):
     root = work_root(spark)
     assert root == work_root(spark) and not root.endswith("/")
+
+
+# --- The gate before publishing --------------------------------------------------------
+
+
+def all_tables(ws):
+    return {
+        "stg_transactions": ws.stg_transactions(),
+        "stg_settlements": ws.stg_settlements(),
+        **ws.tables(),
+    }
+
+
+def test_sound_tables_pass_the_gate(base):
+    checks.require_data_tests(all_tables(base))
+
+
+BREAKAGES = {
+    "mart_settlement_reconciliation": (
+        fixtures.break_recon,
+        ["break_flags", "matched_with_outstanding", "inconsistent_matched", "stale_but_missing"]
+        + ["not_null_reconciliation_status", "accepted_break_type"],
+    ),
+    "stg_transactions": (
+        fixtures.break_stg_transactions,
+        ["not_null_merchant_id", "accepted_status", "accepted_currency"],
+    ),
+    "fct_transactions": (
+        fixtures.break_fct_transactions,
+        ["negative_money", "usd_without_rate"],
+    ),
+    "fct_settlements": (fixtures.break_fct_settlements, ["settled_before_charge"]),
+    "mart_merchant_daily": (fixtures.break_success_rate, ["success_rate_range"]),
+    "mart_channel_performance": (fixtures.break_success_rate, ["success_rate_range"]),
+}
+
+
+@pytest.mark.parametrize("table", list(BREAKAGES))
+def test_every_broken_rule_stops_the_gate(base, table):
+    broken, rules = BREAKAGES[table]
+    tables = all_tables(base)
+    with pytest.raises(RuntimeError) as failed:
+        checks.require_data_tests({**tables, table: broken(tables[table])})
+    for rule in rules:
+        assert f"{table}.{rule}=" in str(failed.value)
+
+
+def test_copies_orphans_and_lost_rows_stop_the_gate(base):
+    tables = all_tables(base)
+    fct, lines, daily = (tables[t] for t in ("fct_transactions", "stg_settlements", "mart_merchant_daily"))
+    for table, rows, rule in (
+        ("fct_transactions", fct.unionByName(fct.limit(3)), "unique_transaction_ref"),
+        ("stg_settlements", lines.withColumn("transaction_ref", F.lit("TX_0")), "line_has_charge"),
+        ("mart_merchant_daily", daily.limit(1), "ties_to_fact"),
+    ):
+        with pytest.raises(RuntimeError, match=rf"{table}\.{rule}="):
+            checks.require_data_tests({**tables, table: rows})
+
+
+def test_a_closed_gate_leaves_the_old_version_live(spark, base, tmp_path):
+    root, marts = str(tmp_path), {"mart_merchant_daily": base.daily}
+    (old,) = publish_all(marts, root)
+
+    def closed(drafts):
+        assert drafts["mart_merchant_daily"].count() == base.daily.count()
+        raise RuntimeError("closed")
+
+    with pytest.raises(RuntimeError, match="closed"):
+        publish_all(marts, root, gate=closed)
+    assert read_marker(spark, f"{root}/mart_merchant_daily") == old["version"]
+    assert len(list((tmp_path / "mart_merchant_daily").glob("v=*"))) == 1
