@@ -53,7 +53,7 @@ def _run(events: DataFrame, on_batch, checkpoint: str, available_now: bool) -> S
 
 
 def _kept_schema() -> StructType:
-    return StructType([*nullable(TRANSACTION_EVENT).fields]).add("batch", "string").add("bucket", "int")
+    return StructType([*nullable(TRANSACTION_EVENT).fields]).add("batch", "string").add("bucket", "integer")
 
 
 def keep_first_deliveries(batch: DataFrame, batch_name: str, out: str) -> None:
