@@ -378,10 +378,19 @@ def data_tests(tables: dict[str, DataFrame]) -> DataFrame:
     parts = [table_tests(df, name) for name, df in tables.items()]
     orphans = check_relationship(lines, charges, "transaction_ref").agg(F.count("*").alias("n"))
     parts.append(single("stg_settlements", "line_has_charge", orphans, F.col("n")))
-    delta = mart_row_delta(recon, fct_tx, tables["fct_settlements"])
-    parts.append(single("mart_settlement_reconciliation", "ties_to_fact", delta, F.abs("row_delta")))
-    ties = daily_ties_to_fact(tables["mart_merchant_daily"], fct_tx)
-    parts.append(single("mart_merchant_daily", "ties_to_fact", ties, F.abs("difference")))
+    # both ties from one scan of each fact and mart
+    sides = [
+        _fact_counts(fct_tx, tables["fct_settlements"]).select("fct_tx_rows", "expected_rows"),
+        recon.agg(F.count("*").alias("recon_rows")),
+        tables["mart_merchant_daily"].agg(F.sum("attempts").alias("attempts")),
+    ]
+    wide = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
+    ties = wide.agg(*[F.max(c).alias(c) for c in wide.columns]).select(
+        F.abs(F.col("recon_rows") - F.col("expected_rows")).alias("mart_settlement_reconciliation"),
+        F.abs(F.col("attempts") - F.col("fct_tx_rows")).alias("mart_merchant_daily"),
+    )
+    ties = ties.unpivot([], ties.columns, "table_name", "violations")
+    parts.append(ties.select("table_name", F.lit("ties_to_fact").alias("rule"), "violations"))
     return _union(parts)
 
 
@@ -396,55 +405,85 @@ def require_data_tests(tables: dict[str, DataFrame]) -> None:
 # --- Report over the served tables --------------------------------------------------
 
 
-def serving_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """One row per check with its severity, count and outcome."""
-    recon = tables["mart_settlement_reconciliation"]
-    fct_tx, fct_stl = tables["fct_transactions"], tables["fct_settlements"]
-
-    # Every per-row rule on the reconciliation mart in one scan, unpivoted to rows.
-    matched = F.col("reconciliation_status") == "matched"
-    off = (
-        (F.col("settlement_variance_kobo") != 0)
-        | (F.col("outstanding_net_kobo") != 0)
-        | ~F.col("is_amount_matched")
-    )
+def _recon_counts(recon: DataFrame) -> DataFrame:
+    """Rows and every per-row rule of the reconciliation mart, in one scan."""
     settled = F.col("is_settled")
     ngn_off = (F.col("currency") == "NGN") & settled & ~F.col("is_amount_matched")
     usd_off = (F.col("currency") == "USD") & settled & (F.col("settlement_variance_kobo") != 0)
-    leftover = F.col("is_amount_matched") & (F.col("outstanding_net_kobo") != 0)
-    recon_counts = recon.agg(
-        F.when(F.count("*") == 0, 1)
-        .otherwise(0)
-        .cast("bigint")
-        .alias("mart_settlement_reconciliation_non_empty"),
-        F.count_if(leftover).alias("matched_rows_zero_outstanding"),
-        F.count_if(matched & off).alias("matched_reconciliation_consistency"),
+    return recon.agg(
+        F.count("*").alias("recon_rows"),
+        F.count_if(_matched_with_rest()).alias("matched_rows_zero_outstanding"),
+        F.count_if(_matched_off()).alias("matched_reconciliation_consistency"),
         F.count_if(ngn_off).alias("ngn_amount_discrepancies"),
         F.count_if(usd_off).alias("usd_rows_with_variance"),
     )
-    parts = [recon_counts.unpivot([], recon_counts.columns, "check_name", "violations")]
-    for name, df in tables.items():
-        if df is not recon:
-            empty = F.when(F.count("*") == 0, 1).otherwise(0).cast("bigint")
-            parts.append(
-                df.agg(empty.alias("violations")).select(
-                    F.lit(f"{name}_non_empty").alias("check_name"), "violations"
-                )
-            )
-    parts.append(
-        check_unique(fct_tx, "transaction_ref")
-        .agg(F.count("*").alias("violations"))
-        .select(F.lit("fct_transactions_unique_ref").alias("check_name"), "violations")
+
+
+def _fact_counts(fct_tx: DataFrame, fct_stl: DataFrame) -> DataFrame:
+    """Rows of both facts, refs with copies and the rows the mart must have, in one scan of
+    each: both sides are reduced to a row per ref before they meet."""
+    charges = fct_tx.groupBy("transaction_ref").agg(
+        F.count("*").alias("charges"),
+        F.count_if(F.col("is_settlement_eligible")).alias("eligible"),
+        F.count_if(F.col("is_reversed")).alias("reversed"),
     )
-    parts.append(
-        mart_row_delta(recon, fct_tx, fct_stl).select(
-            F.lit("reconciliation_ties_to_fact").alias("check_name"),
-            F.abs("row_delta").alias("violations"),
-        )
+    lines = fct_stl.groupBy("transaction_ref").agg(F.count("*").alias("lines"))
+    settled_reversed = F.when(F.col("lines").isNotNull(), F.col("reversed"))
+    zero = F.lit(0).cast("bigint")
+    return charges.join(lines, "transaction_ref", "full").agg(
+        F.coalesce(F.sum("charges"), zero).alias("fct_tx_rows"),
+        F.coalesce(F.sum("lines"), zero).alias("fct_stl_rows"),
+        F.count_if((F.col("charges") > 1) & F.col("transaction_ref").isNotNull()).alias(
+            "fct_transactions_unique_ref"
+        ),
+        (F.coalesce(F.sum("eligible"), zero) + F.coalesce(F.sum(settled_reversed), zero)).alias(
+            "expected_rows"
+        ),
     )
+
+
+def serving_report(tables: dict[str, DataFrame], rows: dict[str, int] | None = None) -> DataFrame:
+    """One row per check with its severity, count and outcome.
+
+    Tables that no rule looks into are only counted, and not read at all where their rows
+    are known from writing them (`rows`).
+    """
+    recon = tables["mart_settlement_reconciliation"]
+    parts = [_recon_counts(recon), _fact_counts(tables["fct_transactions"], tables["fct_settlements"])]
+    others = [n for n in tables if n.startswith("mart_") and tables[n] is not recon]
+    for name in others:
+        if rows is not None and name in rows:
+            parts[0] = parts[0].withColumn(name, F.lit(rows[name]).cast("bigint"))
+        else:
+            parts.append(tables[name].agg(F.count("*").alias(name)))
+    # one-row relations side by side: each column is known in exactly one of them
+    wide = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    one = wide.agg(*[F.max(c).alias(c) for c in wide.columns])
+
+    def empty(column: str) -> Column:
+        return (F.col(column) == 0).cast("bigint")
+
+    rules = {
+        "mart_settlement_reconciliation_non_empty": empty("recon_rows"),
+        "fct_transactions_non_empty": empty("fct_tx_rows"),
+        "fct_settlements_non_empty": empty("fct_stl_rows"),
+        **{f"{name}_non_empty": empty(name) for name in others},
+        "reconciliation_ties_to_fact": F.abs(F.col("recon_rows") - F.col("expected_rows")),
+        **{
+            name: F.col(name)
+            for name in (
+                "fct_transactions_unique_ref",
+                "matched_rows_zero_outstanding",
+                "matched_reconciliation_consistency",
+                "ngn_amount_discrepancies",
+                "usd_rows_with_variance",
+            )
+        },
+    }
+    counts = one.select(*[rule.alias(name) for name, rule in rules.items()])
     soft = F.col("check_name").isin("ngn_amount_discrepancies", "usd_rows_with_variance")
     return (
-        _union(parts)
+        counts.unpivot([], counts.columns, "check_name", "violations")
         .withColumn("severity", F.when(soft, "soft").otherwise("hard"))
         .withColumn(
             "outcome",

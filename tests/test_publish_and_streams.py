@@ -395,3 +395,13 @@ def test_a_closed_gate_leaves_the_old_version_live(spark, base, tmp_path):
         publish_all(marts, root, gate=closed)
     assert read_marker(spark, f"{root}/mart_merchant_daily") == old["version"]
     assert len(list((tmp_path / "mart_merchant_daily").glob("v=*"))) == 1
+
+
+def test_the_serving_report_reads_each_table_once(spark, base):
+    tables = base.tables()
+    rows = {name: df.count() for name, df in tables.items()}
+    report = checks.serving_report(tables, rows)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("parquet" in line for line in plan.splitlines()) == 3
+    counted = checks.serving_report(tables)
+    assert sorted(map(tuple, report.collect())) == sorted(map(tuple, counted.collect()))
