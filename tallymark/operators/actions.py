@@ -248,17 +248,23 @@ def apply_actions(
         )
 
     candidates = prepared.where(F.col("refused").isNull())
+    earlier = None
     if recorded is None:
         candidates = candidates.withColumn("owner", F.lit(None).cast(owner_type))
     else:
-        candidates = candidates.join(owners(recorded), "idempotency_key", "left")
+        # the audit log of all time is read once, and only its owners of keys of this run stay
+        keys = candidates.select("idempotency_key").distinct()
+        earlier = owners(recorded.select("idempotency_key", *OWNER)).join(keys, "idempotency_key", "semi")
+        earlier = materialize(earlier, "earlier-owners")
+        candidates = candidates.join(earlier, "idempotency_key", "left")
     candidates = candidates.withColumn("blocked", F.col("owner").isNotNull())
 
     while True:
         judged = materialize(_judge(candidates.drop("owner"), fan), "judged")
         taken = judged.where(F.col("accepted")).select("idempotency_key", *OWNER)
-        if recorded is not None:
-            taken = taken.unionByName(recorded.select("idempotency_key", *OWNER))
+        if earlier is not None:
+            known = [F.col(f"owner._{c}").alias(c) for c in OWNER]
+            taken = taken.unionByName(earlier.select("idempotency_key", *known))
         # both sides are plain scans, so a key with most of the requests can be split
         owned = materialize(owners(taken), "owners")
         verdict = judged.join(owned, "idempotency_key", "left").withColumn(

@@ -6,11 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Messages of one micro-batch at most. A drain goes on until nothing is left, so the limit
+#: only sets how much is done between two commits.
+MAX_OFFSETS = 50_000_000
+
+
 def kafka_messages(
     spark: SparkSession,
     bootstrap: str,
     topics: list[str],
-    max_offsets_per_trigger: int | None = None,
+    max_offsets_per_trigger: int | None = MAX_OFFSETS,
     **options: str,
 ) -> DataFrame:
     """Committed messages of the topics from the earliest offset on.
