@@ -28,10 +28,6 @@ FAILURE_REASONS = (
     "limit_exceeded",
     "suspected_fraud",
 )
-BANK_CODES = (
-    "044", "058", "057", "011", "033", "070", "214",
-    "032", "035", "232", "50211", "100004", "100033", "50515",
-)
 CURRENCIES = ("NGN", "USD")
 SETTLEMENT_LAGS = (1, 2)
 RECONCILIATION_STATUSES = (

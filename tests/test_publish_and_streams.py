@@ -11,7 +11,6 @@ from tallymark.operators import staging as st
 from tallymark.plans import fixtures
 from tallymark.plans.nightly import run, staged_root
 from tallymark.schemas import (
-    BANK_CODES,
     PUBLISH_LEDGER,
     STATUS_RANK,
     STATUSES,
@@ -315,7 +314,6 @@ def test_drift_is_never_null(spark):
 def test_constants():
     assert set(STATUS_RANK) == set(STATUSES) and len(set(STATUS_RANK.values())) == 4
     assert STATUS_RANK["reversed"] > STATUS_RANK["success"] > STATUS_RANK["pending"]
-    assert len(set(BANK_CODES)) == 14 and all(c.isdigit() for c in BANK_CODES)
     assert len(TRANSITIONS) == 12
     assert len(TRANSACTION_EVENT) == 19
     assert json.loads(nullable(TRANSACTION_EVENT).json())["fields"][0]["nullable"] is True
