@@ -26,7 +26,7 @@ MAX_REPEAT_PERCENT = 50
 SYMBOLS = r"[#*$%&|<>]"
 
 #: Labelled rows the classifier is fitted on at most: those with the least hashes.
-TRAIN_ROWS = 3_000
+TRAIN_ROWS = 1_500
 
 BITS = 16
 WORD_GRAMS = (1, 2)
@@ -225,27 +225,28 @@ def fit_rows(rows: list[tuple], rounds: int = 150, ridge: float = 1e-7, rate: fl
     held = np.arange(len(rows)) % 4 == 3
     cols = [np.frombuffer(r[2], np.int32) for r in rows]
     vals = [np.frombuffer(r[3], np.float32) for r in rows]
-    owner = np.repeat(np.arange(len(rows)), [len(c) for c in cols])
-    cols, vals = np.concatenate(cols), np.concatenate(vals).astype(np.float64)
-    size = 2 << BITS
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(c) for c in cols])
+    cols, vals = np.concatenate(cols), np.concatenate(vals)
+    del rows  # the driver holds the features once
+    size, count = 2 << BITS, len(labels)
     learn = ~held
     balance = np.where(labels > 0, 0.5 / max(labels[learn].sum(), 1), 0.5 / max((1 - labels[learn]).sum(), 1))
     balance = np.where(learn, balance, 0.0)
     weights, constant = np.zeros(size), 0.0
     first, second = np.zeros(size + 1), np.zeros(size + 1)
     for turn in range(1, rounds + 1):
-        logits = np.bincount(owner, weights=vals * weights[cols], minlength=len(rows)) + constant
+        logits = np.bincount(owner, weights=vals * weights[cols].astype(np.float32), minlength=count) + constant
         p = 1 / (1 + np.exp(-np.clip(logits, -50, 50)))
         error = balance * (p - labels)
         slope = np.append(
-            np.bincount(cols, weights=vals * error[owner], minlength=size) + ridge * weights, error.sum()
+            np.bincount(cols, weights=vals * error.astype(np.float32)[owner], minlength=size) + ridge * weights, error.sum()
         )
         first = 0.9 * first + 0.1 * slope
         second = 0.99 * second + 0.01 * slope**2
         move = rate * (first / (1 - 0.9**turn)) / (np.sqrt(second / (1 - 0.99**turn)) + 1e-8)
         weights -= move[:-1]
         constant -= move[-1]
-    logits = np.bincount(owner, weights=vals * weights[cols], minlength=len(rows)) + constant
+    logits = np.bincount(owner, weights=vals * weights[cols].astype(np.float32), minlength=count) + constant
     slope, shift = 1.0, 0.0
     if 0 < labels[held].sum() < held.sum():
         slope, shift = _platt(logits[held], labels[held])
@@ -266,7 +267,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     texts = docs.select("doc_id", "text").join(known, "doc_id")
     texts = texts.select(F.xxhash64("doc_id", "label", "text").alias("order"), "label", "text")
     schema = "order long, label double, columns binary, values binary"
-    return fit_rows([tuple(r) for r in map_batches(texts, _features, schema).collect()])
+    found = map_batches(texts, _features, schema).toArrow()
+    return fit_rows(list(zip(*(column.to_pylist() for column in found.columns))))
 
 
 # --- tables
