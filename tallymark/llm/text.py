@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Bytes of one Arrow batch. One row may be longer.
-BATCH_BYTES = "16m"
+BATCH_BYTES = "4m"
 
 #: Texts handed to the array code at once. One text may be longer; it then goes alone.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 _MIX_A = np.uint64(0xBF58476D1CE4E5B9)
 _MIX_B = np.uint64(0x94D049BB133111EB)
