@@ -28,6 +28,9 @@ DICTIONARY_TEXTS = 200
 TEXT_BYTES = 2_000
 DICTIONARY_BYTES = 200_000
 
+#: Parts of a language that choose texts apart from each other, before they meet.
+PARTS = 64
+
 BLOCK_BYTES = 4_000
 
 #: Texts under SHORT_BYTES are compressed SHORT_TIMES over.
@@ -57,8 +60,11 @@ def learn(docs: DataFrame) -> dict[str, bytes]:
     known = known.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     narrow = known.select("lang", "doc_id", text_key().alias("key"))
     once = narrow.groupBy("lang", "key").agg(F.min("doc_id").alias("doc_id"))
+    # in two steps: a language with most of the texts is first cut down in parts
+    part_of = Window.partitionBy("lang", F.pmod("key", F.lit(PARTS))).orderBy(F.xxhash64("key"), "key")
+    some = once.withColumn("n", F.row_number().over(part_of)).filter(F.col("n") <= DICTIONARY_TEXTS)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
-    first = once.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= DICTIONARY_TEXTS)
+    first = some.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= DICTIONARY_TEXTS)
     first = materialize(first, "dictionary-texts")
     same = (F.col("d.doc_id").eqNullSafe(F.col("f.doc_id"))) & (F.col("key") == F.col("text_key"))
     part = F.substring("text", 1, TEXT_BYTES).alias("part")
