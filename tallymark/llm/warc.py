@@ -30,6 +30,9 @@ ARCHIVE_BYTES = 64 << 20
 GAP_BYTES = 64 << 10
 READ_BYTES = 8 << 20
 
+#: Archive bytes a reading task gets on average.
+TASK_BYTES = 64 << 20
+
 DATE = "2024-01-01T00:00:00Z"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -232,7 +235,11 @@ def read_records(
     index: DataFrame, folder: str, gap: int = GAP_BYTES, most: int = READ_BYTES
 ) -> DataFrame:
     """The records of the given rows of an index, columns as in RECORD."""
-    ranges = index.select("archive", "offset", "length").repartition("archive")
+    wanted = index.select("archive", "offset", "length")
+    # an index row is small, what it stands for is not: tasks are sized by the bytes they read
+    total = wanted.agg(F.sum("length")).first()[0] or 0
+    least = index.sparkSession.sparkContext.defaultParallelism
+    ranges = wanted.repartition(max(least, -(-total // TASK_BYTES)), "archive")
     ranges = ranges.sortWithinPartitions("archive", "offset")
     return map_batches(ranges, _read(folder, gap, most), RECORD)
 
