@@ -4,14 +4,16 @@ Centroids are fitted on a bounded sample. Each vector goes to the list of its ne
 centroid and, where it lies near a boundary, is replicated to further lists whose distance is
 within a ratio of the least. Lists of more than BLOCK_ROWS vectors are dealt into blocks, so
 that no list is one task, however many vectors sit on one spot. A query walks a graph over
-the centroids, which is small and goes to every task, to find the nearest lists; those whose
-distance is too large a multiple of the nearest are pruned. Blocks return their best, which
-are merged. Distances of results are Euclidean on the original vectors, in double precision.
+the centroids, which is small and goes to every task, to find the nearest lists: a fixed share
+of all, so that recall does not fall as the lists grow in number. Those whose distance is too
+large a multiple of that of the first few are pruned. Blocks return their best, which are
+merged. Distances of results are Euclidean on the original vectors, in double precision.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,16 +27,19 @@ from tallymark.sources.tables import materialize
 #: The centroids are fitted on so many vectors at most, those with the least hashes.
 SAMPLE_ROWS = 20_000
 
-#: Number of centroids: one for so many vectors, between the bounds.
+#: Number of centroids: one for so many vectors, between the bounds. A query is sent to a share
+#: of the lists, so the upper bound also keeps the rows sent for a query few.
 LIST_ROWS = 100
-MIN_LISTS, MAX_LISTS = 8, 1024
+MIN_LISTS, MAX_LISTS = 8, 256
 
 #: A vector is replicated to at most so many lists, within this ratio of its least distance.
 REPLICAS = 4
 REPLICA_RATIO = 1.15
 
-#: Lists a query reads at most and at least, and the ratio to its nearest centroid beyond which
-#: no further one is read.
+#: Lists a query reads at most: this share of all, and PROBES where the share is less. It reads
+#: LEAST_PROBES, and beyond them none whose distance is more than PROBE_RATIO times that of the
+#: last of these. (The nearest alone is no measure: a query may sit on its centroid.)
+PROBE_SHARE = 0.25
 PROBES = 48
 PROBE_RATIO = 1.6
 LEAST_PROBES = 8
@@ -160,9 +165,8 @@ def _route(graph: Graph, probes: int, least: int, ratio: float):
             lists = []
             for vector in _vectors(batch.column("vector")):
                 found = graph.search(vector, min(probes, len(graph.centroids)))
-                lists.append(
-                    [n for at, (d, n) in enumerate(found) if at < least or d <= ratio * found[0][0]]
-                )
+                limit = ratio * found[min(least, len(found)) - 1][0]
+                lists.append([n for at, (d, n) in enumerate(found) if at < least or d <= limit])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("vec_id"), batch.column("vector"), pa.array(lists, pa.list_(pa.int32()))],
                 names=["vec_id", "vector", "lists"],
@@ -171,6 +175,11 @@ def _route(graph: Graph, probes: int, least: int, ratio: float):
     return run
 
 
+def probes_of(lists: int) -> int:
+    """How many of so many lists a query reads at most."""
+    return min(lists, max(PROBES, math.ceil(PROBE_SHARE * lists)))
+
+
 def _vector_rows(vectors: DataFrame, id_column: str, column: str) -> DataFrame:
     vector = F.col(f"`{column}`")
     rows = vectors.filter(usable(vector)).select(
@@ -218,7 +227,7 @@ def nearest(
     vectors: DataFrame,
     queries: Column,
     top: int = 10,
-    probes: int = PROBES,
+    probes: int | None = None,
     ratio: float = PROBE_RATIO,
     id_column: str = "vec_id",
     column: str = "embedding",
@@ -227,7 +236,8 @@ def nearest(
 
     queries selects the query rows by a condition on vec_id. The score is the Euclidean
     distance; ties go to the smaller vec_id. Null or zero vectors, and those with a null or
-    non-finite component, take no part, nor do rows without an id. A row that repeats id and
+    non-finite component, take no part, nor do rows without an id. probes is the number of lists
+    a query reads at most; by default it grows with the lists (`probes_of`). A row that repeats id and
     vector counts once. All vectors have one length. Where the lists a query reads hold fewer
     rows than it needs it reads all lists, so no query gets fewer than there are. An empty
     table gives no rows.
@@ -259,7 +269,7 @@ def nearest(
         found = found.withColumn("rank", rank).filter(F.col("rank") <= top)
         return materialize(found.select("query_id", "rank", "vec_id", "score"), "nearest")
 
-    found = search(asked, probes, LEAST_PROBES)
+    found = search(asked, probes or probes_of(len(graph.centroids)), LEAST_PROBES)
     full = found.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= top)
     short = asked.join(full, asked["vec_id"] == full["query_id"], "left_anti")
     if short.isEmpty():

@@ -10,6 +10,7 @@ from pathlib import Path
 from urllib.parse import urlparse
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -343,6 +344,24 @@ def test_recall_and_scores(spark):
     assert hits >= 0.9 * 10 * len(got)
 
 
+def test_recall_without_clusters_where_lists_are_many(spark):
+    assert all(ann.probes_of(n) >= min(n, max(48, n // 4)) for n in (1, 8, 20, 100, 192, 200, 256, 1024))
+    points = np.random.default_rng(11).normal(size=(60_000, 64)).astype(np.float32)
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    table = pa.table({"vec_id": np.arange(len(points)), "embedding": list(points)})
+    found = ann.nearest(spark.createDataFrame(table), F.col("vec_id") % 2000 == 0)
+    got = defaultdict(set)
+    for r in found.collect():
+        got[r.query_id].add(r.vec_id)
+    assert len(got) == 30
+    hits = 0
+    for query, own in got.items():
+        apart = ((points.astype(float) - points[query]) ** 2).sum(axis=1)
+        apart[query] = np.inf
+        hits += len(own & set(np.argpartition(apart, 10)[:10].tolist()))
+    assert hits >= 0.97 * 10 * len(got)
+
+
 def test_neighbours_of_awkward_vectors(spark):
     rows = vector_rows([[1, 0], [2, 0], [0, 3], [2, 0]])
     rows += [(100, None, 0, "", ""), (200, [], 0, "", ""), (300, [0.0, 0.0], 0, "", "")]
