@@ -35,7 +35,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their place in a sequence."""
-    return packing.pack(docs)
+    return packing.pack(docs, added=True)
 
 
 STAGES = [

@@ -14,6 +14,7 @@ Only lengths travel: a row of a rest is a few numbers, whatever its text's lengt
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -52,8 +53,8 @@ def _bytes_of_letters() -> dict[str, int]:
 
 
 def load_encoding(path: str) -> tiktoken.Encoding:
-    """The vocabulary of a byte-level BPE file. Its ids are the order of its merges, which is
-    all that is needed to apply them; control tokens are not part of any text."""
+    """The vocabulary of a byte-level BPE file without its added tokens. Its ids are the order
+    of its merges, which is all that is needed to apply them."""
     with open(path, encoding="utf-8") as file:
         model = json.load(file)
     special = {token["content"] for token in model.get("added_tokens", [])}
@@ -66,14 +67,62 @@ def load_encoding(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("byte-bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def _cut(path: str, window: int, end: int, with_ids: bool):
+def added_ids(path: str) -> dict[str, int]:
+    """The added tokens of a file, which a text holds wherever it quotes them."""
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file).get("added_tokens", [])
+    for token in added:
+        if any(token.get(flag) for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"added token with a flag that is not applied: {token}")
+    return {token["content"]: token["id"] for token in added}
+
+
+#: The pre-tokenizer goes back over a run of spaces letter by letter, on a bounded stack.
+LONG_RUN = 100_000
+
+#: What \s is to the pre-tokenizer; Python's has four control letters more.
+SPACES = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_LONG_SPACES = re.compile(f"(?<!{SPACES}){SPACES}{{{LONG_RUN},}}")
+
+
+class Encoder:
+    """Texts to ids. With `added` a quoted added token is its id, else it is text."""
+
+    def __init__(self, path: str, added: bool) -> None:
+        self.encoding = load_encoding(path)
+        self.added = added_ids(path) if added else {}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.splits = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")")
+
+    def __call__(self, text: str) -> list[int]:
+        if not any(token in text for token in self.added):
+            return self.plain(text)
+        ids: list[int] = []
+        for at, part in enumerate(self.splits.split(text)):
+            ids += [self.added[part]] if at % 2 else self.plain(part)
+        return ids
+
+    def plain(self, text: str) -> list[int]:
+        if len(text) < LONG_RUN:
+            return self.encoding.encode_ordinary(text)
+        ids, start = [], 0
+        for run in _LONG_SPACES.finditer(text):
+            # a run is one piece, without its last space where anything follows
+            end = run.end() - (run.end() < len(text))
+            ids += self.encoding.encode_ordinary(text[start : run.start()])
+            ids += self.encoding._encode_single_piece(text[run.start() : end])
+            start = end
+        return ids + self.encoding.encode_ordinary(text[start:])
+
+
+def _cut(path: str, window: int, end: int, with_ids: bool, added: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = load_encoding(path)
+        encode = Encoder(path, added)
         for batch in batches:
             for part in chunks(batch, "text"):
                 docs, starts, lengths, checks, totals, ids_out = [], [], [], [], [], []
                 for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
-                    ids = np.array([*encoding.encode_ordinary(text or ""), end], dtype="<u4")
+                    ids = np.array([*encode(text or ""), end], dtype="<u4")
                     for start in range(0, len(ids), window):
                         piece = ids[start : start + window]
                         docs.append(doc)
@@ -99,12 +148,14 @@ def pieces(
     window: int = WINDOW,
     end: int = END,
     with_ids: bool = False,
+    added: bool = False,
 ) -> DataFrame:
     """Documents as token pieces of at most one window: doc_id, start, length, ids_crc32,
-    doc_tokens and, on request, the ids. A null text is empty: its one token is the end."""
+    doc_tokens and, on request, the ids. A null text is empty: its one token is the end. Where
+    a text quotes an added token of the tokenizer, it is that token with `added` and text without."""
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
     schema += ", ids array<int>" if with_ids else ""
-    run = _cut(tokenizer or default_tokenizer(), window, end, with_ids)
+    run = _cut(tokenizer or default_tokenizer(), window, end, with_ids, added)
     return map_batches(docs.select("doc_id", "text"), run, schema)
 
 
@@ -191,10 +242,12 @@ def pack(
     window: int = WINDOW,
     end: int = END,
     with_ids: bool = False,
+    added: bool = False,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset
     (and ids). Every token of every document lies in exactly one piece; the pieces of a
     sequence lie one behind the other from 0 and never pass the window. Repeated rows are
-    packed as often as they come; a null doc_id stays null. An empty table gives no rows."""
-    cut = materialize(pieces(docs, tokenizer, window, end, with_ids), "pieces")
+    packed as often as they come; a null doc_id stays null. An empty table gives no rows. For
+    `added` see `pieces`."""
+    cut = materialize(pieces(docs, tokenizer, window, end, with_ids, added), "pieces")
     return place(cut, window)

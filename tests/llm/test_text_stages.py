@@ -8,7 +8,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from tallymark.llm import language, packing, quality
+from tallymark.llm.queries import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -172,6 +174,27 @@ def test_packing_holds_every_token_once(spark, documents):
     assert sum(r.length for r in rows) >= 0.98 * sequences * packing.WINDOW
 
 
+def test_packing_query_has_the_ids_of_the_tokenizer_file(spark, tmp_path):
+    tokenizers = pytest.importorskip("tokenizers")
+    known = tokenizers.Tokenizer.from_file(packing.default_tokenizer())
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", " <|endoftext|>\n it's", "<|endoftext"]
+    texts += ["a" + " " * 2_000_000 + "b", "a" + "\n" * 2_000_000, "\u2003\t" * 1_000_000 + "\nb <|endoftext|> "]
+    texts += [" " * 100_000 + "b" + " " * 99_999 + "c" + " " * 100_001, " " * 100_000 + "<|endoftext|>x", "\x1c " * 100_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = set()
+    for doc_id, text in enumerate(texts):
+        ids = known.encode(text).ids + [packing.END]
+        for at in range(0, len(ids), packing.WINDOW):
+            piece = np.array(ids[at : at + packing.WINDOW], "<u4")
+            want.add((doc_id, at, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
+    for rows in (
+        QUERIES["op6_packing"](spark, str(tmp_path)).collect(),
+        corpus_pipeline.pack_sequences(spark, docs, str(tmp_path)).collect(),
+    ):
+        assert {tuple(r)[:5] for r in rows} == want and len(rows) == len(want)
+
+
 def test_packing_awkward_rows_in_many_groups(awkward, no_docs):
     cut = packing.materialize(packing.pieces(awkward, window=64), "cut")
     rows = packing.place(cut, window=64, group_rows=3).collect()
