@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tallymark.llm import language, mixing, neardup, packing, quality
 from tallymark.sources.tables import materialize
 
+#: Share of common shingles, in percent, from which the stage takes documents for copies.
+NEAR_PERCENT = 80
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; those whose language is rejected go."""
@@ -25,7 +28,7 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that of the least doc_id."""
-    return neardup.drop_duplicates(docs)
+    return neardup.drop_duplicates(docs, NEAR_PERCENT)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

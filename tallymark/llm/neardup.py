@@ -7,12 +7,13 @@
    each bin is kept. An empty bin borrows from a bin drawn by a hash of its own number and
    the attempt ("optimal densification", Shrivastava 2017), so that equal sets agree and the
    chance of agreement in a bin stays the Jaccard similarity.
-3. ROWS bins make a band, a band's hash is a bucket. At the similarity of 0.85 a pair misses
-   all 32 bands of 6 rows once in four million.
+3. ROWS bins make a band, a band's hash is a bucket. There are as many bands as keep a pair
+   just at the asked similarity from missing all of them, but for MISSED (`bands_of`): 32 bands
+   of 6 rows at 0.85, 50 at 0.80.
 4. In each bucket all members are compared with one hub only (a star), on their full sets.
 5. What a star may miss is found exactly. Of all nodes in buckets that still hold several
    components, the shingles are ordered from rare to common, and each node keeps the first
-   n - ceil(0.85 n) + 1 of its n: two sets of that similarity share one of them (the prefix
+   n - ceil(similarity * n) + 1 of its n: two sets of that similarity share one of them (the prefix
    filter of set similarity joins). Nodes with a common prefix shingle form a group; its
    members become hubs, in growing numbers, until every two of a group are in one component,
    were compared, or differ too much in size.
@@ -22,6 +23,7 @@ Links are joined to components by joins (`components`). Nothing is collected to
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +42,9 @@ WIDTH = 5
 BANDS = 32
 ROWS = 6
 
+#: The chance at most that a pair of just the asked similarity shares no band.
+MISSED = 3e-7
+
 #: Attempts tabulated for the densification; a bin that needs more takes the first full bin.
 ATTEMPTS = 4096
 
@@ -72,6 +77,12 @@ def _donors(bins: int) -> np.ndarray:
     return (mix(asked) % np.uint64(bins)).astype(np.int32)
 
 
+def bands_of(percent: int, rows: int = ROWS) -> int:
+    """The least number of bands that a pair of this similarity misses no oftener than MISSED."""
+    same = min(percent / 100, 0.99) ** rows
+    return math.ceil(math.log(MISSED) / math.log1p(-same))
+
+
 class Signer:
     """Band hashes of shingle sets."""
 
@@ -336,7 +347,7 @@ def near_duplicates(
     docs: DataFrame,
     percent: int = 85,
     width: int = WIDTH,
-    bands: int = BANDS,
+    bands: int | None = None,
     rows: int = ROWS,
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept, text_key.
@@ -346,9 +357,9 @@ def near_duplicates(
     without words (or text) is linked with nothing. Equal rows share a component and are all
     kept if the first is. A null doc_id never is a component_id unless its component has no
     other: then component_id is null and the rows are kept. Other columns are not read; an
-    empty table gives no rows.
+    empty table gives no rows. The bands follow from percent where none are given.
     """
-    signed = materialize(signatures(docs, width, bands, rows), "signatures")
+    signed = materialize(signatures(docs, width, bands or bands_of(percent, rows), rows), "signatures")
     labels = link_nodes(docs, signed, percent, width)
     narrow = signed.select("doc_id", "text_key", "n_shingles", "node")
     classes = narrow.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("least"))

@@ -1,10 +1,11 @@
 """The pipeline: what each stage keeps, against the operators and plain Python."""
 
+import random
 from collections import Counter, defaultdict
 
 import corpus_pipeline
-from tallymark.llm import language, mixing, packing, quality
-from tests.llm.test_neardup import brute_force
+from tallymark.llm import language, mixing, neardup, packing, quality
+from tests.llm.test_neardup import brute_force, edited, shingles
 from tests.llm.test_tables import check_plan
 
 SF = "/root/testdata/sf0.001"
@@ -62,3 +63,26 @@ def test_run_gives_every_stage(spark):
         "mix",
         "pack",
     ]
+
+
+def test_near_duplicates_go_from_a_similarity_of_80(spark):
+    """Copies of 100 words with some replaced, so that similarities lie on both sides of 0.80."""
+    draw, rows = random.Random(4), []
+    for group in range(40):
+        base = [f"g{group}w{i}" for i in range(100)]
+        rows.append((2 * group, " ".join(base)))
+        first = draw.randrange(5, 60)
+        rows.append((2 * group + 1, edited(base, range(first, first + 2 + group % 14), "t")))
+    sets = [shingles(text) for _, text in rows]
+    near = [len(a & b) / len(a | b) for a, b in zip(sets[::2], sets[1::2])]
+    assert any(0.80 <= s < 0.85 for s in near) and any(s < 0.80 for s in near)
+    roots, _ = brute_force(rows, 80)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(roots))
+
+
+def test_bands_keep_pairs_of_each_similarity_as_safe():
+    assert neardup.bands_of(85) == neardup.BANDS
+    for percent in (70, 80, 85, 95, 100):
+        assert (1 - (percent / 100) ** neardup.ROWS) ** neardup.bands_of(percent) <= neardup.MISSED
