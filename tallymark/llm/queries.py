@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from tallymark.llm import (
     ann,
     chat,
+    codes,
     language,
     mixing,
     neardup,
     packing,
     quality,
+    repair,
     sharding,
     sqltext,
+    tokens,
     urls,
     warc,
 )
@@ -72,6 +75,18 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.report(repair.damage(table(spark, sf_dir, "conversations")))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_quality_rules": op2_quality_rules,
@@ -83,6 +98,9 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_sharding": op9_sharding,
     "op10_nearest": op10_nearest,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_token_counts": op13_token_counts,
 }
 
 SQL = {
@@ -90,4 +108,6 @@ SQL = {
     "op4_warc": sqltext.WARC,
     "op7_mixing": sqltext.MIXING,
     "op8_near_duplicates": sqltext.NEAR_DUPLICATES,
+    "op11_vector_codes": sqltext.VECTOR_CODES,
+    "op12_conversation_repair": sqltext.REPAIR,
 }
