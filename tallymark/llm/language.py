@@ -22,11 +22,10 @@ from tallymark.sources.tables import materialize
 
 UNDETERMINED = "und"
 
-#: Texts that a language's dictionary is made of at most (least hashes first), the bytes taken
-#: of each, and the size of a dictionary.
+#: Texts that a language's dictionary is made of at most (least hashes first), and the
+#: characters taken of each, at a place that a hash chooses in the whole text.
 DICTIONARY_TEXTS = 200
-TEXT_BYTES = 2_000
-DICTIONARY_BYTES = 200_000
+TEXT_CHARS = 2_000
 
 #: Parts of a language that choose texts apart from each other, before they meet.
 PARTS = 64
@@ -53,8 +52,9 @@ def held_out() -> Column:
 def learn(docs: DataFrame) -> dict[str, bytes]:
     """A dictionary of each language, from rows with a lang that are not held out.
 
-    Every language gives at most DICTIONARY_TEXTS texts, different from each other. They are
-    chosen on narrow rows; only the chosen texts, a bounded number, go to the driver.
+    Every language gives at most DICTIONARY_TEXTS texts, different from each other, and of each a
+    slice of TEXT_CHARS: all that is gathered is used. Texts are chosen on narrow rows; only the
+    slices, a bounded number for each language, go to the driver.
     """
     known = docs.select("doc_id", "text", "lang")
     known = known.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
@@ -67,14 +67,15 @@ def learn(docs: DataFrame) -> dict[str, bytes]:
     first = some.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= DICTIONARY_TEXTS)
     first = materialize(first, "dictionary-texts")
     same = (F.col("d.doc_id").eqNullSafe(F.col("f.doc_id"))) & (F.col("key") == F.col("text_key"))
-    part = F.substring("text", 1, TEXT_BYTES).alias("part")
+    start = F.pmod("text_key", F.greatest(F.length("text") - TEXT_CHARS + 1, F.lit(1)).cast("long"))
+    part = F.substring("text", (start + 1).cast("int"), F.lit(TEXT_CHARS)).alias("part")
     texts = known.withColumn("text_key", text_key()).alias("d").join(first.alias("f"), same)
     rows = texts.select(F.col("f.lang").alias("lang"), "n", part).distinct().orderBy("lang", F.desc("n"))
     parts: dict[str, list[bytes]] = {}
     for lang, _, text in rows.toLocalIterator():
-        parts.setdefault(lang, []).append(text.lower().encode()[:TEXT_BYTES])
+        parts.setdefault(lang, []).append(text.lower().encode())
     # the end of a dictionary is the cheapest to refer to: the first texts stand there
-    return {lang: b"\n".join(found)[-DICTIONARY_BYTES:] for lang, found in sorted(parts.items())}
+    return {lang: b"\n".join(found) for lang, found in sorted(parts.items())}
 
 
 def has_letter(text: str) -> bool:
@@ -167,6 +168,8 @@ def _passing(dictionaries: dict[str, bytes]):
 
 
 def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes] | None = None) -> DataFrame:
-    """The rows of docs, all columns, whose language is not rejected."""
+    """The rows of docs, all columns, whose language is not rejected. Rows without text or
+    without a letter go; a null lang, source or doc_id does not matter; repeated rows are judged
+    alike; a text is read whole; an empty table stays empty."""
     learned = learn(docs) if dictionaries is None else dictionaries
     return map_batches(docs, _passing(learned), docs.schema)

@@ -27,9 +27,15 @@ WEIGHTS = (3.0, 1.0, 2.0)
 RANGE_DIGITS = 3
 
 
+#: Equal rows that one task puts out; more are dealt over tasks.
+COPIES = 100_000
+
+
 def random_key(seed: str) -> Column:
-    """A hash-random key that only the document's id and the seed decide."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    """A hash-random key that only the document's id, its text and the seed decide, so that
+    neither an id nor a text that many rows share brings them together."""
+    parts = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit(""))]
+    return F.md5(F.concat(F.lit(f"{seed}:"), *parts).cast("binary"))
 
 
 def source_key() -> Column:
@@ -47,10 +53,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*columns, sizes], names=[*names, "size"])
 
 
-def sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, source, size (words of the whole text; 0 for null)."""
-    narrow = docs.select("doc_id", text_key().alias("text_key"), "source", "text")
-    return map_batches(narrow, _count, "doc_id long, text_key long, source string, size long")
+def sizes(docs: DataFrame, seed: str = "mix") -> DataFrame:
+    """doc_id, text_key, key, source, size (words of the whole text; 0 for null)."""
+    narrow = docs.select("doc_id", text_key().alias("text_key"), random_key(seed).alias("key"), "source", "text")
+    return map_batches(narrow, _count, "doc_id long, text_key long, key string, source string, size long")
 
 
 def targets(totals: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
@@ -91,14 +97,16 @@ def plan(
     Columns: doc_id, text_key, source, key, size, source_size, target, budget, before, taken.
     budget is the target in whole words; before counts the words of the source in front of
     the document in the key's order; taken sums to the budget in every source. A document
-    without words gives none. Documents of equal key (repeated ids) stand in the order of
-    their texts; rows equal in all of that share the place by an arbitrary order, which
-    changes nothing but which of the equal rows is cut. An empty table gives no rows.
+    without words gives none. Equal rows (of one id, text and source) are one entry with a number of
+    copies until the plan is made, and take one after the other; nothing tells which of them is
+    cut. Null ids, texts and sources are values of their own. An empty table gives no rows.
     """
-    rows = sizes(docs).withColumn("src", source_key()).withColumn("key", random_key(seed))
+    rows = sizes(docs, seed).withColumn("src", source_key())
+    entry = ["src", "source", "key", "doc_id", "text_key", "size"]
+    rows = rows.groupBy(*entry).agg(F.count("*").alias("copies"))
     rows = rows.withColumn("range", F.substring("key", 1, RANGE_DIGITS))
-    rows = materialize(rows, "sizes")
-    ranges = rows.groupBy("src", "range").agg(F.sum("size").alias("size"))
+    rows = materialize(rows.withColumn("words", F.col("size") * F.col("copies")), "sizes")
+    ranges = rows.groupBy("src", "range").agg(F.sum("words").alias("size"))
     goal = targets(ranges, weights, share, most)
     ahead = Window.partitionBy("src").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranges.select(
@@ -110,8 +118,9 @@ def plan(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     placed = rows.join(offsets, ["src", "range"]).withColumn(
-        "before", F.col("range_start") + F.coalesce(F.sum("size").over(inside), F.lit(0))
+        "before", F.col("range_start") + F.coalesce(F.sum("words").over(inside), F.lit(0))
     )
+    placed = _one_by_one(placed, rows)
     budget = F.floor(F.col("target") + 0.5).cast("long")
     placed = placed.withColumn("budget", budget)
     epochs = F.when(F.col("source_size") > 0, F.expr("budget div source_size")).otherwise(F.lit(0))
@@ -127,6 +136,18 @@ def plan(
     )
 
 
+def _one_by_one(placed: DataFrame, counted: DataFrame) -> DataFrame:
+    """A row for each copy, each behind the one before it. Where an entry has more copies than a
+    task should put out, stretches of copies are dealt over tasks first."""
+    stretch = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES).cast("long")))
+    placed = placed.withColumn("first", stretch)
+    if (counted.agg(F.max("copies")).first()[0] or 0) > COPIES:
+        placed = placed.repartition("key", "first")
+    last = F.least(F.col("first") + COPIES, F.col("copies")) - 1
+    placed = placed.withColumn("copy", F.explode(F.sequence("first", last)))
+    return placed.withColumn("before", F.col("before") + F.col("copy") * F.col("size"))
+
+
 def _first_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts cut behind their first `cut` words."""
     for batch in batches:
@@ -152,6 +173,8 @@ def mix(
 
     The plan is boiled down to one row per source, the place of its cut, so that texts are
     not shuffled. Equal rows that share the place of the cut share the rest of the budget.
+    Documents without words go; a null doc_id or source is a value of its own, a text of any
+    length is cut in its task, and an empty table stays empty.
     """
     columns = docs.columns
     planned = materialize(plan(docs, weights, share, most, seed), "mix-plan")

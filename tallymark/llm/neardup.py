@@ -320,11 +320,12 @@ def link_nodes(docs: DataFrame, signed: DataFrame, percent: int, width: int) ->
     members = firsts.select(
         F.explode("buckets").alias("bucket"), "node", F.col("n_shingles").cast("int").alias("size")
     )
+    # the size comes along: a hub with very many followers has to meet them in no other join
     hubs = (
         members.groupBy("bucket")
-        .agg(F.min("node").alias("hub"), F.max("node").alias("last"))
-        .filter(F.col("hub") != F.col("last"))
-        .select("bucket", "hub")
+        .agg(F.min(F.struct("node", "size")).alias("least"), F.max("node").alias("last"))
+        .filter(F.col("least.node") != F.col("last"))
+        .select("bucket", F.col("least.node").alias("hub"), F.col("least.size").alias("b_size"))
     )
     members = materialize(members.join(hubs, "bucket").distinct(), "members")
     nodes = members.select("node").distinct()
@@ -332,8 +333,7 @@ def link_nodes(docs: DataFrame, signed: DataFrame, percent: int, width: int) ->
     sets = materialize(sets, "sets")
 
     match = _Matcher(sets, percent)
-    sizes = classes.select(F.col("node").alias("hub"), F.col("size").alias("b_size"))
-    star = members.filter(F.col("node") != F.col("hub")).join(sizes, "hub")
+    star = members.filter(F.col("node") != F.col("hub"))
     star = star.withColumn("a_size", F.col("size")).filter(_size_fits(percent))
     match(star.select(F.col("node").alias("a"), F.col("hub").alias("b")), "star")
     labels = materialize(components(match.links()), "labels")
@@ -357,8 +357,21 @@ def near_duplicates(
     without words (or text) is linked with nothing. Equal rows share a component and are all
     kept if the first is. A null doc_id never is a component_id unless its component has no
     other: then component_id is null and the rows are kept. Other columns are not read; an
-    empty table gives no rows. The bands follow from percent where none are given.
+    empty table gives no rows. The bands follow from percent where none are given: a pair at
+    exactly percent shares no bucket, and is then not seen, with a chance of at most MISSED.
     """
+    placed = _placed(docs, percent, width, bands, rows)
+    return placed.select(
+        "doc_id",
+        "n_shingles",
+        "component_id",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+        "text_key",
+    )
+
+
+def _placed(docs: DataFrame, percent: int, width: int, bands: int | None, rows: int) -> DataFrame:
+    """doc_id, text_key, n_shingles, component (null without words), component_id of each row."""
     signed = materialize(signatures(docs, width, bands or bands_of(percent, rows), rows), "signatures")
     labels = link_nodes(docs, signed, percent, width)
     narrow = signed.select("doc_id", "text_key", "n_shingles", "node")
@@ -367,36 +380,36 @@ def near_duplicates(
         "component", F.coalesce("component", "node")
     )
     named = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    classes = classes.join(named, "component").select("node", "component_id")
+    classes = classes.join(named, "component").select("node", "component", "component_id")
     # nodes are hashed sets: a class with very many copies is split by adaptive execution
-    placed = narrow.filter(F.col("node").isNotNull()).join(classes, "node")
+    placed = narrow.filter(F.col("node").isNotNull()).join(classes, "node").drop("node")
     alone = narrow.filter(F.col("node").isNull()).withColumn("component_id", F.col("doc_id"))
-    both = placed.select("doc_id", "text_key", "n_shingles", "component_id").unionByName(
-        alone.select("doc_id", "text_key", "n_shingles", "component_id")
-    )
-    return both.select(
-        "doc_id",
-        "n_shingles",
-        "component_id",
-        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
-        "text_key",
-    )
+    return placed.unionByName(alone.drop("node"), allowMissingColumns=True)
 
 
 def drop_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """One document of each component, all columns: that of the least doc_id. Of rows that
-    repeat doc_id and text one is kept, whichever."""
-    kept = near_duplicates(docs, percent).filter("kept")
-    kept = kept.groupBy("doc_id", "text_key").agg(F.count("*").alias("rows"))
-    kept = materialize(kept.withColumnRenamed("text_key", "key"), "kept")
+    """One document of each component, all columns: that of the least doc_id, a null one last,
+    and of several texts under it the one of the least hash. Rows without words (or text) are
+    linked with nothing; of rows that repeat doc_id and text one stays, whichever. An empty
+    table stays empty."""
+    placed = _placed(docs, percent, WIDTH, None, ROWS)
+    first = placed.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    own = F.when(F.col("component").isNull(), F.struct("doc_id", "text_key"))
+    kept = first.groupBy("component", own.alias("own")).agg(
+        F.min("doc_id").alias("doc_id"), F.min("text_key").alias("text_key"), F.count("*").alias("rows")
+    )
+    kept = materialize(kept.select("doc_id", F.col("text_key").alias("key"), "rows"), "kept")
+    key = "text_key"
+    while key in docs.columns:
+        key = f"{key}_"
 
     def rows_of(chosen: DataFrame) -> DataFrame:
-        keyed = docs.withColumn("__key", text_key())
-        same = keyed["doc_id"].eqNullSafe(chosen["doc_id"]) & (keyed["__key"] == chosen["key"])
+        keyed = docs.withColumn(key, text_key())
+        same = keyed["doc_id"].eqNullSafe(chosen["doc_id"]) & (keyed[key] == chosen["key"])
         return keyed.join(chosen, same, "left_semi")
 
     found = rows_of(kept.filter("rows = 1"))
     repeated = kept.filter("rows > 1")
     if not repeated.isEmpty():
-        found = found.unionByName(rows_of(repeated).dropDuplicates(["doc_id", "__key"]))
-    return found.drop("__key")
+        found = found.unionByName(rows_of(repeated).dropDuplicates(["doc_id", key]))
+    return found.drop(key)

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.text import chunks, map_batches, mix, split_words, windows, word_hashes
+from tallymark.llm.text import chunks, map_batches, mix, split_words, text_key, windows, word_hashes
 from tallymark.sources.tables import materialize
 
 MIN_WORDS = 50
@@ -216,6 +216,20 @@ def _platt(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(max(found[0], 1e-3)), float(found[1])
 
 
+#: Features worked on at once while fitting.
+FIT_CHUNK = 500_000
+
+
+def _cuts(ends: np.ndarray) -> list[tuple[int, int]]:
+    """Runs of rows that hold about FIT_CHUNK features; one row may hold more."""
+    cuts, start = [], 0
+    while start < len(ends) - 1:
+        end = max(int(np.searchsorted(ends, ends[start] + FIT_CHUNK, "right")) - 1, start + 1)
+        cuts.append((start, end))
+        start = end
+    return cuts
+
+
 def fit_rows(rows: list[tuple], rounds: int = 150, ridge: float = 1e-7, rate: float = 0.5) -> Model:
     """rows: (order, label, columns, values). Every fourth row calibrates."""
     rows = sorted(rows, key=lambda r: r[0])
@@ -223,30 +237,41 @@ def fit_rows(rows: list[tuple], rounds: int = 150, ridge: float = 1e-7, rate: fl
     if not len(rows) or labels.min() == labels.max():
         return constant_model(float(labels.mean()) if len(rows) else 1.0)
     held = np.arange(len(rows)) % 4 == 3
-    cols = [np.frombuffer(r[2], np.int32) for r in rows]
-    vals = [np.frombuffer(r[3], np.float32) for r in rows]
-    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(c) for c in cols])
-    cols, vals = np.concatenate(cols), np.concatenate(vals)
+    ends = np.cumsum([0, *(len(r[2]) // 4 for r in rows)])
+    cols = np.concatenate([np.frombuffer(r[2], np.int32) for r in rows])
+    vals = np.concatenate([np.frombuffer(r[3], np.float32) for r in rows])
     del rows  # the driver holds the features once
     size, count = 2 << BITS, len(labels)
+    cuts = _cuts(ends)
+
+    def logits_of(weights: np.ndarray, constant: float) -> np.ndarray:
+        out = np.full(count, constant)
+        for start, end in cuts:
+            held_here = slice(ends[start], ends[end])
+            owner = np.repeat(np.arange(end - start), np.diff(ends[start : end + 1]))
+            part = vals[held_here] * weights[cols[held_here]]
+            out[start:end] += np.bincount(owner, weights=part, minlength=end - start)
+        return out
+
     learn = ~held
     balance = np.where(labels > 0, 0.5 / max(labels[learn].sum(), 1), 0.5 / max((1 - labels[learn]).sum(), 1))
     balance = np.where(learn, balance, 0.0)
     weights, constant = np.zeros(size), 0.0
     first, second = np.zeros(size + 1), np.zeros(size + 1)
     for turn in range(1, rounds + 1):
-        logits = np.bincount(owner, weights=vals * weights[cols].astype(np.float32), minlength=count) + constant
-        p = 1 / (1 + np.exp(-np.clip(logits, -50, 50)))
+        p = 1 / (1 + np.exp(-np.clip(logits_of(weights, constant), -50, 50)))
         error = balance * (p - labels)
-        slope = np.append(
-            np.bincount(cols, weights=vals * error.astype(np.float32)[owner], minlength=size) + ridge * weights, error.sum()
-        )
+        slope = np.append(ridge * weights, error.sum())
+        for start, end in cuts:
+            held_here = slice(ends[start], ends[end])
+            each = np.repeat(error[start:end], np.diff(ends[start : end + 1]))
+            slope[:-1] += np.bincount(cols[held_here], weights=vals[held_here] * each, minlength=size)
         first = 0.9 * first + 0.1 * slope
         second = 0.99 * second + 0.01 * slope**2
         move = rate * (first / (1 - 0.9**turn)) / (np.sqrt(second / (1 - 0.99**turn)) + 1e-8)
         weights -= move[:-1]
         constant -= move[-1]
-    logits = np.bincount(owner, weights=vals * weights[cols].astype(np.float32), minlength=count) + constant
+    logits = logits_of(weights, constant)
     slope, shift = 1.0, 0.0
     if 0 < labels[held].sum() < held.sum():
         slope, shift = _platt(logits[held], labels[held])
@@ -256,16 +281,20 @@ def fit_rows(rows: list[tuple], rounds: int = 150, ridge: float = 1e-7, rate: fl
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     """Fits the classifier on the labelled rows of docs. labels: doc_id, quality (0 or 1).
 
-    At most `rows` labels are used; their sparse features go to the driver, where the
-    weights are fitted. Without both kinds of labels the probability is their share (1 where
-    there are none)."""
+    At most `rows` rows, different in (doc_id, label, text), are used: those with the least
+    hashes. Their sparse features go to the driver, where the weights are fitted; a doc_id that
+    many rows share, or one text of it that comes often, adds no more than its part of the bound.
+    Null ids, null labels and ids that docs lacks teach nothing. Without both kinds of labels the
+    probability is their share (1 where there are none, or no rows)."""
     known = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     known = known.select("doc_id", F.col("quality").cast("double").alias("label")).distinct()
-    known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
-    known = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows)
-    known = materialize(known, "labelled")
-    texts = docs.select("doc_id", "text").join(known, "doc_id")
-    texts = texts.select(F.xxhash64("doc_id", "label", "text").alias("order"), "label", "text")
+    keyed = docs.select("doc_id", text_key().alias("text_key"), "text")
+    each = keyed.select("doc_id", "text_key").distinct().join(known, "doc_id")
+    order = F.xxhash64("doc_id", "label", "text_key")
+    chosen = each.orderBy(order, "doc_id", "label", "text_key").limit(rows)
+    chosen = F.broadcast(materialize(chosen, "labelled"))  # at most `rows` rows
+    texts = keyed.join(chosen, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key", "label"])
+    texts = texts.select(order.alias("order"), "label", "text")
     schema = "order long, label double, columns binary, values binary"
     found = map_batches(texts, _features, schema).toArrow()
     return fit_rows(list(zip(*(column.to_pylist() for column in found.columns))))
@@ -329,5 +358,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs, all columns, that pass."""
+    """The rows of docs, all columns, that pass. Rows without words go, whatever their other
+    columns hold; repeated rows are judged alike, a null doc_id does not matter, a text is read
+    whole, and an empty table stays empty."""
     return map_batches(docs, _score(model, threshold, docs.columns), docs.schema)

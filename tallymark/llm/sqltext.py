@@ -81,7 +81,7 @@ MIXING = f"""
 with sizes as (
     select doc_id, coalesce('s' || source, 't') as src,
         coalesce(len(regexp_extract_all(text, '{WORD}')), 0)::bigint as size,
-        md5('mix:' || coalesce(doc_id::varchar, '')) as key
+        md5('mix:' || coalesce(doc_id::varchar, '') || ':' || coalesce(text, '')) as key
     from documents),
 sources as (
     select src, sum(size)::bigint as source_size,

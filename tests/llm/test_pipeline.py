@@ -31,7 +31,7 @@ def test_stages_decide_and_keep_the_columns(spark, documents):
     before, after = seen[2]
     rows = [(r.doc_id, r.text) for r in before.select("doc_id", "text").collect()]
     groups = defaultdict(list)
-    roots, _ = brute_force(rows)
+    roots, _ = brute_force(rows, corpus_pipeline.NEAR_PERCENT)
     for (doc_id, _), root in zip(rows, roots):
         groups[root].append(doc_id)
     assert ids(after) == sorted(map(min, groups.values()))
