@@ -26,7 +26,7 @@ MAX_REPEAT_PERCENT = 50
 SYMBOLS = r"[#*$%&|<>]"
 
 #: Labelled rows the classifier is fitted on at most: those with the least hashes.
-TRAIN_ROWS = 1_500
+TRAIN_ROWS = 3_000
 
 BITS = 16
 WORD_GRAMS = (1, 2)
