@@ -17,12 +17,12 @@ def case_id(transaction_ref: Column) -> Column:
 
 
 def display_id(case: Column) -> Column:
-    """Label for people. Never a key: sixteen hex digits are not unique enough."""
+    """A case as a console shows it; 64 bits of the id, so two cases may look alike."""
     return F.concat(F.lit("CASE-"), F.upper(F.substring(case, 1, 16)))
 
 
 def fingerprint(break_type: Column, exposure_kobo: Column) -> Column:
-    """The facts a decision rests on."""
+    """Kind and size of a break as one text; a case has drifted once it reads differently."""
     return F.concat(break_type, F.lit(":"), exposure_kobo.cast("string"))
 
 
@@ -33,7 +33,7 @@ def payout_id(merchant_id: Column, settlement_date: Column) -> Column:
 
 
 def run_key(run_id: Column, n: Column, days: Column, seed: Column, chunk: Column) -> Column:
-    """The size parameters are part of the key, so a resized run skips nothing."""
+    """A run id with everything that decides what its chunks hold: equal keys, equal chunks."""
     return F.concat(
         run_id,
         F.lit("|n="), n.cast("string"),

@@ -259,25 +259,39 @@ def apply_actions(
         candidates = candidates.join(earlier, "idempotency_key", "left")
     candidates = candidates.withColumn("blocked", F.col("owner").isNotNull())
 
-    while True:
-        judged = materialize(_judge(candidates.drop("owner"), fan), "judged")
-        taken = judged.where(F.col("accepted")).select("idempotency_key", *OWNER)
-        if earlier is not None:
-            known = [F.col(f"owner._{c}").alias(c) for c in OWNER]
-            taken = taken.unionByName(earlier.select("idempotency_key", *known))
-        # both sides are plain scans, so a key with most of the requests can be split
-        owned = materialize(owners(taken), "owners")
-        verdict = judged.join(owned, "idempotency_key", "left").withColumn(
-            "now_blocked",
-            F.coalesce(F.col("owner._action_id") < F.col("action_id"), F.lit(False)),
-        )
-        verdict = materialize(verdict, "verdicts")
-        changed = verdict.where(F.col("blocked") != F.col("now_blocked"))
-        if changed.isEmpty():
-            break
-        candidates = verdict.drop("state", "legal", "accepted", "resulting", "blocked").withColumn(
-            "blocked", F.col("now_blocked")
-        ).drop("now_blocked")
+    # Only a key that several requests ask for can change hands. Cases without such a key are
+    # judged once and never read again.
+    wanted = candidates.where(~F.col("blocked")).groupBy("idempotency_key").count().where("count > 1")
+    wanted = wanted.select("idempotency_key")
+    contended = candidates.where(~F.col("blocked")).join(wanted, "idempotency_key", "semi")
+    contended = materialize(contended.select("case_id").distinct(), "contended-cases")
+    settled = _judge(candidates.join(contended, "case_id", "anti"), fan)
+    if contended.isEmpty():
+        verdict = materialize(settled, "verdicts")
+    else:
+        judged = _judge(candidates.join(contended, "case_id", "semi").drop("owner"), fan)
+        judged = materialize(judged, "judged")
+        while True:
+            taken = judged.where(F.col("accepted")).select("idempotency_key", *OWNER)
+            if earlier is not None:
+                known = [F.col(f"owner._{c}").alias(c) for c in OWNER]
+                taken = taken.unionByName(earlier.select("idempotency_key", *known))
+            # both sides are plain scans, so a key with most of the requests can be split
+            owned = materialize(owners(taken), "owners")
+            verdict = judged.join(owned, "idempotency_key", "left").withColumn(
+                "now_blocked",
+                F.coalesce(F.col("owner._action_id") < F.col("action_id"), F.lit(False)),
+            )
+            verdict = materialize(verdict, "verdicts")
+            changed = verdict.where(F.col("blocked") != F.col("now_blocked")).select("case_id").distinct()
+            if changed.isEmpty():
+                break
+            # a case without a changed verdict would fold to the same states again
+            again = verdict.join(changed, "case_id", "semi").withColumn("blocked", F.col("now_blocked"))
+            again = again.drop("owner", "now_blocked", "state", "legal", "accepted", "resulting")
+            rest = verdict.join(changed, "case_id", "anti").drop("owner", "now_blocked")
+            judged = materialize(rest.unionByName(_judge(again, fan)), "judged")
+        verdict = materialize(verdict.drop("now_blocked").unionByName(settled), "verdicts")
 
     same = (F.col("owner._case_id") == F.col("case_id")) & (
         F.col("owner._action") == F.col("action")

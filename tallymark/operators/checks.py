@@ -29,6 +29,7 @@ from tallymark.schemas import (
     STATUSES,
     SYSTEM_STATUSES,
 )
+from tallymark.sources.by_reference import KEY, ByReference
 
 # Fixed rules per table.
 UNIQUE = (
@@ -307,9 +308,20 @@ def expected_mart_rows(fct_tx: DataFrame, fct_stl: DataFrame) -> DataFrame:
     return success.unionByName(reversed_).agg(F.count("*").alias("expected_rows"))
 
 
-def mart_row_delta(recon: DataFrame, fct_tx: DataFrame, fct_stl: DataFrame) -> DataFrame:
+def expected_mart_rows_by_reference(layout: ByReference) -> DataFrame:
+    """The same count from the staged tables, which lie together by reference: no exchange but
+    that of the counts."""
+    settled = layout.lines.select(*KEY).distinct()
+    settled_or_not = layout.charges.join(settled.withColumn("settled", F.lit(True)), list(KEY), "left")
+    owns = F.coalesce(F.col("settled"), F.lit(False)) | (F.col("ref_slots") > 1)
+    due = F.col("is_settlement_eligible") | (F.col("is_reversed") & owns)
+    return settled_or_not.where(F.col("ref_slot") == 0).agg(F.count_if(due).alias("expected_rows"))
+
+
+def mart_row_delta(recon: DataFrame, expected: DataFrame) -> DataFrame:
+    """recon against the one row of `expected_mart_rows`."""
     rows = recon.agg(F.count("*").alias("reconciliation_rows"))
-    both = rows.withColumn("expected_rows", expected_mart_rows(fct_tx, fct_stl).scalar())
+    both = rows.withColumn("expected_rows", expected.scalar())
     return both.withColumn("row_delta", F.col("reconciliation_rows") - F.col("expected_rows"))
 
 
@@ -344,54 +356,104 @@ def _rules_of(table: str) -> dict[str, Column]:
     return rules | {name: rule() for name, rule in ROW_RULES.get(table, {}).items()}
 
 
-def table_tests(df: DataFrame, table: str) -> DataFrame:
-    """(table_name, rule, violations) of the row rules and the uniqueness of one table, in one
-    pass: rule counts are summed up per key first, which also shows keys with copies."""
-    rules = _rules_of(table)
-    keys = [column for name, column in UNIQUE if name == table]
-    if keys:
-        counted = df.groupBy(keys[0]).agg(
-            F.count("*").alias("copies"), *[F.count_if(r).alias(n) for n, r in rules.items()]
+def _keys_grouped(tables: dict[str, DataFrame], keys: dict[str, str]) -> DataFrame:
+    """(key, one count of rows for each table): all tables meet in one exchange, reduced to a
+    row per key and task before it. Of the transactions the eligible and reversed ones are
+    counted along."""
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    kinds = {"eligible": "is_settlement_eligible", "reversed": "is_reversed"}
+
+    def marked(name: str, column: str) -> DataFrame:
+        charge = name == "fct_transactions" and column == "transaction_ref"
+        kind = {k: F.col(c).cast("bigint") if charge else none for k, c in kinds.items()}
+        return tables[name].select(
+            F.col(column).alias("key"),
+            *[(one if name == other else none).alias(other) for other in keys],
+            *[F.coalesce(c, none).alias(k) for k, c in kind.items()],
         )
-        sums = [F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n) for n in rules]
-        twice = F.count_if((F.col("copies") > 1) & F.col(keys[0]).isNotNull())
-        row = counted.agg(twice.alias(f"unique_{keys[0]}"), *sums)
-    else:
-        row = df.agg(*[F.count_if(r).alias(n) for n, r in rules.items()])
-    parts = [row.unpivot([], row.columns, "rule", "violations")]
-    for column in keys[1:]:
-        copies = check_unique(df, column).agg(F.count("*").alias("violations"))
-        parts.append(copies.select(F.lit(f"unique_{column}").alias("rule"), "violations"))
-    return _union(parts).select(F.lit(table).alias("table_name"), "rule", "violations")
 
+    rows = _union([marked(name, column) for name, column in keys.items()])
+    return rows.groupBy("key").agg(*[F.sum(c).alias(c) for c in (*keys, *kinds)])
 
-def data_tests(tables: dict[str, DataFrame]) -> DataFrame:
-    """One row per data test over staged tables, facts and marts."""
-    recon, fct_tx = tables["mart_settlement_reconciliation"], tables["fct_transactions"]
-    lines, charges = tables["stg_settlements"], tables["stg_transactions"]
 
-    def single(table: str, rule: str, counted: DataFrame, value: Column) -> DataFrame:
-        return counted.select(
-            F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), value.alias("violations")
-        )
+def _per_ref(tables: dict[str, DataFrame]) -> DataFrame:
+    grouped = _keys_grouped(tables, dict.fromkeys(tables, "transaction_ref"))
+    return grouped.withColumnRenamed("key", "transaction_ref")
 
-    parts = [table_tests(df, name) for name, df in tables.items()]
-    orphans = check_relationship(lines, charges, "transaction_ref").agg(F.count("*").alias("n"))
-    parts.append(single("stg_settlements", "line_has_charge", orphans, F.col("n")))
-    # both ties from one scan of each fact and mart
-    sides = [
-        _fact_counts(fct_tx, tables["fct_settlements"]).select("fct_tx_rows", "expected_rows"),
-        recon.agg(F.count("*").alias("recon_rows")),
-        tables["mart_merchant_daily"].agg(F.sum("attempts").alias("attempts")),
+
+def _expected_rows() -> list[Column]:
+    """Over `_per_ref` with both facts: their rows and those that the mart must have. A null
+    ref names no charge."""
+    zero = F.lit(0).cast("bigint")
+    settled = F.col("transaction_ref").isNotNull() & (F.col("fct_settlements") > 0)
+    due = F.col("eligible") + F.when(settled, F.col("reversed")).otherwise(zero)
+    return [
+        F.coalesce(F.sum("fct_transactions"), zero).alias("fct_tx_rows"),
+        F.coalesce(F.sum("fct_settlements"), zero).alias("fct_stl_rows"),
+        F.coalesce(F.sum(due), zero).alias("expected_rows"),
     ]
+
+
+def _row_tests(df: DataFrame, table: str) -> DataFrame | None:
+    """(table_name, rule, violations) of the rules on single rows: one scan, nothing grouped."""
+    rules = _rules_of(table)
+    if not rules:
+        return None
+    row = df.agg(*[F.count_if(rule).alias(name) for name, rule in rules.items()])
+    tests = row.unpivot([], row.columns, "rule", "violations")
+    return tests.select(F.lit(table).alias("table_name"), "rule", "violations")
+
+
+REFS = (
+    "stg_transactions",
+    "stg_settlements",
+    "fct_transactions",
+    "fct_settlements",
+    "mart_settlement_reconciliation",
+)
+RECON, DAILY = "mart_settlement_reconciliation", "mart_merchant_daily"
+
+
+def data_tests(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row per data test over staged tables, facts and marts.
+
+    Rules on single rows take one scan of each table. All that goes by reference - unique
+    references, lines without a charge, the rows the mart must have - comes from one grouping
+    over the union of five tables, unique line and case ids from another: two exchanges of
+    narrow rows, whatever the number of tests.
+    """
+    refs = _per_ref({name: tables[name] for name in REFS})
+    named, zero = F.col("transaction_ref").isNotNull(), F.lit(0).cast("bigint")
+    orphans = F.when(named & (F.col("stg_transactions") == 0), F.col("stg_settlements"))
+    by_ref = refs.agg(
+        *[F.count_if(named & (F.col(t) > 1)).alias(f"{t}.unique_{c}") for t, c in UNIQUE if c == "transaction_ref"],
+        F.coalesce(F.sum(orphans), zero).alias("stg_settlements.line_has_charge"),
+        F.coalesce(F.sum(RECON), zero).alias("recon_rows"),
+        *_expected_rows(),
+    )
+    ids = {table: column for table, column in UNIQUE if column != "transaction_ref"}
+    known = F.col("key").isNotNull()
+    by_id = _keys_grouped(tables, ids).agg(
+        *[F.count_if(known & (F.col(t) > 1)).alias(f"{t}.unique_{c}") for t, c in ids.items()]
+    )
+    attempts = tables[DAILY].agg(F.coalesce(F.sum("attempts"), zero).alias("attempts"))
+    # one-row relations side by side: each column is known in exactly one of them
+    sides = [by_ref, by_id, attempts]
     wide = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
-    ties = wide.agg(*[F.max(c).alias(c) for c in wide.columns]).select(
-        F.abs(F.col("recon_rows") - F.col("expected_rows")).alias("mart_settlement_reconciliation"),
-        F.abs(F.col("attempts") - F.col("fct_tx_rows")).alias("mart_merchant_daily"),
+    one = wide.agg(*[F.max(f"`{c}`").alias(c) for c in wide.columns])
+    counts = one.select(
+        *[F.col(f"`{c}`") for c in wide.columns if "." in c],
+        F.abs(F.col("recon_rows") - F.col("expected_rows")).alias(f"{RECON}.ties_to_fact"),
+        F.abs(F.col("attempts") - F.col("fct_tx_rows")).alias(f"{DAILY}.ties_to_fact"),
+    )
+    counts = counts.toDF(*[c.replace(".", "/") for c in counts.columns])
+    keyed = counts.unpivot([], counts.columns, "test", "violations").select(
+        F.substring_index("test", "/", 1).alias("table_name"),
+        F.substring_index("test", "/", -1).alias("rule"),
+        "violations",
     )
-    ties = ties.unpivot([], ties.columns, "table_name", "violations")
-    parts.append(ties.select("table_name", F.lit("ties_to_fact").alias("rule"), "violations"))
-    return _union(parts)
+    single = [_row_tests(df, name) for name, df in tables.items()]
+    return _union([*[tests for tests in single if tests is not None], keyed])
 
 
 def require_data_tests(tables: dict[str, DataFrame]) -> None:
@@ -420,25 +482,13 @@ def _recon_counts(recon: DataFrame) -> DataFrame:
 
 
 def _fact_counts(fct_tx: DataFrame, fct_stl: DataFrame) -> DataFrame:
-    """Rows of both facts, refs with copies and the rows the mart must have, in one scan of
-    each: both sides are reduced to a row per ref before they meet."""
-    charges = fct_tx.groupBy("transaction_ref").agg(
-        F.count("*").alias("charges"),
-        F.count_if(F.col("is_settlement_eligible")).alias("eligible"),
-        F.count_if(F.col("is_reversed")).alias("reversed"),
-    )
-    lines = fct_stl.groupBy("transaction_ref").agg(F.count("*").alias("lines"))
-    settled_reversed = F.when(F.col("lines").isNotNull(), F.col("reversed"))
-    zero = F.lit(0).cast("bigint")
-    return charges.join(lines, "transaction_ref", "full").agg(
-        F.coalesce(F.sum("charges"), zero).alias("fct_tx_rows"),
-        F.coalesce(F.sum("lines"), zero).alias("fct_stl_rows"),
-        F.count_if((F.col("charges") > 1) & F.col("transaction_ref").isNotNull()).alias(
+    """Rows of both facts, refs with copies and the rows the mart must have, from one grouping
+    by ref over the union of both."""
+    return _per_ref({"fct_transactions": fct_tx, "fct_settlements": fct_stl}).agg(
+        *_expected_rows(),
+        F.count_if((F.col("fct_transactions") > 1) & F.col("transaction_ref").isNotNull()).alias(
             "fct_transactions_unique_ref"
         ),
-        (F.coalesce(F.sum("eligible"), zero) + F.coalesce(F.sum(settled_reversed), zero)).alias(
-            "expected_rows"
-        ),
     )
 
 

@@ -1,8 +1,10 @@
 """Raw messages to typed rows, and the quarantine for what does not fit.
 
-A message relation has `value` (binary, one JSON document) and `topic`. Each message
-is parsed once; every field arrives as a variant that keeps its JSON type, so a number
-sent for a text field is seen as a mismatch instead of being turned into text.
+A message relation has `value` (binary, one JSON document) and `topic`. A document is parsed
+into a variant, which keeps JSON types, so a number sent for a text field is seen as a mismatch
+instead of being turned into text. The types of all its fields are one text, its shape: where that
+is the shape the schema asks for, the whole record is read from the variant at once. Only other
+documents are looked at field by field, to find the fault or what may still be made of them.
 
 One bad message never stops the run. A message that is not JSON, holds a value of the
 wrong type or lacks a required field goes to quarantine with the kind of fault only:
@@ -22,6 +24,7 @@ from pyspark.sql.types import (
     IntegerType,
     LongType,
     StringType,
+    StructField,
     StructType,
     TimestampType,
 )
@@ -48,7 +51,10 @@ def _value(raw: Column, kind: Column, dtype: DataType) -> Column:
     if isinstance(dtype, DoubleType):
         number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
         return F.when(number, F.try_variant_get(raw, "$", "double"))
-    text = F.when(kind == "STRING", F.try_variant_get(raw, "$", "string"))
+    return _time(F.when(kind == "STRING", F.try_variant_get(raw, "$", "string")), dtype)
+
+
+def _time(text: Column, dtype: DataType) -> Column:
     text = F.when(text.rlike(ISO_TIME), text)
     if isinstance(dtype, TimestampType):
         return F.regexp_replace(text, ",", ".").try_cast("timestamp")
@@ -65,6 +71,45 @@ def _fault(kind: Column, value: Column, dtype: DataType) -> Column:
     return F.when(unusable, "SchemaMismatch")
 
 
+#: Types in a shape that each kind of field takes as it is.
+_SHAPES = (
+    (StringType, "STRING"),
+    ((LongType, IntegerType), "BIGINT"),
+    (DoubleType, r"(?:BIGINT|DOUBLE|FLOAT|DECIMAL\(\d+,\d+\))"),
+    ((TimestampType, DateType), "STRING"),
+)
+
+
+def fitting_shape(fields: list[StructField]) -> str:
+    """A pattern of the shapes of one-element arrays whose element holds the declared fields in
+    their types. A shape lists fields by name; undeclared ones may stand between them, unless they
+    are objects or arrays. Optional fields may lack or be null."""
+    end = r"(?:, |(?=>>))"
+    declared = "|".join(f.name for f in fields)
+    other = rf"(?:(?!(?:{declared}): )(?:`(?:[^`]|``)*`|\w+): [A-Z]+(?:\(\d+,\d+\))?{end})*+"
+    parts = [other]
+    for f in sorted(fields, key=lambda f: f.name):
+        (shape,) = (shape for kinds, shape in _SHAPES if isinstance(f.dataType, kinds))
+        if f.nullable:
+            parts.append(rf"(?:{f.name}: (?:{shape}|VOID){end})?{other}")
+        else:
+            parts.append(rf"{f.name}: {shape}{end}{other}")
+    return rf"\AARRAY<OBJECT<{''.join(parts)}>>\z"
+
+
+def _read_as(dtype: DataType) -> str:
+    """What a field is read as before times and short numbers are checked."""
+    if isinstance(dtype, (TimestampType, DateType)):
+        return "string"
+    return "bigint" if isinstance(dtype, IntegerType) else dtype.simpleString()
+
+
+def _finished(read: Column, dtype: DataType) -> Column:
+    if isinstance(dtype, (TimestampType, DateType)):
+        return _time(read, dtype)
+    return read.try_cast("int") if isinstance(dtype, IntegerType) else read
+
+
 def coerce(messages: DataFrame, schema: StructType) -> DataFrame:
     """Add `record` (struct of the declared fields) and `error_type` (null when good).
 
@@ -78,15 +123,34 @@ def coerce(messages: DataFrame, schema: StructType) -> DataFrame:
 
     payload = F.coalesce(F.col("value"), F.lit(b""))
     # Wrapped in an array, text after the document makes the whole thing invalid.
-    docs = F.from_json(
-        F.concat(F.lit("["), "_text", F.lit("]")), f"array<{variants.simpleString()}>"
-    )
-    parsed = (
+    wrapped = F.concat(F.lit("["), "_text", F.lit("]"))
+    whole = ", ".join(f"{f.name}: {_read_as(f.dataType)}" for f in fields)
+    single = F.try_variant_get("_whole", "$[1]", "variant").isNull()
+    read = F.try_variant_get("_whole", "$[0]", f"struct<{whole}>")
+    known = (
         messages.withColumn("_null", F.col("value").isNull())
         .withColumn("value", payload)
         .withColumn("_utf8", F.is_valid_utf8(F.col("value").cast("string")))
         .withColumn("_text", F.when(F.col("_utf8"), F.col("value").cast("string")))
-        .withColumn("_docs", docs)
+        .withColumn("_whole", F.try_parse_json(wrapped))
+        .withColumn("_shaped", F.schema_of_variant("_whole").rlike(fitting_shape(fields)) & single)
+        .withColumn("_read", F.when(F.col("_shaped"), read))
+        .withColumns({f"_done_{f.name}": _finished(F.col("_read")[f.name], f.dataType) for f in fields})
+    )
+    whole_read = reduce(
+        lambda a, b: a & b,
+        [
+            F.col(f"_done_{f.name}").isNotNull() | F.col("_read")[f.name].isNull()
+            for f in fields
+            if _read_as(f.dataType) != f.dataType.simpleString()
+        ],
+        F.col("_read").isNotNull(),
+    )
+    # what follows is null, and costs nothing, for a record that has been read
+    parsed = (
+        known.withColumn("_good", F.coalesce(whole_read, F.lit(False)))
+        .withColumn("_left", F.when(~F.col("_good"), wrapped))
+        .withColumn("_docs", F.from_json("_left", f"array<{variants.simpleString()}>"))
         .withColumn("_doc", F.when(F.size("_docs") == 1, F.get("_docs", F.lit(0))))
     )
     kind = {f.name: F.col(f"_kind_{f.name}") for f in fields}
@@ -110,7 +174,8 @@ def coerce(messages: DataFrame, schema: StructType) -> DataFrame:
     required = [value[f.name].isNull() for f in fields if not f.nullable]
     missing = reduce(lambda a, b: a | b, required)
     error = (
-        F.when(F.col("_null"), "TypeError")
+        F.when(F.col("_good"), None)
+        .when(F.col("_null"), "TypeError")
         .when(~F.col("_utf8"), "UnicodeDecodeError")
         .when(
             F.col("_doc").isNull(),
@@ -120,7 +185,8 @@ def coerce(messages: DataFrame, schema: StructType) -> DataFrame:
         )
         .otherwise(_first([*times, *faults, F.when(missing, "MissingRequired")]))
     )
-    record = F.struct(*[value[f.name].alias(f.name) for f in fields])
+    chosen = [F.when(F.col("_good"), F.col(f"_done_{f.name}")).otherwise(value[f.name]) for f in fields]
+    record = F.struct(*[column.alias(f.name) for column, f in zip(chosen, fields, strict=True)])
     # The one-element explode is a fence. Without it the optimizer pushes a later filter on
     # error_type below the parse and evaluates the whole parse once more per reference.
     outcome = F.explode(F.array(F.struct(record.alias("record"), error.alias("error_type"))))

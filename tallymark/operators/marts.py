@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallymark.functions import rate, round_to
 from tallymark.schemas import FAILURE_REASONS
+from tallymark.sources.by_reference import KEY, ByReference
 
 
 def fct_transactions(stg_tx: DataFrame) -> DataFrame:
@@ -48,15 +49,24 @@ def fct_settlements(stg_stl: DataFrame, stg_tx: DataFrame) -> DataFrame:
     The lag counts from the success, which a later reversal does not move. The lines
     are the preserved side, so a ref that owns many lines is split by skew handling.
     """
-    charge = stg_tx.select(
-        F.col("transaction_ref").alias("_ref"),
+    return _with_charge(stg_stl, stg_tx, ["transaction_ref"])
+
+
+def fct_settlements_by_reference(layout: ByReference) -> DataFrame:
+    """The same rows from tables that lie together by reference, without an exchange."""
+    return _with_charge(layout.lines, layout.charges, list(KEY))
+
+
+def _with_charge(lines: DataFrame, charges: DataFrame, keys: list[str]) -> DataFrame:
+    charge = charges.select(
+        *[F.col(key).alias(f"_{key}") for key in keys],
         F.col("created_at").alias("transaction_created_at"),
         "channel",
         "gateway",
         "successful_at",
     )
-    joined = stg_stl.join(charge, F.col("transaction_ref") == F.col("_ref"), "left")
-    return joined.select(
+    same = [F.col(key) == F.col(f"_{key}") for key in keys]
+    return lines.join(charge, same, "left").select(
         "settlement_id",
         "payout_id",
         "transaction_ref",
@@ -73,7 +83,7 @@ def fct_settlements(stg_stl: DataFrame, stg_tx: DataFrame) -> DataFrame:
         F.datediff("settlement_date", F.to_date("successful_at"))
         .cast("bigint")
         .alias("settlement_lag_days"),
-        F.col("_ref").isNull().alias("is_orphan_settlement"),
+        F.col("_transaction_ref").isNull().alias("is_orphan_settlement"),
     )
 
 

@@ -7,10 +7,11 @@ Each step takes and returns a DataFrame; `reconcile` composes them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions import case_id
+from tallymark.sources.by_reference import KEY, ByReference
 
 CHARGE_COLUMNS = (
     "transaction_ref",
@@ -46,13 +47,23 @@ def eligible(stg_tx: DataFrame, stg_stl: DataFrame) -> DataFrame:
     return success.unionByName(reversed_)
 
 
-def _charges(stg_tx: DataFrame) -> DataFrame:
+def _charges(stg_tx: DataFrame, *more: str) -> DataFrame:
     return stg_tx.withColumns(
         {
             "succeeded_at": F.col("successful_at"),
             "succeeded_date": F.to_date("successful_at"),
         }
-    ).select(*CHARGE_COLUMNS)
+    ).select(*CHARGE_COLUMNS, *more)
+
+
+def _lines(stg_stl: DataFrame, *more: str) -> DataFrame:
+    paid = [F.col("net_kobo").alias(c) if c == "settled_net_kobo" else c for c in LINE_COLUMNS]
+    return stg_stl.select("transaction_ref", *paid, *more)
+
+
+def _dated(rows: DataFrame, day: Column) -> DataFrame:
+    days = F.datediff("as_of_date", "succeeded_date").cast("bigint")
+    return rows.withColumn("as_of_date", day).withColumn("days_since_success", days)
 
 
 def with_lines(stg_tx: DataFrame, stg_stl: DataFrame) -> DataFrame:
@@ -64,14 +75,7 @@ def with_lines(stg_tx: DataFrame, stg_stl: DataFrame) -> DataFrame:
     count only where the inner join finds a line. Two lines for one charge stay two
     rows; the uniqueness check reports them.
     """
-    lines = stg_stl.select(
-        F.col("transaction_ref"),
-        "settlement_id",
-        "payout_id",
-        "settlement_date",
-        "settled_at",
-        F.col("net_kobo").alias("settled_net_kobo"),
-    )
+    lines = _lines(stg_stl)
     charges = _charges(stg_tx.where(F.col("is_settlement_eligible") | F.col("is_reversed")))
     open_charges = _charges(stg_tx.where(F.col("is_settlement_eligible")))
 
@@ -80,10 +84,20 @@ def with_lines(stg_tx: DataFrame, stg_stl: DataFrame) -> DataFrame:
         lines.select("transaction_ref").distinct(), "transaction_ref", "anti"
     )
     both = settled.unionByName(unsettled, allowMissingColumns=True)
-    dated = both.withColumn("as_of_date", as_of(stg_tx).scalar())
-    return dated.withColumn(
-        "days_since_success", F.datediff("as_of_date", "succeeded_date").cast("bigint")
-    )
+    return _dated(both, as_of(stg_tx).scalar())
+
+
+def with_lines_by_reference(layout: ByReference) -> DataFrame:
+    """The same rows from tables that lie together by reference: one join, no exchange.
+
+    A reference with slots has lines, so none of its repeated charges may stand alone.
+    """
+    lines = _lines(layout.lines, *KEY[1:])
+    wanted = layout.charges.where(F.col("is_settlement_eligible") | F.col("is_reversed"))
+    charges = _charges(wanted, "is_settlement_eligible", "ref_slots", *KEY[1:])
+    alone = F.col("is_settlement_eligible") & (F.col("ref_slots") == 1)
+    both = charges.join(lines, list(KEY), "left").where(F.col("settlement_id").isNotNull() | alone)
+    return _dated(both.select(*CHARGE_COLUMNS, *LINE_COLUMNS), F.lit(layout.as_of).cast("date"))
 
 
 def classify(joined: DataFrame) -> DataFrame:
@@ -168,3 +182,8 @@ def identify(flagged: DataFrame) -> DataFrame:
 def reconcile(stg_tx: DataFrame, stg_stl: DataFrame) -> DataFrame:
     """The whole mart, 31 columns."""
     return identify(flag(classify(with_lines(stg_tx, stg_stl))))
+
+
+def reconcile_by_reference(layout: ByReference) -> DataFrame:
+    """The whole mart from tables that lie together by reference."""
+    return identify(flag(classify(with_lines_by_reference(layout))))

@@ -12,16 +12,17 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.operators import checks, marts, staging
-from tallymark.operators.reconcile import reconcile
+from tallymark.operators.reconcile import reconcile_by_reference
 from tallymark.session import use_utc
 from tallymark.sources.case_store import CaseStore
+from tallymark.sources.by_reference import ByReference, drop_by_reference, write_by_reference
+from tallymark.sources.files import read_marker, write_marker
 from tallymark.sources.publish import (
     MARTS,
+    drop_old_folders,
     drop_old_versions,
     publish_all,
-    published,
-    read_marker,
-    write_marker,
+    served,
 )
 from tallymark.sources.tables import read_staged, write_staged
 
@@ -65,11 +66,12 @@ def staged_root(spark: SparkSession, root: str) -> str:
     return f"{root}/staged/{version}"
 
 
-def build_marts(stg_tx: DataFrame, stg_stl: DataFrame) -> dict[str, DataFrame]:
+def build_marts(stg_tx: DataFrame, layout: ByReference) -> dict[str, DataFrame]:
+    """What joins charges and lines reads them where they lie together, the rest by day."""
     return {
         "fct_transactions": marts.fct_transactions(stg_tx),
-        "fct_settlements": marts.fct_settlements(stg_stl, stg_tx),
-        "mart_settlement_reconciliation": reconcile(stg_tx, stg_stl),
+        "fct_settlements": marts.fct_settlements_by_reference(layout),
+        "mart_settlement_reconciliation": reconcile_by_reference(layout),
         "mart_merchant_daily": marts.mart_merchant_daily(stg_tx),
         "mart_channel_performance": marts.mart_channel_performance(stg_tx),
     }
@@ -110,26 +112,31 @@ def run(
     stg_tx = staging.stg_transactions(read_staged(spark, stage_to, "transactions"))
     stg_stl = staging.stg_settlements(read_staged(spark, stage_to, "settlements"))
     staged = {"stg_transactions": stg_tx, "stg_settlements": stg_stl}
-    report.tables = timed(
-        "marts_and_publish",
-        lambda: publish_all(
-            build_marts(stg_tx, stg_stl),
+    joined = f"{root}/by_reference/{version}"
+
+    def marts_and_publish() -> list[dict]:
+        layout = write_by_reference(stg_tx, stg_stl, joined)
+        return publish_all(
+            build_marts(stg_tx, layout),
             mart_root,
             gate=lambda drafts: checks.require_data_tests({**staged, **drafts}),
-        ),
-    )
-    served = {name: published(spark, mart_root, name) for name in MARTS}
+        )
+
+    report.tables = timed("marts_and_publish", marts_and_publish)
+    drop_by_reference(spark, joined)
+    live = served(spark, mart_root)
     rows = {table["table"]: table["rows"] for table in report.tables}
-    _, soft = timed("checks", lambda: checks.enforce(checks.serving_report(served, rows)))
+    _, soft = timed("checks", lambda: checks.enforce(checks.serving_report(live, rows)))
     report.warnings = [row.asDict() for row in soft]
     store = CaseStore(spark, f"{root}/cases")
     report.cases = timed(
         "case_sync",
         lambda: store.sync_mart(
-            served["mart_settlement_reconciliation"], F.lit(run_at).cast("timestamp")
+            live["mart_settlement_reconciliation"], F.lit(run_at).cast("timestamp")
         ),
     )
     for name in MARTS:
         drop_old_versions(spark, mart_root, name, KEEP_VERSIONS)
-    drop_old_versions(spark, root, "staged", KEEP_VERSIONS)
+    drop_old_folders(spark, f"{root}/staged", KEEP_VERSIONS)
+    drop_old_folders(spark, f"{root}/by_reference", KEEP_VERSIONS)
     return report

@@ -306,6 +306,20 @@ register(
         f" {_ORDER} limit 25"
     ),
 )
+
+
+def _after(ws):
+    """Rows 11 to 35 of the queue, asked for by the cursor of row 10."""
+    queue = ws.queue()
+    last = queue.page("active", limit=10).collect()[-1]
+    return queue.page("active", limit=25, after=tuple(last[c] for c in cs.QUEUE_ORDER))
+
+
+register(
+    "l04_page_after_cursor",
+    lambda ws: _after(ws).select(*_PAGE_NAMES),
+    _sql(f"select {cols(_PAGE)} from effective where {_ACTIVE} {_ORDER} limit 25 offset 10"),
+)
 register(
     "l04_queue_total",
     lambda ws: cs.queue_total(ws.effective(), "active", "short_paid"),

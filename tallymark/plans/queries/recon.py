@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallymark.operators import checks, marts
+from tallymark.operators import checks, distinct, incremental, marts, staging
 from tallymark.operators import reconcile as rc
 from tallymark.plans.queries.base import register
 from tallymark.plans.sqltext import cols, sql
+from tallymark.sources.tables import materialize
 
 FCT_TX = (
     "transaction_ref merchant_id customer_id gateway channel bank_code status currency"
@@ -56,7 +57,7 @@ register(
 )
 register(
     "f02_fct_settlements",
-    lambda ws: marts.fct_settlements(ws.stg_settlements(), ws.stg_transactions()),
+    lambda ws: marts.fct_settlements_by_reference(ws.by_reference()),
     sql(f"select {cols(FCT_STL)} from fct_stl"),
 )
 register(
@@ -111,7 +112,7 @@ for _key, _columns in (
     )
 register(
     "f17_reconciliation_mart",
-    lambda ws: rc.reconcile(ws.stg_transactions(), ws.stg_settlements()),
+    lambda ws: rc.reconcile_by_reference(ws.by_reference()),
     sql(f"select {cols(RECON)} from recon"),
 )
 
@@ -130,7 +131,7 @@ register(
 )
 register(
     "j02_charge_to_line",
-    lambda ws: rc.with_lines(ws.stg_transactions(), ws.stg_settlements()).select(
+    lambda ws: rc.with_lines_by_reference(ws.by_reference()).select(
         "transaction_ref", "settlement_id", "payout_id"
     ),
     sql("select transaction_ref, settlement_id, payout_id from recon"),
@@ -208,3 +209,61 @@ register(
     lambda ws: marts.mart_channel_performance(ws.stg_transactions()),
     sql(f"select {cols(CHANNELS)} from channels"),
 )
+
+
+# --- Marts from changes and sketches ---------------------------------------------------
+
+
+def _in_increments(ws, rolling):
+    """The mart after raw events came in three parts: the state of the first, refreshed by what
+    the second and the third change."""
+    raw = ws.raw_transactions().withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(3)))
+    state = before = None
+    for part in range(3):
+        known = raw.where(F.col("part") <= part).drop("part")
+        after = staging.stg_transactions(
+            ws.staged_rows("transactions", staging.stage_transactions(known))
+        )
+        if state is None:
+            state = rolling.state(after)
+        else:
+            old, new = incremental.changed_rows(before, after, raw.where(F.col("part") == part))
+            state = rolling.refresh(state, old, new, after)
+        state, before = materialize(state, "rolling"), after
+    return rolling.mart(state)
+
+
+register(
+    "a01_merchant_daily_in_increments",
+    lambda ws: _in_increments(ws, incremental.merchant_daily()),
+    sql(f"select {cols(DAILY)} from daily"),
+)
+register(
+    "a07_channel_performance_in_increments",
+    lambda ws: _in_increments(ws, incremental.channel_performance()),
+    sql(f"select {cols(CHANNELS)} from channels"),
+)
+
+
+def _weekly_customers(ws):
+    charges = ws.stg_transactions()
+    week = F.date_trunc("week", "event_date").cast("date")
+    spans = {"merchant_id": F.col("merchant_id"), "week": week}
+    estimates = distinct.rollup_customers(materialize(distinct.daily_customers(charges), "customers"), **spans)
+    exact = charges.groupBy("merchant_id", week.alias("week")).agg(
+        F.count_distinct("customer_id").alias("unique_customers")
+    )
+    near = distinct.within_error(F.col("customers_estimate"), F.col("unique_customers"))
+    return exact.join(estimates, ["merchant_id", "week"]).select(
+        "merchant_id", "week", "unique_customers", near.alias("within_error")
+    )
+
+
+register(
+    "a04_rollup",
+    _weekly_customers,
+    sql(
+        "select merchant_id, cast(cast(date_trunc('week', event_date) as date) as varchar) as week,"
+        " count(distinct customer_id) as unique_customers, true as within_error from stg_tx group by 1, 2"
+    ),
+)

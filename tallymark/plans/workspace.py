@@ -19,6 +19,8 @@ from tallymark.operators.reconcile import reconcile
 from tallymark.plans import fixtures
 from tallymark.schemas import CASE, nullable
 from tallymark.session import scratch, use_utc
+from tallymark.sources.by_reference import ByReference, write_by_reference
+from tallymark.sources.queue import Queue
 from tallymark.sources.tables import materialize, read_staged, write_staged
 
 MARTS = (
@@ -66,7 +68,7 @@ class Workspace:
 
     # --- staged and marts, written once
 
-    def _staged(self, dataset: str, rows: DataFrame) -> DataFrame:
+    def staged_rows(self, dataset: str, rows: DataFrame) -> DataFrame:
         root = scratch(self.spark, "staged")
         write_staged(rows, root, dataset)
         return read_staged(self.spark, root, dataset)
@@ -75,7 +77,7 @@ class Workspace:
         return self._once(
             "stg_transactions",
             lambda: staging.stg_transactions(
-                self._staged("transactions", staging.stage_transactions(self.raw_transactions()))
+                self.staged_rows("transactions", staging.stage_transactions(self.raw_transactions()))
             ),
         )
 
@@ -83,7 +85,15 @@ class Workspace:
         return self._once(
             "stg_settlements",
             lambda: staging.stg_settlements(
-                self._staged("settlements", staging.stage_settlements(self.raw_settlements()))
+                self.staged_rows("settlements", staging.stage_settlements(self.raw_settlements()))
+            ),
+        )
+
+    def by_reference(self) -> ByReference:
+        return self._once(
+            "by_reference",
+            lambda: write_by_reference(
+                self.stg_transactions(), self.stg_settlements(), scratch(self.spark, "by-reference")
             ),
         )
 
@@ -157,6 +167,14 @@ class Workspace:
     def effective(self) -> DataFrame:
         return effective_cases(self.second_cases())
 
+    def queue(self) -> Queue:
+        def build() -> Queue:
+            queue = Queue(self.spark, scratch(self.spark, "queue"))
+            queue.write(self.effective(), ranges=4)
+            return queue
+
+        return self._once("queue", build)
+
     # --- ledger
 
     def chunks(self) -> DataFrame:

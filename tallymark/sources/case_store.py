@@ -6,17 +6,21 @@ which only succeeds if nobody else has: then the change starts again from the ne
 So no writer overwrites another's work, a failed change leaves the old state, and the state
 of a case and the actions behind it can never come apart.
 
-The log is a set of segments; applying requests adds one and rewrites nothing.
+The log is a set of segments; applying requests adds one and rewrites nothing. Each segment has a
+fingerprint of its rows, which does not care for their order, and the fingerprints are chained by
+digests: the state holds the chain, so whether a segment is still what was appended is seen from
+that segment alone, and a compacted log is compared by sums of fingerprints, without its old rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -24,16 +28,15 @@ from tallymark.operators import cases as cs
 from tallymark.operators import checks as ck
 from tallymark.operators.actions import AppliedActions, apply_actions
 from tallymark.schemas import BREAK, CASE, CASE_ACTION, nullable
-from tallymark.sources.publish import create_file, delete_path, list_names, read_file, write_version
+from tallymark.sources.files import delete_path
+from tallymark.sources.states import States
 
-EMPTY = {"cases": None, "segments": []}
+#: links: for each segment its rows, the sums of their hashes and the digest of the chain so far.
+EMPTY = {"cases": None, "segments": [], "links": []}
 
 #: States kept for readers that still hold an older one, with the snapshots they name.
 KEEP_STATES = 3
 
-#: Times a change starts again because another one came first.
-ATTEMPTS = 50
-
 
 def _refuse(violations: DataFrame, what: str) -> None:
     found = violations.limit(5).collect()
@@ -41,6 +44,37 @@ def _refuse(violations: DataFrame, what: str) -> None:
         raise ValueError(f"{what}: {[r.asDict() for r in found]}")
 
 
+# --- fingerprints of the log
+
+
+def _print_columns() -> list[Column]:
+    """Rows and two sums of 64-bit hashes over all columns. A null has a mark of its own, since
+    the hash alone passes over it."""
+    values = [F.col(c) for c in CASE_ACTION.names]
+    marks = [F.col(c).isNull() for c in CASE_ACTION.names]
+    halves = [F.xxhash64(*marks, *values), F.xxhash64(F.lit("other half"), *marks, *values)]
+    sums = [F.sum(half.cast("decimal(38,0)")) for half in halves]
+    return [F.count(F.lit(1)).alias("rows"), *[s.alias(f"sum_{i}") for i, s in enumerate(sums)]]
+
+
+def _as_print(row: dict) -> dict:
+    return {"rows": row["rows"], "sums": [str(row[f"sum_{i}"] or 0) for i in range(2)]}
+
+
+def _chained(before: str, link: dict) -> str:
+    text = json.dumps([before, link["rows"], link["sums"]])
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def _head(links: list[dict]) -> str:
+    return links[-1]["digest"] if links else ""
+
+
+def _total(links: list[dict]) -> dict:
+    sums = [str(sum(int(link["sums"][i]) for link in links)) for i in range(2)]
+    return {"rows": sum(link["rows"] for link in links), "sums": sums}
+
+
 @dataclass(frozen=True)
 class CaseStore:
     spark: SparkSession
@@ -48,52 +82,14 @@ class CaseStore:
 
     # --- state
 
-    def _numbers(self) -> list[int]:
-        names = list_names(self.spark, f"{self.root}/states")
-        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
-
-    def _state_path(self, number: int) -> str:
-        return f"{self.root}/states/{number:012d}.json"
-
-    def _state(self) -> tuple[int, dict]:
-        """The number of the live state and the state."""
-        numbers = self._numbers()
-        if not numbers:
-            return 0, dict(EMPTY)
-        return numbers[-1], json.loads(read_file(self.spark, self._state_path(numbers[-1])))
-
-    def _change(self, build: Callable[[dict], tuple[dict, object]]):
-        """Build the next state from the live one until nobody comes in between."""
-        for _ in range(ATTEMPTS):
-            number, state = self._state()
-            after, result = build(state)
-            if create_file(self.spark, self._state_path(number + 1), json.dumps(after)):
-                self._drop_old()
-                return result
-            self._drop(set(self._files(after)) - set(self._files(state)))
-        raise RuntimeError(f"{self.root}: gave up after {ATTEMPTS} changes by others")
+    @property
+    def states(self) -> States:
+        return States(self.spark, self.root, EMPTY, self._files, KEEP_STATES)
 
     @staticmethod
     def _files(state: dict) -> list[str]:
         return [f for f in (state["cases"], *state["segments"]) if f]
 
-    def _drop(self, files: set[str]) -> None:
-        for file in files:
-            delete_path(self.spark, f"{self.root}/{file}")
-
-    def _drop_old(self) -> None:
-        """Remove states beyond the newest, and the files that only they name."""
-        numbers = self._numbers()
-        states = {}
-        for number in numbers:
-            text = read_file(self.spark, self._state_path(number))
-            if text is not None:  # another change may have removed it meanwhile
-                states[number] = json.loads(text)
-        kept = {f for n in numbers[-KEEP_STATES:] for f in self._files(states.get(n, EMPTY))}
-        for number in numbers[:-KEEP_STATES]:
-            self._drop(set(self._files(states.get(number, EMPTY))) - kept)
-            delete_path(self.spark, self._state_path(number))
-
     # --- reading
 
     def _read(self, paths: list[str], schema: StructType) -> DataFrame:
@@ -106,16 +102,16 @@ class CaseStore:
         return self._read([state["cases"]] if state["cases"] else [], CASE)
 
     def cases(self) -> DataFrame:
-        return self._cases(self._state()[1])
+        return self._cases(self.states.live()[1])
 
     def actions(self) -> DataFrame:
-        return self._read(self._state()[1]["segments"], CASE_ACTION)
+        return self._read(self.states.live()[1]["segments"], CASE_ACTION)
 
     def effective(self) -> DataFrame:
         return cs.effective_cases(self.cases())
 
     def case(self, case_id: str) -> DataFrame:
-        _, state = self._state()  # both from one state
+        _, state = self.states.live()  # both from one state
         effective = cs.effective_cases(self._cases(state))
         return cs.case_with_actions(
             effective, self._read(state["segments"], CASE_ACTION), F.lit(case_id)
@@ -126,20 +122,47 @@ class CaseStore:
     def _draft_cases(self, cases: DataFrame) -> str:
         """Write a new snapshot that nobody reads yet, and check it."""
         name = f"cases/v={uuid.uuid4().hex}"
-        write_version(cases.select(*CASE.names), f"{self.root}/{name}")
+        cases.select(*CASE.names).write.parquet(f"{self.root}/{name}")
         written = self._read([name], CASE)
         try:
             _refuse(ck.case_constraint_violations(written), "case constraint violated")
             _refuse(ck.case_key_violations(written), "case key is not unique")
         except ValueError:
-            self._drop({name})
+            delete_path(self.spark, f"{self.root}/{name}")
             raise
         return name
 
-    def _draft_segment(self, rows: DataFrame) -> str:
-        name = f"log/segment={uuid.uuid4().hex}"
-        write_version(rows.select(*CASE_ACTION.names), f"{self.root}/{name}")
-        return name
+    def _draft_segment(self, rows: DataFrame) -> tuple[str, dict]:
+        """Write a segment; its name and its fingerprint, taken while it is written."""
+        name, seen = f"log/segment={uuid.uuid4().hex}", Observation()
+        rows = rows.select(*CASE_ACTION.names).observe(seen, *_print_columns())
+        rows.write.parquet(f"{self.root}/{name}")
+        return name, _as_print(seen.get)
+
+    # --- the log as a chain
+
+    def verify_segment(self, number: int) -> None:
+        """Raise unless a segment still has the fingerprint it was appended with. Reads no other."""
+        _, state = self.states.live()
+        link = state["links"][number]
+        rows = self._read([state["segments"][number]], CASE_ACTION)
+        found = _as_print(rows.agg(*_print_columns()).first().asDict())
+        if found != {"rows": link["rows"], "sums": link["sums"]}:
+            raise ValueError(f"the audit log is append-only: segment {number} is not what was appended")
+
+    def verify_chain(self) -> str:
+        """Raise unless every digest follows from the one before; the last digest. Reads no rows."""
+        _, state = self.states.live()
+        before = state["links"][0]["before"] if state["links"] else ""
+        for number, link in enumerate(state["links"]):
+            if link["before"] != before or _chained(before, link) != link["digest"]:
+                raise ValueError(f"the audit log is append-only: the chain breaks at segment {number}")
+            before = link["digest"]
+        return before
+
+    @staticmethod
+    def _linked(before: str, found: dict) -> dict:
+        return {**found, "before": before, "digest": _chained(before, found)}
 
     def sync(self, breaks: DataFrame, run_at: Column) -> dict:
         """Reconcile the system columns with the latest breaks."""
@@ -153,7 +176,7 @@ class CaseStore:
             done = {"open": counts["current_breaks"], "cleared": counts["newly_cleared"]}
             return {**state, "cases": draft}, done
 
-        return self._change(build)
+        return self.states.change(build)
 
     def sync_mart(self, recon: DataFrame, run_at: Column) -> dict:
         """Sync from the mart itself; an empty mart is a failed load and is refused."""
@@ -171,20 +194,34 @@ class CaseStore:
                 ck.action_key_violations(applied.recorded, cases), "action key constraint violated"
             )
             draft = self._draft_cases(applied.cases)
-            segment = self._draft_segment(applied.recorded)
-            return {"cases": draft, "segments": [*state["segments"], segment]}, applied
+            segment, found = self._draft_segment(applied.recorded)
+            links = [*state["links"], self._linked(_head(state["links"]), found)]
+            return {"cases": draft, "segments": [*state["segments"], segment], "links": links}, applied
 
-        return self._change(build)
+        return self.states.change(build)
 
     def replace_log(self, new_log: Callable[[DataFrame], DataFrame] | DataFrame) -> None:
         """Rewrite the log, to compact or extend it. It must hold every old row unchanged: a
         log that misses rows added meanwhile is refused. Given a function of the old log, it
-        is applied again to what the log holds by then."""
+        is applied again to what the log holds by then.
+
+        A compacted log has the summed fingerprint of its segments and needs no other proof; only
+        one that has more rows is compared row by row. The chain goes on from its last digest.
+        """
 
         def build(state: dict) -> tuple[dict, None]:
             old = self._read(state["segments"], CASE_ACTION)
-            new = new_log(old) if callable(new_log) else new_log
-            _refuse(ck.removed_audit_rows(old, new), "the audit log is append-only")
-            return {**state, "segments": [self._draft_segment(new)]}, None
-
-        self._change(build)
+            segment, found = self._draft_segment(new_log(old) if callable(new_log) else new_log)
+            if found != _total(state["links"]):
+                new = self._read([segment], CASE_ACTION)
+                try:
+                    if found["rows"] <= _total(state["links"])["rows"]:
+                        raise ValueError("the audit log is append-only: rows are missing or changed")
+                    _refuse(ck.removed_audit_rows(old, new), "the audit log is append-only")
+                except ValueError:
+                    delete_path(self.spark, f"{self.root}/{segment}")
+                    raise
+            links = [self._linked(_head(state["links"]), found)]
+            return {**state, "segments": [segment], "links": links}, None
+
+        self.states.change(build)

@@ -1,59 +1,59 @@
 """Publishing marts for readers.
 
-A version is written next to the live one and becomes visible only when a small marker
-file that names it is replaced in one step. Readers resolve the marker, so they see the
-old version or the new one, never a mix and never an empty table.
+A version of a table is written next to the live one. Which version of each table is live
+stands in one small numbered file, the manifest; a run writes all its versions first and then
+creates the next manifest, so readers see the tables of one run or of the one before, never a
+mix and never an empty table. A manifest is only created by who has read the one before: two
+publishers at a time cannot undo each other.
 """
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.sources.tables import path_exists
-
-MARKER = "_CURRENT"
+from tallymark.sources import files
+from tallymark.sources.states import States
 
 
 @dataclass(frozen=True)
 class MartSpec:
+    """How the files of a table lie. `order` sorts inside a file, so that a reader who filters
+    by its first columns skips row groups; `month` names the date that folders go by; a table
+    that `comes_by_day` from the staged files is not dealt out again."""
+
     name: str
-    sort_by: tuple[str, ...]
-    month_of: str | None = None
-    clustered: bool = False  # the input already comes grouped by day
+    order: tuple[str, ...]
+    month: str | None = None
+    comes_by_day: bool = False
 
 
-# Sort keys follow the hottest predicate of each table, so row groups can be skipped.
+# Tables, their sort keys and the dates of their monthly folders.
 MARTS = {
-    spec.name: spec
-    for spec in (
-        MartSpec(
-            "fct_transactions",
-            ("event_date", "merchant_id", "transaction_ref"),
-            "event_date",
-            clustered=True,
-        ),
-        MartSpec(
-            "fct_settlements",
-            ("settlement_date", "merchant_id", "settlement_id"),
-            "settlement_date",
-        ),
-        MartSpec(
-            "mart_settlement_reconciliation",
-            ("reconciliation_bucket", "merchant_id", "succeeded_date", "transaction_ref"),
-        ),
-        MartSpec("mart_merchant_daily", ("event_date", "merchant_id")),
-        MartSpec("mart_channel_performance", ("event_date", "channel", "bank_code")),
-    )
+    "fct_transactions": MartSpec(
+        "fct_transactions", ("event_date", "merchant_id", "transaction_ref"), "event_date", True
+    ),
+    "fct_settlements": MartSpec(
+        "fct_settlements", ("settlement_date", "merchant_id", "settlement_id"), "settlement_date"
+    ),
+    "mart_settlement_reconciliation": MartSpec(
+        "mart_settlement_reconciliation",
+        ("reconciliation_bucket", "merchant_id", "succeeded_date", "transaction_ref"),
+    ),
+    "mart_merchant_daily": MartSpec("mart_merchant_daily", ("event_date", "merchant_id")),
+    "mart_channel_performance": MartSpec(
+        "mart_channel_performance", ("event_date", "channel", "bank_code")
+    ),
 }
 
+#: Manifests kept for readers that still hold an older one, with the versions they name.
+KEEP_RUNS = 3
+
 
 def mart_spec(name: str) -> MartSpec:
     if name not in MARTS:
@@ -70,124 +70,12 @@ def laid_out(df: DataFrame, spec: MartSpec) -> DataFrame:
     keeps the number of files per month low; a day that holds most of the rows is split
     over tasks at run time.
     """
-    if spec.month_of is None:
-        return df.sortWithinPartitions(*spec.sort_by)
-    dated = df.withColumn("month", F.date_format(spec.month_of, "yyyyMM"))
-    if not spec.clustered:
-        dated = dated.hint("rebalance", spec.month_of)
-    return dated.sortWithinPartitions("month", *spec.sort_by)
-
-
-def _hadoop(spark: SparkSession):
-    return spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
-
-
-#: Stores without a rename in one step, where a file appears whole when it is closed.
-OBJECT_STORES = ("s3", "s3a", "s3n", "gs", "abfs", "abfss", "wasb", "wasbs", "oss", "cosn")
-
-
-def _scheme(spark: SparkSession, path) -> str:
-    _, conf = _hadoop(spark)
-    return path.getFileSystem(conf).getUri().getScheme() or "file"
-
-
-def _put(spark: SparkSession, path, text: str, overwrite: bool) -> None:
-    _, conf = _hadoop(spark)
-    stream = path.getFileSystem(conf).create(path, overwrite)
-    try:
-        stream.write(bytearray(text.encode()))
-    finally:
-        stream.close()
-
-
-def _rename(spark: SparkSession, source, target, overwrite: bool) -> None:
-    fs, conf = _hadoop(spark)
-    rename = getattr(fs, "Options$Rename")
-    flags = spark.sparkContext._gateway.new_array(rename, 1)
-    flags[0] = rename.OVERWRITE if overwrite else rename.NONE
-    fs.FileContext.getFileContext(target.toUri(), conf).rename(source, target, flags)
-
-
-def write_marker(spark: SparkSession, folder: str, text: str) -> None:
-    """Replace the marker of a folder: by a rename, or on an object store, whose renames are a
-    copy and a delete, by one overwriting put."""
-    fs, _ = _hadoop(spark)
-    target = fs.Path(f"{folder}/{MARKER}")
-    if _scheme(spark, target) in OBJECT_STORES:
-        _put(spark, target, text, overwrite=True)
-        return
-    draft = fs.Path(f"{folder}/{MARKER}.{uuid.uuid4().hex}")
-    _put(spark, draft, text, overwrite=True)
-    _rename(spark, draft, target, overwrite=True)
-
-
-def create_file(spark: SparkSession, path: str, text: str) -> bool:
-    """Write a file that must not exist yet; false if somebody else was first.
-
-    Local disks link a finished draft, HDFS renames it without overwriting, object stores put
-    it on the condition that the name is free: each shows the file whole or not at all.
-    """
-    fs, conf = _hadoop(spark)
-    target = fs.Path(path)
-    scheme = _scheme(spark, target)
-    if scheme in OBJECT_STORES:
-        if target.getFileSystem(conf).exists(target):
-            return False
-        try:
-            _put(spark, target, text, overwrite=False)
-        except Py4JJavaError:
-            if target.getFileSystem(conf).exists(target):
-                return False
-            raise
-        return True
-    draft = fs.Path(f"{target.getParent().toString()}/.draft-{uuid.uuid4().hex}")
-    _put(spark, draft, text, overwrite=True)
-    try:
-        if scheme == "file":
-            os.link(draft.toUri().getPath(), target.toUri().getPath())
-        else:
-            _rename(spark, draft, target, overwrite=False)
-    except FileExistsError:
-        return False
-    except Py4JJavaError:
-        if target.getFileSystem(conf).exists(target):
-            return False
-        raise
-    finally:
-        draft.getFileSystem(conf).delete(draft, False)
-    return True
-
-
-def list_names(spark: SparkSession, folder: str) -> list[str]:
-    """Names directly under a folder; none where it is missing."""
-    if not path_exists(spark, folder):
-        return []
-    fs, conf = _hadoop(spark)
-    target = fs.Path(folder)
-    return [s.getPath().getName() for s in target.getFileSystem(conf).listStatus(target)]
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    fs, conf = _hadoop(spark)
-    target = fs.Path(path)
-    target.getFileSystem(conf).delete(target, True)
-
-
-def read_marker(spark: SparkSession, folder: str) -> str | None:
-    return read_file(spark, f"{folder}/{MARKER}")
-
-
-def read_file(spark: SparkSession, path: str) -> str | None:
-    """The text of a small file, or None where there is none."""
-    if not path_exists(spark, path):
-        return None
-    fs, conf = _hadoop(spark)
-    target = fs.Path(path)
-    stream = target.getFileSystem(conf).open(target)
-    try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
+    if spec.month is None:
+        return df.sortWithinPartitions(*spec.order)
+    dated = df.withColumn("month", F.date_format(spec.month, "yyyyMM"))
+    if not spec.comes_by_day:
+        dated = dated.hint("rebalance", spec.month)
+    return dated.sortWithinPartitions("month", *spec.order)
 
 
 def write_version(df: DataFrame, path: str, month: bool = False) -> int:
@@ -205,7 +93,7 @@ def write_draft(df: DataFrame, name: str, root: str) -> dict:
     spec = mart_spec(name)
     version = f"v={uuid.uuid4().hex}"
     rows = write_version(
-        laid_out(df, spec), f"{root}/{name}/{version}", month=spec.month_of is not None
+        laid_out(df, spec), f"{root}/{name}/{version}", month=spec.month is not None
     )
     if rows == 0:
         raise RuntimeError(f"{name}: 0 rows written; refusing to replace live data")
@@ -217,17 +105,33 @@ def read_version(spark: SparkSession, root: str, name: str, version: str) -> Dat
     return spark.read.parquet(f"{root}/{name}/{version}").drop("month")
 
 
-def go_live(spark: SparkSession, draft: dict, root: str, view: bool = True) -> None:
-    name = draft["table"]
-    write_marker(spark, f"{root}/{name}", draft["version"])
+def manifest(spark: SparkSession, root: str) -> States:
+    """The manifests under `root`: which version of each table is live."""
+
+    def versions(state: dict) -> list[str]:
+        return [f"{table}/{version}" for table, version in state["tables"].items()]
+
+    return States(spark, root, {"tables": {}}, versions, KEEP_RUNS)
+
+
+def _go_live(spark: SparkSession, drafts: list[dict], root: str, view: bool) -> None:
+    """Make the drafts live, all at once."""
+    new = {draft["table"]: draft["version"] for draft in drafts}
+    manifest(spark, root).change(lambda state: ({"tables": {**state["tables"], **new}}, None), keep_drafts=True)
     if view:
-        published(spark, root, name).createOrReplaceTempView(name)
+        for name, df in served(spark, root, list(new)).items():
+            df.createOrReplaceTempView(name)
+
+
+def _drop_drafts(spark: SparkSession, drafts: list[dict], root: str) -> None:
+    for draft in drafts:
+        files.delete_path(spark, f"{root}/{draft['table']}/{draft['version']}")
 
 
 def publish(df: DataFrame, name: str, root: str, view: bool = True) -> dict:
     """Publish one mart. Returns its name, rows and version."""
     draft = write_draft(df, name, root)
-    go_live(df.sparkSession, draft, root, view)
+    _go_live(df.sparkSession, [draft], root, view)
     return draft
 
 
@@ -241,7 +145,8 @@ def publish_all(
     their jobs share the cluster: the tail of one overlaps the start of the next.
 
     All drafts are written before anything goes live. The gate reads them and raises to stop:
-    then the drafts are removed and readers keep what they have.
+    then the drafts are removed and readers keep what they have. Otherwise one manifest names
+    them all.
     """
     if only is not None:
         mart_spec(only)
@@ -255,32 +160,47 @@ def publish_all(
         try:
             gate({d["table"]: read_version(spark, root, d["table"], d["version"]) for d in drafts})
         except Exception:
-            for draft in drafts:
-                delete_path(spark, f"{root}/{draft['table']}/{draft['version']}")
+            _drop_drafts(spark, drafts, root)
             raise
-    for draft in drafts:
-        go_live(spark, draft, root)
+    _go_live(spark, drafts, root, view=True)
     return drafts
 
 
+def live_versions(spark: SparkSession, root: str) -> dict[str, str]:
+    """Table to live version, of one manifest."""
+    return manifest(spark, root).live()[1]["tables"]
+
+
+def served(spark: SparkSession, root: str, names: list[str] | None = None) -> dict[str, DataFrame]:
+    """The published tables, or some by name, all as one manifest has them."""
+    versions = live_versions(spark, root)
+    for name in versions if names is None else names:
+        mart_spec(name)
+        if name not in versions:
+            raise FileNotFoundError(f"{name} has never been published under {root}")
+    return {name: read_version(spark, root, name, versions[name]) for name in names or versions}
+
+
 def published(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The current version of a published table."""
-    mart_spec(name)
-    version = read_marker(spark, f"{root}/{name}")
-    if version is None:
-        raise FileNotFoundError(f"{name} has never been published under {root}")
-    return read_version(spark, root, name, version)
-
-
-def drop_old_versions(spark: SparkSession, root: str, name: str, keep: int = 2) -> int:
-    """Remove versions older than the newest `keep`; the current one always stays."""
-    fs, conf = _hadoop(spark)
-    folder = fs.Path(f"{root}/{name}")
-    files = folder.getFileSystem(conf)
-    found = [s for s in files.listStatus(folder) if s.getPath().getName().startswith("v=")]
-    found.sort(key=lambda s: s.getModificationTime(), reverse=True)
-    live = read_marker(spark, f"{root}/{name}")
-    old = [s.getPath() for s in found[keep:] if s.getPath().getName() != live]
-    for path in old:
-        files.delete(path, True)
+    """The current version of one published table."""
+    return served(spark, root, [name])[name]
+
+
+def drop_old_versions(spark: SparkSession, root: str, name: str, keep: int = KEEP_RUNS) -> int:
+    """Remove versions of a table that no kept manifest names, as a run that died leaves them;
+    the newest `keep` stay, they may be drafts of a run that is still going."""
+    named = manifest(spark, root).named()
+    found = files.list_by_age(spark, f"{root}/{name}", "v=")
+    old = [version for version in found[keep:] if f"{name}/{version}" not in named]
+    for version in old:
+        files.delete_path(spark, f"{root}/{name}/{version}")
+    return len(old)
+
+
+def drop_old_folders(spark: SparkSession, folder: str, keep: int) -> int:
+    """Remove versions beyond the newest `keep` of a folder with a marker; the marked one stays."""
+    live = files.read_marker(spark, folder)
+    old = [version for version in files.list_by_age(spark, folder, "v=")[keep:] if version != live]
+    for version in old:
+        files.delete_path(spark, f"{folder}/{version}")
     return len(old)

@@ -1,15 +1,18 @@
 """Continuous forms of dedupe and latest status.
 
-Both keep what they know as files in hash buckets, not in a state store: a micro-batch reads
-and writes only the buckets of the keys it holds, and no event is too late. Folders carry the
-checkpoint's tag or a fresh name, so a replay with a new checkpoint adds to what is there and
-never outranks it.
+Both keep what they know as runs: folders of rows, written once. A micro-batch adds a run and
+rewrites none; when FOLD runs of one level have come together they are folded into one of the
+next, so a row is rewritten as often as the history has levels, and what a batch costs follows the
+batch. Which runs are live stands in numbered states (`sources.states`): a batch adds its run to
+the state it has read, or starts again from a newer one, so two streams on one folder, or a
+replay with a new checkpoint, lose and double nothing. No event is too late.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,27 +22,37 @@ from pyspark.sql.types import StructType
 from tallymark.functions import status_rank
 from tallymark.operators.staging import TRANSACTION_KEY
 from tallymark.schemas import TRANSACTION_EVENT, nullable
-from tallymark.sources.publish import delete_path, read_marker, write_marker
-from tallymark.sources.tables import materialize, path_exists
-from tallymark.streaming.drain import checkpoint_tag
+from tallymark.sources.files import create_file, delete_path, read_file
+from tallymark.sources.states import States
+from tallymark.sources.tables import materialize
 
-#: Buckets of the kept events and of the snapshot. Fixed for the life of an output folder; a
-#: batch collects the numbers of the buckets it touches, at most so many.
-BUCKETS = 64
+#: Runs of one level that are folded into one of the next.
+FOLD = 8
+
+#: Keys in a bucket of a key run, about. A run's directory is as deep as its keys ask for.
+BUCKET_KEYS = 50_000
+
+#: Digits of a key's hash that buckets may go by: 4,096 in a run at most.
+DEEPEST = 3
+
+#: A batch of up to so many keys asks the Bloom filters of the key files for each of them.
+POINT_KEYS = 10
+
+#: Event folders that the state names itself; more are named by a list of their own.
+LISTED = 256
 
 _ORDER = ("updated_at", "status_rank", "event_id")
 _REST = tuple(
     c for c in TRANSACTION_EVENT.names if c not in (*_ORDER, "transaction_ref", "ingested_at")
 )
 _SNAPSHOT = StructType([*nullable(TRANSACTION_EVENT).fields]).add("successful_at", "timestamp")
-
-
-def _bucket(*keys: str) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int").alias("bucket")
-
-
-def _touched(rows: DataFrame) -> list[int]:
-    return sorted(r["bucket"] for r in rows.select("bucket").distinct().collect())
+_KEYS = (
+    StructType()
+    .add("key_hash", "string")
+    .add("transaction_ref", "string")
+    .add("event_id", "string")
+    .add("bucket", "string")
+)
 
 
 def _run(events: DataFrame, on_batch, checkpoint: str, available_now: bool) -> StreamingQuery:
@@ -49,53 +62,165 @@ def _run(events: DataFrame, on_batch, checkpoint: str, available_now: bool) -> S
     return writer.start()
 
 
+# --- runs
+
+
+def _fold(states: States, merge: Callable[[list[dict], int], dict]) -> None:
+    """Fold runs of a level while there are FOLD of them. `merge` writes the folded run. A run
+    that another writer has folded meanwhile is left alone: the fold starts again."""
+    while True:
+        _, state = states.live()
+        levels: dict[int, list[dict]] = {}
+        for run in state["runs"]:
+            levels.setdefault(run["level"], []).append(run)
+        full = [level for level in sorted(levels) if len(levels[level]) >= FOLD]
+        if not full:
+            return
+        old = levels[full[0]]
+        new = merge(old, full[0] + 1)
+
+        def swap(now: dict, old=old, new=new) -> tuple[dict, bool]:
+            if any(run not in now["runs"] for run in old):
+                return now, False
+            rest = [run for run in now["runs"] if run not in old]
+            return {**now, "runs": [*rest, new]}, True
+
+        if not states.change(swap, keep_drafts=True):
+            delete_path(states.spark, f"{states.root}/{new['folder']}")
+
+
 # --- first deliveries
 
 
-def _kept_schema() -> StructType:
-    return StructType([*nullable(TRANSACTION_EVENT).fields]).add("batch", "string").add("bucket", "integer")
+def _first_states(spark: SparkSession, out: str) -> States:
+    """runs: key runs with level, folder, depth, rows. events, lists: folders of kept events and
+    files that list further ones; neither is ever removed."""
+    empty = {"runs": [], "events": [], "lists": []}
+    return States(spark, out, empty, lambda state: [run["folder"] for run in state["runs"]])
+
+
+def _hashed(rows: DataFrame) -> DataFrame:
+    """Keys with the hash that key runs go by: uniform, so its digits make even buckets."""
+    parts = [F.coalesce(F.concat(F.lit("k"), F.col(k).cast("string")), F.lit("n")) for k in TRANSACTION_KEY]
+    return rows.withColumn("key_hash", F.md5(F.concat_ws("\u0000", *parts).cast("binary")))
+
+
+def _depth(rows: int) -> int:
+    depth = 0
+    while depth < DEEPEST and rows > BUCKET_KEYS * 16**depth:
+        depth += 1
+    return depth
+
+
+def _write_keys(keys: DataFrame, out: str, level: int, rows: int) -> dict:
+    """A key run: nothing but keys, in buckets by the leading digits of their hash, sorted, with
+    a Bloom filter on the hash in each row group."""
+    depth, folder = _depth(rows), f"keys/v={uuid.uuid4().hex}"
+    bucket = F.concat(F.lit("b"), F.substring("key_hash", 1, depth))
+    (
+        keys.select("key_hash", *TRANSACTION_KEY, bucket.alias("bucket"))
+        .repartition("bucket")
+        .sortWithinPartitions("bucket", "key_hash")
+        .write.partitionBy("bucket")
+        .option("parquet.bloom.filter.enabled#key_hash", "true")
+        .option("parquet.bloom.filter.expected.ndv#key_hash", str(BUCKET_KEYS))
+        .parquet(f"{out}/{folder}")
+    )
+    return {"level": level, "folder": folder, "depth": depth, "rows": rows}
+
+
+def _read_keys(spark: SparkSession, out: str, run: dict) -> DataFrame:
+    return spark.read.schema(_KEYS).parquet(f"{out}/{run['folder']}")
+
+
+def known_keys(spark: SparkSession, out: str, runs: list[dict], hashes: DataFrame) -> DataFrame | None:
+    """Of the runs, the keys in the buckets that `hashes` (key_hash) fall into. At most 16 **
+    DEEPEST names of buckets are collected, and hashes only where there are up to POINT_KEYS."""
+    few = [r[0] for r in hashes.select("key_hash").limit(POINT_KEYS + 1).collect()]
+    found = None
+    prefixes: dict[int, list[str]] = {}
+    for run in runs:
+        depth = run["depth"]
+        if depth not in prefixes:
+            digits = F.concat(F.lit("b"), F.substring("key_hash", 1, depth))
+            prefixes[depth] = [r[0] for r in hashes.select(digits).distinct().collect()]
+        keys = _read_keys(spark, out, run).where(F.col("bucket").isin(prefixes[depth]))
+        if len(few) <= POINT_KEYS:
+            keys = keys.where(F.col("key_hash").isin(few))
+        keys = keys.select(*TRANSACTION_KEY)
+        found = keys if found is None else found.unionByName(keys)
+    return found
 
 
 def keep_first_deliveries(batch: DataFrame, batch_name: str, out: str) -> None:
     """Append the events of a batch whose key no other batch has kept.
 
-    Of several deliveries in the batch the earliest stays. Only the buckets of the batch's
-    keys are read. A retried batch overwrites its own folder and does not see it as known.
+    Of several deliveries in the batch the earliest stays. Key runs are read in the buckets of
+    the batch's keys only, events never. A batch that is retried after its commit finds its own
+    keys and adds nothing; one that died before it left nothing that counts.
     """
     spark = batch.sparkSession
+    states = _first_states(spark, out)
     rest = [c for c in TRANSACTION_EVENT.names if c not in TRANSACTION_KEY]
     order = ["ingested_at", *[c for c in rest if c != "ingested_at"]]
     first = batch.groupBy(*TRANSACTION_KEY).agg(F.min(F.struct(*order)).alias("first"))
-    first = first.select(*TRANSACTION_KEY, "first.*").withColumn("bucket", _bucket(*TRANSACTION_KEY))
+    first = _hashed(first.select(*TRANSACTION_KEY, "first.*"))
     first = materialize(first, "first-deliveries")
-    fresh = first
-    if path_exists(spark, out):
-        known = spark.read.schema(_kept_schema()).parquet(out)
-        known = known.where(F.col("bucket").isin(_touched(first)) & (F.col("batch") != batch_name))
-        same = [first[k].eqNullSafe(known[k]) for k in TRANSACTION_KEY]
-        fresh = first.join(known, same, "left_anti")
-    fresh.select(*TRANSACTION_EVENT.names, "bucket").write.mode("overwrite").partitionBy(
-        "bucket"
-    ).parquet(f"{out}/batch={batch_name}")
+
+    def build(state: dict) -> tuple[dict, None]:
+        fresh = first
+        known = known_keys(spark, out, state["runs"], first)
+        if known is not None:
+            same = [first[k].eqNullSafe(known[k]) for k in TRANSACTION_KEY]
+            fresh = first.join(known, same, "left_anti")
+        folder = f"events/b-{batch_name}-{uuid.uuid4().hex[:8]}"
+        fresh.write.parquet(f"{out}/{folder}")
+        kept = spark.read.schema(first.schema).parquet(f"{out}/{folder}")
+        rows = kept.count()
+        if not rows:
+            delete_path(spark, f"{out}/{folder}")
+            return state, None
+        run = _write_keys(kept, out, 0, rows)
+        events, lists = [*state["events"], folder], state["lists"]
+        if len(events) > LISTED:
+            listed = f"lists/{uuid.uuid4().hex}.json"
+            create_file(spark, f"{out}/{listed}", json.dumps(events))
+            events, lists = [], [*lists, listed]
+        return {"runs": [*state["runs"], run], "events": events, "lists": lists}, None
+
+    states.change(build)
+
+    def merge(runs: list[dict], level: int) -> dict:
+        keys = _read_keys(spark, out, runs[0])
+        for run in runs[1:]:
+            keys = keys.unionByName(_read_keys(spark, out, run))
+        return _write_keys(keys, out, level, sum(run["rows"] for run in runs))
+
+    _fold(states, merge)
 
 
 def start_dedupe(
     events: DataFrame, out: str, checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:
     """Keep one delivery of every event, however late it or its redeliveries come."""
-    tag = checkpoint_tag(checkpoint)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        keep_first_deliveries(batch, f"{tag}-{batch_id:08d}", out)
+        keep_first_deliveries(batch, f"{batch_id:08d}", out)
 
     return _run(events, on_batch, checkpoint, available_now)
 
 
 def deduped(spark: SparkSession, out: str) -> DataFrame:
     """The kept events."""
-    if not path_exists(spark, out):
-        return spark.createDataFrame([], nullable(TRANSACTION_EVENT))
-    return spark.read.schema(_kept_schema()).parquet(out).select(*TRANSACTION_EVENT.names)
+    _, state = _first_states(spark, out).live()
+    folders = list(state["events"])
+    for listed in state["lists"]:
+        folders += json.loads(read_file(spark, f"{out}/{listed}"))
+    schema = nullable(TRANSACTION_EVENT)
+    if not folders:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).parquet(*[f"{out}/{folder}" for folder in folders])
+    return rows.select(*TRANSACTION_EVENT.names)
 
 
 # --- latest status
@@ -118,47 +243,29 @@ def _latest(rows: DataFrame) -> DataFrame:
     return grouped.select("transaction_ref", "last.*", "successful_at").select(*names, "successful_at")
 
 
-def _state(spark: SparkSession, out: str) -> dict[str, str]:
-    """Bucket number to the folder that holds its rows."""
-    text = read_marker(spark, out) if path_exists(spark, out) else None
-    return {} if text is None else json.loads(text)["folders"]
+def _latest_states(spark: SparkSession, out: str) -> States:
+    return States(spark, out, {"runs": []}, lambda state: [run["folder"] for run in state["runs"]])
 
 
-def _rows(spark: SparkSession, out: str, state: dict[str, str], buckets: list[str]) -> DataFrame | None:
-    paths = [f"{out}/{state[b]}/bucket={b}" for b in buckets if b in state]
-    paths = [p for p in paths if path_exists(spark, p)]
-    return spark.read.schema(_SNAPSHOT).parquet(*paths) if paths else None
+def _read_runs(spark: SparkSession, out: str, runs: list[dict]) -> DataFrame:
+    return spark.read.schema(_SNAPSHOT).parquet(*[f"{out}/{run['folder']}" for run in runs])
 
 
-def merge_latest(batch: DataFrame, out: str) -> None:
-    """Fold a batch into the snapshot: rewrite the touched buckets, then move the marker.
+def _write_run(rows: DataFrame, out: str, level: int) -> dict:
+    folder = f"latest/v={uuid.uuid4().hex}"
+    rows.write.parquet(f"{out}/{folder}")
+    return {"level": level, "folder": folder}
 
-    The folders that only the state before last refers to are removed; a reader that has
-    resolved the last state still finds its files.
-    """
+
+def merge_latest(batch: DataFrame, out: str) -> None:
+    """Add the winners of a batch as a run; what the snapshot held before is not read. Merging
+    is left to the reader and to the folding of runs."""
     spark = batch.sparkSession
     success = F.when(F.col("status") == "success", F.col("updated_at")).alias("successful_at")
-    changed = _latest(batch.select(*TRANSACTION_EVENT.names, success))
-    changed = materialize(changed.withColumn("bucket", _bucket("transaction_ref")), "changed")
-    touched = [str(b) for b in _touched(changed)]
-    if not touched:
-        return
-    text = read_marker(spark, out) if path_exists(spark, out) else None
-    before = {"folders": {}, "previous": []} if text is None else json.loads(text)
-    state = before["folders"]
-    rows = changed.drop("bucket")
-    known = _rows(spark, out, state, touched)
-    if known is not None:
-        rows = _latest(rows.unionByName(known))
-    folder = f"v={uuid.uuid4().hex}"
-    rows.withColumn("bucket", _bucket("transaction_ref")).write.partitionBy("bucket").parquet(
-        f"{out}/{folder}"
-    )
-    after = {**state, **dict.fromkeys(touched, folder)}
-    live, last = set(after.values()), set(state.values())
-    write_marker(spark, out, json.dumps({"folders": after, "previous": sorted(last - live)}))
-    for old in set(before["previous"]) - live - last:
-        delete_path(spark, f"{out}/{old}")
+    run = _write_run(_latest(batch.select(*TRANSACTION_EVENT.names, success)), out, 0)
+    states = _latest_states(spark, out)
+    states.change(lambda state: ({"runs": [*state["runs"], run]}, None), keep_drafts=True)
+    _fold(states, lambda runs, level: _write_run(_latest(_read_runs(spark, out, runs)), out, level))
 
 
 def start_latest_status(
@@ -170,7 +277,8 @@ def start_latest_status(
 
 
 def live_snapshot(spark: SparkSession, out: str) -> DataFrame:
-    """Current row per transaction, read as it stands."""
-    state = _state(spark, out)
-    rows = _rows(spark, out, state, list(state))
-    return spark.createDataFrame([], _SNAPSHOT) if rows is None else rows
+    """Current row per transaction: the live runs, merged."""
+    _, state = _latest_states(spark, out).live()
+    if not state["runs"]:
+        return spark.createDataFrame([], _SNAPSHOT)
+    return _latest(_read_runs(spark, out, state["runs"]))

@@ -1,5 +1,6 @@
 import json
 from functools import reduce
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -19,16 +20,20 @@ from tallymark.schemas import (
     nullable,
 )
 from tallymark.session import work_root
+from tallymark.sources import files
+from tallymark.sources import publish as publish_module
 from tallymark.sources.publish import (
     MARTS,
     drop_old_versions,
+    live_versions,
     publish,
     publish_all,
     published,
-    read_marker,
+    served,
 )
 from tallymark.sources.tables import read_json, read_staged, write_json, write_table
 from tallymark.sources.topics import file_messages
+from tallymark.streaming import live
 from tallymark.streaming.drain import Dataset, drain
 from tallymark.streaming.live import (
     deduped,
@@ -51,14 +56,17 @@ def test_publish_swaps_and_refuses_an_empty_table(spark, base, tmp_path):
     assert spark.table("fct_transactions").count() == 1500
     with pytest.raises(RuntimeError, match="0 rows written"):
         publish(base.fct_tx.where("false"), "fct_transactions", root)
-    assert read_marker(spark, f"{root}/fct_transactions") == first["version"]
+    assert live_versions(spark, root) == {"fct_transactions": first["version"]}
 
     half = publish(base.fct_tx.where("is_success"), "fct_transactions", root)
     assert live.count() == 1500  # a reader that resolved the old version keeps it
     assert published(spark, root, "fct_transactions").count() == half["rows"] == 1360
     assert spark.table("fct_transactions").count() == 1360
-    publish(base.fct_tx, "fct_transactions", root)
-    assert drop_old_versions(spark, root, "fct_transactions", keep=1) >= 2
+    # versions that kept manifests name stay, what a refused or dead run left goes
+    assert drop_old_versions(spark, root, "fct_transactions", keep=1) == 1
+    for _ in range(3):
+        publish(base.fct_tx, "fct_transactions", root)
+    assert len(list((tmp_path / "fct_transactions").glob("v=*"))) == 3
     assert published(spark, root, "fct_transactions").count() == 1500
 
 
@@ -73,7 +81,7 @@ def test_publish_one_by_name(spark, base, tmp_path):
 
 def test_published_files_are_sorted_and_split_by_month(spark, base, tmp_path):
     publish(base.fct_stl, "fct_settlements", str(tmp_path), view=False)
-    version = read_marker(spark, f"{tmp_path}/fct_settlements")
+    version = live_versions(spark, str(tmp_path))["fct_settlements"]
     folder = tmp_path / "fct_settlements" / version
     assert [p.name for p in folder.iterdir() if p.is_dir()] == ["month=202401"]
     for part in folder.rglob("*.parquet"):
@@ -92,6 +100,38 @@ def test_plain_sinks(spark, base, tmp_path):
     assert back.exceptAll(raw).isEmpty() and back.count() == raw.count()
 
 
+def test_a_crash_at_any_step_shows_one_run(spark, base, tmp_path, monkeypatch):
+    """Publishing dies at each of its steps in turn: readers see the old five tables."""
+    root, tables = str(tmp_path), base.tables()
+    publish_all(tables, root)
+    before = live_versions(spark, root)
+    assert set(before) == set(MARTS)
+
+    class Crash(Exception):
+        pass
+
+    def dies(*_, **__):
+        raise Crash
+
+    steps = [(publish_module, "write_draft"), (publish_module, "read_version"), (files, "create_file")]
+    for module, name in steps:
+        monkeypatch.setattr(module, name, dies)
+        with pytest.raises(Crash):
+            publish_all(tables, root, gate=lambda drafts: None)
+        monkeypatch.undo()
+        assert live_versions(spark, root) == before
+        assert {n: df.count() for n, df in served(spark, root).items()} == {n: df.count() for n, df in tables.items()}
+    publish_all(tables, root)
+    assert not set(live_versions(spark, root).values()) & set(before.values())
+
+
+def test_publishers_that_cross_keep_both_tables(spark, base, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    crossing(monkeypatch, lambda: publish(base.daily, "mart_merchant_daily", root, view=False))
+    publish(base.channels, "mart_channel_performance", root, view=False)
+    assert set(live_versions(spark, root)) == {"mart_merchant_daily", "mart_channel_performance"}
+
+
 # --- Continuous forms ------------------------------------------------------------------
 
 
@@ -190,17 +230,93 @@ def test_snapshot_after_a_replay_is_the_batch_result(spark, base, tmp_path):
     assert live_snapshot(spark, out).exceptAll(want).isEmpty()
 
 
-def test_a_batch_rewrites_only_the_buckets_it_touches(spark, base, tmp_path):
+def folders(path, pattern):
+    return {str(p): sum(f.stat().st_size for f in p.rglob("*.parquet")) for p in path.glob(pattern)}
+
+
+def test_a_batch_adds_a_run_and_reads_no_history(spark, base, tmp_path, monkeypatch):
     out = str(tmp_path / "out")
     raw = base.raw_transactions()
     merge_latest(raw, out)
-    before = json.loads(read_marker(spark, out))["folders"]
+    before = folders(tmp_path / "out", "latest/v=*")
+    monkeypatch.setattr(live, "_read_runs", lambda *_: pytest.fail("the snapshot was read"))
     merge_latest(rows_as(spark, raw, {"transaction_ref": "new"}), out)
-    after = json.loads(read_marker(spark, out))["folders"]
-    assert sum(before.get(b) != after[b] for b in after) == 1
+    monkeypatch.undo()
+    after = folders(tmp_path / "out", "latest/v=*")
+    assert before.items() < after.items() and len(after) == 2
     assert live_snapshot(spark, out).count() == raw.select("transaction_ref").distinct().count() + 1
 
 
+def test_runs_are_folded_level_by_level(spark, base, tmp_path, monkeypatch):
+    monkeypatch.setattr(live, "FOLD", 3)
+    latest, first = str(tmp_path / "latest"), str(tmp_path / "first")
+    raw = base.raw_transactions().withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(10))).persist()
+    for part in range(10):
+        batch = raw.where(F.col("part") == part).drop("part")
+        merge_latest(batch, latest)
+        keep_first_deliveries(batch, f"{part}", first)
+    for states in (live._latest_states(spark, latest), live._first_states(spark, first)):
+        assert sorted(run["level"] for run in states.live()[1]["runs"]) == [0, 2]
+    events = raw.drop("part")
+    want = st.latest_status(st.dedupe_transactions(events))
+    assert live_snapshot(spark, latest).exceptAll(want).isEmpty()
+    assert live_snapshot(spark, latest).count() == want.count()
+    assert deduped(spark, first).exceptAll(st.dedupe_transactions(events)).isEmpty()
+    raw.unpersist()
+
+
+def crossing(monkeypatch, other):
+    """Another writer commits just before the next commit."""
+    real, left = files.create_file, [other]
+
+    def create(spark, path, text):
+        if left:
+            left.pop()()
+        return real(spark, path, text)
+
+    monkeypatch.setattr(files, "create_file", create)
+
+
+def test_two_writers_on_one_output_lose_and_double_nothing(spark, base, tmp_path, monkeypatch):
+    latest, first = str(tmp_path / "latest"), str(tmp_path / "first")
+    raw = base.raw_transactions()
+    low, high = (rows.persist() for rows in (raw.where("amount_kobo % 2 = 0"), raw.where("amount_kobo % 3 > 0")))
+    crossing(monkeypatch, lambda: merge_latest(high, latest))
+    merge_latest(low, latest)
+    crossing(monkeypatch, lambda: keep_first_deliveries(high, "2", first))
+    keep_first_deliveries(low, "1", first)
+    both = low.unionByName(high)
+    want = st.latest_status(st.dedupe_transactions(both))
+    assert live_snapshot(spark, latest).exceptAll(want).isEmpty()
+    assert live_snapshot(spark, latest).count() == want.count()
+    assert deduped(spark, first).count() == st.dedupe_transactions(both).count()
+    assert deduped(spark, first).exceptAll(both).isEmpty()
+
+
+def test_a_batch_reads_key_buckets_and_no_events(spark, base, tmp_path, monkeypatch):
+    """What a small batch reads stays as it is while the history grows twentyfold."""
+    monkeypatch.setattr(live, "BUCKET_KEYS", 200)
+    raw = rows_as(spark, base.raw_transactions(), {"event_id": "probe"})
+    read = {}
+    for size in (2_000, 40_000):
+        out = str(tmp_path / f"out-{size}")
+        history = raw.crossJoin(spark.range(size)).withColumn("event_id", F.concat(F.lit("e"), F.col("id")))
+        keep_first_deliveries(history.drop("id"), "0", out)
+        _, state = live._first_states(spark, out).live()
+        batch = live._hashed(rows_as(spark, raw, {"event_id": "e17"}, {"event_id": "unseen"}))
+        keys = live.known_keys(spark, out, state["runs"], batch)
+        names = {name.removeprefix("file://") for name in keys.inputFiles()}
+        plan = keys._jdf.queryExecution().executedPlan().toString()
+        assert "PushedFilters" in plan and "key_hash" in plan
+        buckets = {r[0] for r in batch.select(F.concat(F.lit("b"), F.substring("key_hash", 1, state["runs"][0]["depth"]))).collect()}
+        read[size] = sum(Path(n).stat().st_size for n in names if Path(n).parent.name.removeprefix("bucket=") in buckets)
+        history_bytes = sum(folders(tmp_path / f"out-{size}", "keys/v=*").values())
+        assert keys.where("event_id = 'e17'").count() == 1 and keys.where("event_id = 'unseen'").count() == 0
+        keep_first_deliveries(rows_as(spark, raw, {"event_id": "e17"}, {"event_id": "unseen"}), "1", out)
+        assert deduped(spark, out).count() == size + 1
+    assert read[40_000] < 3 * read[2_000] and read[40_000] < history_bytes / 50
+
+
 def test_messages_to_staged_rows(spark, base, tmp_path):
     """JSON messages through the drain give the same staged rows as the events themselves."""
     raw = base.raw_transactions()
@@ -266,7 +382,7 @@ def test_ledger_skips_committed_chunks_and_records_once(spark, base):
 
 
 def test_money_columns(spark):
-    values = [0, 5, 99, 100, -250, 123456789, 2**53 + 1, -(2**53 + 1), 9 * 10**18]
+    values = [1, -7, 38, 4_060, -91_200, 70_000_003, 2**55 + 3, -(2**55 + 3), 8 * 10**18, 0]
     df = spark.createDataFrame([(v,) for v in values], "kobo bigint")
     got = [r[0] for r in df.select(fn.format_naira(F.col("kobo"))).collect()]
     want = [f"{'-' if v < 0 else ''}{abs(v) // 100:,}.{abs(v) % 100:02d}" for v in values]
@@ -279,7 +395,7 @@ def test_money_columns(spark):
 
     cases = [
         (a, c)
-        for a in (0, 1, 999, 1_000_000, 250_000, 250_001, 2_500_000, 20_000_000, 10**9)
+        for a in (0, 7, 667, 249_999, 250_000, 250_001, 3_141_592, 12_666_700, 19_999_999, 7 * 10**8)
         for c in ("card", "bank_transfer", "ussd", "qr")
     ]
     df = spark.createDataFrame(cases, "amount bigint, channel string")
@@ -391,7 +507,7 @@ def test_a_closed_gate_leaves_the_old_version_live(spark, base, tmp_path):
 
     with pytest.raises(RuntimeError, match="closed"):
         publish_all(marts, root, gate=closed)
-    assert read_marker(spark, f"{root}/mart_merchant_daily") == old["version"]
+    assert live_versions(spark, root)["mart_merchant_daily"] == old["version"]
     assert len(list((tmp_path / "mart_merchant_daily").glob("v=*"))) == 1
 
 
