@@ -3,8 +3,9 @@
 A conversation's rows stand in the order of their turns in one task and stream through the
 machine: no conversation is held in memory, however long. Each turn becomes three segments
 (before, text, after); `loss` marks the texts of the template's trained roles. Control
-strings of the template inside a text are escaped with a backslash, which `parse` undoes, so
-the formatted conversation can be read back to its turns.
+strings of the template inside a text are broken up by a backslash behind their first letter,
+so that no text holds one as it stands, for a tokenizer that knows it either. `parse` undoes
+that, so the formatted conversation can be read back to its turns.
 """
 
 from __future__ import annotations
@@ -41,6 +42,8 @@ class Template:
 
     def __post_init__(self) -> None:
         marks = {self.start, *self.other, *(m for pair in self.around.values() for m in pair)}
+        if any(len(mark) == 1 or self.escape in mark for mark in marks):
+            raise ValueError("a control string has two letters or more and no escape sign")
         object.__setattr__(self, "controls", tuple(sorted(marks - {""}, key=lambda m: (-len(m), m))))
 
 
@@ -58,9 +61,11 @@ INST = Template(
 
 
 def escaper(template: Template) -> Callable[[str], str]:
-    """Puts the escape sign before itself and before every control string."""
-    found = re.compile("|".join(re.escape(m) for m in (template.escape, *template.controls)))
-    return lambda text: found.sub(lambda m: template.escape + m[0], text)
+    """Doubles the escape sign and puts one behind the first letter of every control string,
+    of those that overlap too."""
+    sign, marks = re.escape(template.escape), "|".join(re.escape(m) for m in template.controls)
+    found = re.compile(f"{sign}|(?=(?:{marks})).", re.DOTALL)
+    return lambda text: found.sub(lambda m: m[0] + template.escape, text)
 
 
 def unescaper(template: Template) -> Callable[[str], str]:
@@ -174,8 +179,8 @@ def format_chats(turns: DataFrame, template: Template = INST) -> DataFrame:
     position numbers the segments of a conversation; its formatted text is the segments one
     behind the other. loss marks the segments to train on; fits is false for a turn that may
     not follow the one before it. Rows are formatted even where the order of roles is not
-    valid. A null text or role is empty; rows of a null conv_id form one conversation.
-    Repeated rows are turns of their own; an empty table gives no rows. The rows come out
+    valid. A null text or role is empty; rows of a null conv_id form one conversation, which one
+    task reads as a stream, as any: a digest over its turns has no parallel form. Repeated rows are turns of their own; an empty table gives no rows. The rows come out
     partitioned by conversation and in order.
     """
     schema = "conv_id long, position long, role string, segment string, loss boolean, fits boolean"
@@ -192,6 +197,8 @@ class _Reader:
         self.pending: list[str] = []
         self.machine = Machine(template)
         self.undo = unescaper(template)
+        ends = {after for _, after in template.around.values()} | {template.other[2]}
+        self.ends = re.compile("|".join(re.escape(mark) for mark in sorted(ends - {""})))
 
     def add(self, segment: str, loss: bool) -> None:
         self.chars += len(segment)
@@ -200,9 +207,11 @@ class _Reader:
             text = self.undo(segment)
             self.loss_chars += len(text)
             self.trained.update(text.encode())
+        if self.ends.search(segment):  # no text holds a mark as it stands
+            self.turn_ends()
 
     def turn_ends(self) -> None:
-        """What is pending is one turn: it is parsed from the formatted text alone."""
+        """What is pending are whole turns: they are parsed from the formatted text alone."""
         for role, text in parse(self.template, "".join(self.pending)):
             self.machine.step(role)
             self.n_turns += 1
@@ -210,6 +219,7 @@ class _Reader:
         self.pending.clear()
 
     def row(self, conv) -> tuple:
+        self.turn_ends()
         return (
             conv,
             self.n_turns,
@@ -233,15 +243,13 @@ def _read(template: Template):
         reader, current = None, None
         for batch in batches:
             done = []
-            rows = zip(*(batch.column(c).to_pylist() for c in ("conv_id", "position", "segment", "loss")))
-            for conv, position, segment, loss in rows:
-                if reader is None or position == 0:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("conv_id", "segment", "loss")))
+            for conv, segment, loss in rows:
+                if reader is None or conv != current:
                     if reader is not None:
                         done.append(reader.row(current))
                     reader, current = _Reader(template), conv
                 reader.add(segment, loss)
-                if position % 3 == 2:
-                    reader.turn_ends()
             yield table(done)
         if reader is not None:
             yield table([reader.row(current)])

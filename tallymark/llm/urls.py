@@ -1,8 +1,11 @@
 """URL filter: explicit rules first, gradient-boosted trees on lexical features for the rest.
 
 The labelled URLs are those that a rule decides: the trees learn from them what blocked and
-allowed addresses look like and judge the addresses no rule knows. Features are Spark
-expressions, the trees are Spark's own, so no row leaves the JVM.
+allowed addresses look like and judge the addresses no rule knows. Beside lengths, ratios and the
+statistics of the suffix the features say which words host and path hold, hashed into a few
+buckets: that is what a rule goes by. The rate of a suffix is taken from the other half of the labels,
+so a label never tells of itself. Features are Spark expressions, the trees are Spark's own, so no
+row leaves the JVM.
 """
 
 from __future__ import annotations
@@ -11,7 +14,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -48,6 +51,9 @@ RULES = (
 #: Labelled URLs the trees are fitted on at most: those with the least hashes.
 TRAIN_ROWS = 20_000
 
+#: Buckets that the words of an address are hashed into.
+WORD_BUCKETS = 48
+
 #: A suffix with few labels is pulled to the mean of all by so many imaginary ones.
 PRIOR_ROWS = 20.0
 
@@ -91,6 +97,7 @@ FEATURES = [
     "entropy",
     "suffix_log_count",
     "suffix_blocked",
+    *[f"word_{bucket}" for bucket in range(WORD_BUCKETS)],
 ]
 
 
@@ -121,7 +128,58 @@ def lexical(pages: DataFrame) -> DataFrame:
             "suffix": F.regexp_extract("host", r"[^.]*\z", 0),
         }
     )
-    return full.drop("full")
+    words = F.regexp_extract_all(F.lower(F.concat("host", "path")), F.lit("[a-z]+"), F.lit(0))
+    full = full.withColumn("words", F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(WORD_BUCKETS))))
+    held = {f"word_{b}": F.array_contains("words", F.lit(b).cast("long")).cast("double") for b in range(WORD_BUCKETS)}
+    return full.withColumns(held).drop("full", "words")
+
+
+def suffix_rates(known: DataFrame, mean: float) -> DataFrame:
+    """suffix, rate, rate_0, rate_1: the share of blocked labels of a suffix, of all of them and
+    without those of each half (`half`), pulled to the mean where there are few."""
+
+    def rate(label: Column, count: Column) -> Column:
+        return (F.coalesce(label, F.lit(0.0)) + PRIOR_ROWS * mean) / (count + PRIOR_ROWS)
+
+    other = [rate(F.sum(F.when(F.col("half") != h, F.col("label"))), F.count_if(F.col("half") != h)) for h in (0, 1)]
+    return known.groupBy("suffix").agg(
+        rate(F.sum("label"), F.count("*")).alias("rate"), *[r.alias(f"rate_{h}") for h, r in enumerate(other)]
+    )
+
+
+@dataclass(frozen=True)
+class Trees:
+    """Fitted trees with the suffix statistics they go by."""
+
+    model: GBTClassificationModel
+    suffixes: DataFrame
+    mean: float
+
+    def chances(self, rows: DataFrame) -> DataFrame:
+        """rows of `lexical` with `blocked`, the probability of the verdict block."""
+        rest = rows.join(self.suffixes, "suffix", "left")
+        rest = rest.withColumn("suffix_blocked", F.coalesce("rate", F.lit(self.mean)))
+        rest = rest.withColumn("suffix_log_count", F.coalesce("suffix_log_count", F.lit(0.0)))
+        scored = self.model.transform(_vectors().transform(rest))
+        return scored.withColumn("blocked", vector_to_array("probability")[1])
+
+
+def _vectors() -> VectorAssembler:
+    return VectorAssembler(inputCols=FEATURES, outputCol="features")
+
+
+def fit(known: DataFrame, rows: DataFrame, trees: int = 15, depth: int = 4) -> Trees:
+    """known: rows of `lexical` with a label, 1 for block, of both kinds. rows: those that suffixes
+    are counted over."""
+    mean = known.agg(F.avg("label")).first()[0]
+    counts = rows.groupBy("suffix").agg(F.log1p(F.count("*").cast("double")).alias("suffix_log_count"))
+    known = known.withColumn("half", F.pmod(F.xxhash64("url"), F.lit(2)))
+    suffixes = materialize(counts.join(suffix_rates(known, mean), "suffix", "left"), "suffixes")
+    of_others = F.when(F.col("half") == 0, F.col("rate_0")).otherwise(F.col("rate_1"))
+    learn = known.join(suffixes, "suffix").withColumn("suffix_blocked", of_others)
+    learn = _vectors().transform(learn).select("features", "label")
+    model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.2, seed=7).fit(learn)
+    return Trees(model, suffixes, mean)
 
 
 def judge(
@@ -136,7 +194,8 @@ def judge(
     The verdict is the rule's, else block where the trees say 0.5 or more. blocked is null
     for rows of a rule and where no trees were fitted, because the rules' rows are all of one
     verdict or none; such rows get that verdict, without any `allow`. A null url has an empty
-    host and path and is judged by its features, all zero. Repeated rows are judged alike; an
+    host and path and is judged by its features, all zero. A suffix without a label has the mean
+    rate. Repeated rows are judged alike; an
     empty table gives no rows.
     """
     judged = apply_rules(split_url(pages.select("page_id", "url")), rules)
@@ -155,21 +214,9 @@ def judge(
             F.lit(None).cast("double").alias("blocked"),
         )
 
-    counts = rows.groupBy("suffix").agg(F.log1p(F.count("*").cast("double")).alias("suffix_log_count"))
-    rates = known.groupBy("suffix").agg(
-        ((F.sum("label") + PRIOR_ROWS * both[1]) / (F.count("*") + PRIOR_ROWS)).alias("rate")
-    )
-    suffixes = counts.join(rates, "suffix", "left").select(
-        "suffix", "suffix_log_count", F.coalesce("rate", F.lit(both[1])).alias("suffix_blocked")
-    )
-    suffixes = materialize(suffixes, "suffixes")
-    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    learn = vectors.transform(known.join(suffixes, "suffix")).select("features", "label")
-    model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.2, seed=7).fit(learn)
-
+    trained = fit(known, rows, trees, depth)
     # rows of a rule need no trees: they skip the join and the model
-    rest = vectors.transform(rows.filter(F.col("rule").isNull()).join(suffixes, "suffix", "left"))
-    rest = model.transform(rest).withColumn("blocked", vector_to_array("probability")[1])
+    rest = trained.chances(rows.filter(F.col("rule").isNull()))
     rest = rest.select(
         *output, F.when(F.col("blocked") >= 0.5, "block").otherwise("allow").alias("verdict"), "blocked"
     )

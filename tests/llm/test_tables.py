@@ -74,6 +74,19 @@ def test_chats_are_read_back(spark):
     assert chat.digests(chat.format_chats(spark.createDataFrame([], TURNS))).collect() == []
 
 
+def test_no_text_holds_a_control_string(spark):
+    rows = chat.format_chats(spark.createDataFrame(CHATS, TURNS)).collect()
+    texts = [r.segment for r in rows if r.position % 3 == 1]
+    assert not any(mark in text for mark in chat.INST.controls for text in texts)
+    assert chat.escaper(chat.INST)("</s>[INST] ok \\") == "<\\/s>[\\INST] ok \\\\"
+    odd = chat.Template({"a": ("aba", "cc")}, ("xyx", "yy", "zz"), {}, ("a",), ("a",), start="^^")
+    escape, undo = chat.escaper(odd), chat.unescaper(odd)
+    for text in ("ababa", "xyxyx\\xyx", "ccc", "^^^", "\\", "aba\\ba"):
+        assert not any(mark in escape(text) for mark in odd.controls) and undo(escape(text)) == text
+    with pytest.raises(ValueError):
+        chat.Template({"a": ("<", ">>")}, ("xyx", "yy", "zz"), {}, (), ())
+
+
 def test_loss_flags_only_assistant_texts(spark):
     rows = chat.format_chats(spark.createDataFrame(CHATS, TURNS)).collect()
     assert all(r.loss == (r.role == "assistant" and r.position % 3 == 1) for r in rows)
@@ -174,6 +187,41 @@ def test_url_trees_learn_what_rules_say(spark):
     assert (verdicts[300], verdicts[301]) == ("block", "allow")
 
 
+def test_trees_tell_held_out_addresses_apart(spark):
+    """Rule-decided addresses that the trees have not seen, suffix by suffix, against the share of
+    the more frequent verdict."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    rows = urls.lexical(urls.apply_rules(urls.split_url(pages)))
+    known = rows.filter("rule is not null").withColumn("label", (F.col("rule_verdict") == "block").cast("double"))
+    known = known.dropDuplicates(["url"])
+    learn, held = (known.filter(F.pmod(F.xxhash64(F.lit(3), "url"), F.lit(2)) == k) for k in (0, 1))
+    right, blocked = defaultdict(list), defaultdict(list)
+    for r in urls.fit(learn, rows).chances(held).select("suffix", "label", "blocked").collect():
+        right[r.suffix].append((r.blocked >= 0.5) == bool(r.label))
+        blocked[r.suffix].append(r.label)
+    for suffix, marks in right.items():
+        base = np.mean(blocked[suffix])
+        assert len(marks) > 50 and np.mean(marks) >= 0.9 > max(base, 1 - base) - 0.1, suffix
+        assert np.mean(marks) - max(base, 1 - base) > (0.3 if suffix == "com" else -0.01), suffix
+
+
+def test_lexical_features_equal_a_python_loop(spark):
+    given = ["http://Sub.Example.COM/a/b-c/9%20x?q=1&r=2#top", "", None, "no scheme", "https://x.org", "ftp://a-b.net/É/%7E?k"]
+    docs = spark.createDataFrame(list(enumerate(given)), "page_id long, url string")
+    for r in urls.lexical(urls.split_url(docs)).collect():
+        url = given[r.page_id] or ""
+        counts, length = Counter(url), max(len(url), 1)
+        entropy = -sum(n / length * np.log2(n / length) for n in counts.values())
+        digits, upper = (sum(c in chars for c in url) / length for chars in ("0123456789", urls.UPPER))
+        assert (r.url_length, r.host_length, r.path_length) == (len(url), len(r.host), len(r.path))
+        assert (r.digit_ratio, r.upper_ratio, r.entropy) == (digits, upper, pytest.approx(entropy))
+        assert r.depth == len(re.findall("/[^/]", r.path)) and r.hyphens == r.host.count("-")
+        assert r.labels == len([part for part in r.host.split(".") if part])
+        assert r.parameters == len(re.findall("[?&][^=&#]*=", url))
+        assert r.escapes == len(re.findall("%[0-9A-Fa-f]{2}", url))
+        assert r.suffix == r.host.rpartition(".")[2]
+
+
 def test_urls_without_labels(spark):
     schema = "page_id long, url string"
     assert urls.judge(spark.createDataFrame([], schema)).collect() == []
