@@ -52,11 +52,26 @@ def _bytes_of_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def _require_applied(file: dict) -> None:
+    """Refuse a file that asks for more than is applied here: byte-level letters, split by PATTERN,
+    neither normalized nor put behind a space, merged in the order of the ids."""
+    model, split = file["model"], file.get("pre_tokenizer") or {}
+    plain = {"dropout": None, "unk_token": None, "byte_fallback": False, "ignore_merges": False}
+    unlike = [name for name, value in plain.items() if model.get(name, value) != value]
+    unlike += [name for name in ("continuing_subword_prefix", "end_of_word_suffix") if model.get(name)]
+    unlike += [name for name in ("normalizer", "truncation", "padding") if file.get(name)]
+    if split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True):
+        unlike.append("pre_tokenizer")
+    if model.get("type", "BPE") != "BPE" or unlike:
+        raise ValueError(f"settings of the tokenizer file that are not applied: {unlike or model.get('type')}")
+
+
 def load_encoding(path: str) -> tiktoken.Encoding:
     """The vocabulary of a byte-level BPE file without its added tokens. Its ids are the order
     of its merges, which is all that is needed to apply them."""
     with open(path, encoding="utf-8") as file:
         model = json.load(file)
+    _require_applied(model)
     special = {token["content"] for token in model.get("added_tokens", [])}
     byte = _bytes_of_letters()
     ranks = {

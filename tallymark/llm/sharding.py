@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallymark.session import scratch
+from tallymark.sources.files import list_names
 from tallymark.sources.tables import materialize
 
 SLOTS = 4096
@@ -148,6 +149,16 @@ def save_version(slot_map: DataFrame, folder: str) -> DataFrame:
     return stored.withColumn("version", F.lit(version))
 
 
+def latest(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The newest stored version of the map, or None where none is stored."""
+    names = [name for name in list_names(spark, folder) if name.startswith("version=")]
+    if not names:
+        return None
+    newest = max(int(name.partition("=")[2]) for name in names)
+    stored = spark.read.schema("vslot long, shard int").parquet(f"{folder}/version={newest}")
+    return stored.withColumn("version", F.lit(newest))
+
+
 def assign(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
     """Rows with shard and slot, their place in the shard, counted from 0 without a gap.
 
@@ -166,19 +177,24 @@ def assign(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
     return numbered.join(parts, ["vslot", "part"]).withColumn("slot", F.col("first") + F.col("place"))
 
 
-def shard(docs: DataFrame, shards: int = 40, slots: int = SLOTS) -> DataFrame:
+def shard(docs: DataFrame, shards: int = 40, slots: int = SLOTS, folder: str | None = None) -> DataFrame:
     """One row per document: doc_id, size, text_crc32, law, shard, slot, grown_shard, vslot.
 
     The law is `bytes`: sizes of shards are near equal (they differ by about the size of a
     small slot, or of one document if that is larger). grown_shard is null under this law.
+    folder holds the versions of the map: the newest one is edited, so that a later and larger table
+    moves only the slots that no longer fit, and the edit is stored as the next. Without a folder, or
+    with an empty one, the map starts anew. Equal texts under one id share a slot of the map.
     A null text has no bytes and the checksum 0; a null doc_id hashes as such. Repeated rows
     are placed one by one. Columns other than doc_id and text are not read; an empty table
     gives no rows, and all shards are empty.
     """
     spark = docs.sparkSession
     rows = records(docs, slots)
-    folder = scratch(spark, "slot-map")
-    current = save_version(first_map(spark, shards, slots), folder)
+    folder = folder or scratch(spark, "slot-map")
+    current = latest(spark, folder)
+    if current is None:
+        current = save_version(first_map(spark, shards, slots), folder)
     sums = materialize(slot_sums(rows), "slot-sums")
     current = save_version(rebalance(current, sums, shards), folder)
     return assign(rows, current).select(

@@ -54,13 +54,20 @@ def record_id(page_id: int | None) -> str:
     return f"<{uuid.uuid5(uuid.NAMESPACE_OID, f'page:{page_id}').urn}>"
 
 
-def _line(value: str) -> str:
-    """A header value on one line."""
-    return value.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A")
+def _target(url: str) -> list[str]:
+    """The target line holds the URL as it is. One with line ends cannot stand on a line: there it
+    has them escaped, and a line of our own says how to get it back."""
+    if "\r" not in url and "\n" not in url:
+        return [f"WARC-Target-URI: {url}"]
+    line = url.replace("\r", "%0D").replace("\n", "%0A")
+    exact = url.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A")
+    return [f"WARC-Target-URI: {line}", f"X-Exact-URI: {exact}"]
 
 
-def _unline(value: str) -> str:
-    return value.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
+def _url(fields: dict[str, str]) -> str | None:
+    if "X-Exact-URI" in fields:
+        return fields["X-Exact-URI"].replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
+    return fields.get("WARC-Target-URI")
 
 
 def encode(page_id, url, payload: bytes, refers_to) -> bytes:
@@ -81,7 +88,7 @@ def encode(page_id, url, payload: bytes, refers_to) -> bytes:
     if page_id is not None:
         lines.append(f"X-Page-Id: {page_id}")
     if url is not None:
-        lines.append(f"WARC-Target-URI: {_line(url)}")
+        lines += _target(url)
     if revisit:
         lines += [
             f"WARC-Profile: {REVISIT}",
@@ -100,7 +107,7 @@ def decode(record: bytes) -> tuple:
     block = rest[: int(fields["Content-Length"])]
     http, _, payload = block.partition(b"\r\n\r\n")
     number = lambda name: int(fields[name]) if name in fields else None
-    url = _unline(fields["WARC-Target-URI"]) if "WARC-Target-URI" in fields else None
+    url = _url(fields)
     said = dict(line.split(": ", 1) for line in http.decode().split("\r\n")[1:])
     size, digest = int(said["Content-Length"]), fields["WARC-Payload-Digest"].removeprefix("sha1:")
     if fields["WARC-Type"] == "response":

@@ -129,6 +129,15 @@ def test_archives_round_trip(spark, tmp_path):
     assert warc.archive_round_trip(pages.limit(0)).collect() == []
 
 
+def test_targets_stand_in_archives_as_they_are():
+    for url in ("http://a/x%20y%0A?q=%25", "http://b/\r\nX-Page-Id: 9", "", "http://c/%0D\n%25"):
+        record = warc.encode(4, url, b"p", None)
+        lines = record.partition(b"\r\n\r\n")[0].decode().split("\r\n")
+        if "\n" not in url:
+            assert f"WARC-Target-URI: {url}" in lines and not any(line.startswith("X-Exact") for line in lines)
+        assert warc.decode(record)[:2] == (4, url)
+
+
 def test_small_payloads_are_never_revisits(spark):
     pages = spark.createDataFrame([(*row, "d", "a") for row in HTML], PAGES)
     refers = {(r.page_id, r.html): r.refers_to for r in warc.revisits(pages, 5).collect()}
@@ -354,6 +363,27 @@ def test_a_new_shard_takes_slots_only_into_itself(spark, documents):
     assert max(loads.values()) < 2 * np.mean(list(loads.values()))
 
 
+def test_the_stored_map_is_edited_as_data_grow(spark, documents, tmp_path):
+    """Three versions: each starts from the one before and moves no more than it has to."""
+    folder, maps = str(tmp_path / "map"), []
+    for share in (30, 60, 100):
+        some = documents.filter(F.pmod(F.xxhash64("doc_id"), F.lit(100)) < share)
+        rows = sharding.shard(some, shards=8, folder=folder).collect()
+        assert len(rows) == some.count()
+        loads = Counter()
+        for r in rows:
+            loads[r.shard] += r.size
+        assert len(loads) == 8
+        newest = sharding.latest(spark, folder)
+        maps.append({r.vslot: r.shard for r in newest.collect()})
+        assert newest.first().version == len(maps)
+        assert all(maps[-1][r.vslot] == r.shard for r in rows)
+    kept = [sum(a[slot] == b[slot] for slot in a) / len(a) for a, b in zip(maps, maps[1:])]
+    assert all(0.9 < share < 1 for share in kept)
+    assert sharding.latest(spark, str(tmp_path / "nowhere")) is None
+
+
+
 # --- neighbours
 
 VECTORS = "vec_id long, embedding array<float>, label int, block string, list string"

@@ -195,6 +195,23 @@ def test_packing_query_has_the_ids_of_the_tokenizer_file(spark, tmp_path):
         assert {tuple(r)[:5] for r in rows} == want and len(rows) == len(want)
 
 
+def test_files_with_other_settings_are_refused(tmp_path):
+    import json
+
+    with open(packing.default_tokenizer(), encoding="utf-8") as file:
+        given = json.load(file)
+    changes = [
+        {"normalizer": {"type": "Lowercase"}},
+        {"pre_tokenizer": given["pre_tokenizer"] | {"add_prefix_space": True}},
+        {"model": given["model"] | {"end_of_word_suffix": "</w>"}},
+    ]
+    for at, change in enumerate(changes):
+        path = tmp_path / f"{at}.json"
+        path.write_text(json.dumps(given | change), encoding="utf-8")
+        with pytest.raises(ValueError, match="not applied"):
+            packing.load_encoding(str(path))
+
+
 def test_packing_awkward_rows_in_many_groups(awkward, no_docs):
     cut = packing.materialize(packing.pieces(awkward, window=64), "cut")
     rows = packing.place(cut, window=64, group_rows=3).collect()
