@@ -69,12 +69,18 @@ def sync_cases(cases: DataFrame, breaks: DataFrame, run_at: Column) -> DataFrame
 
 
 def sync_counts(before: DataFrame, breaks: DataFrame) -> DataFrame:
-    """(current, newly cleared) of a sync."""
-    current = breaks.agg(F.count("*").alias("current_breaks"))
-    open_before = before.where(F.col("system_status") == "OPEN").select("case_id")
-    cleared = open_before.join(breaks.select("case_id"), "case_id", "anti")
-    return current.withColumn(
-        "newly_cleared", cleared.agg(F.count("*").alias("newly_cleared")).scalar()
+    """(current_breaks, newly_cleared, repeated) of a sync, from one grouping by case: breaks,
+    open cases without one, and cases that the feed holds more than once."""
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    was_open = before.where(F.col("system_status") == "OPEN")
+    sides = was_open.select("case_id", one.alias("was_open"), none.alias("now")).unionByName(
+        breaks.select("case_id", none.alias("was_open"), one.alias("now"))
+    )
+    cases = sides.groupBy("case_id").agg(F.sum("was_open").alias("was_open"), F.sum("now").alias("now"))
+    return cases.agg(
+        F.coalesce(F.sum("now"), none).alias("current_breaks"),
+        F.count_if((F.col("was_open") > 0) & (F.col("now") == 0)).alias("newly_cleared"),
+        F.count_if((F.col("now") > 1) & F.col("case_id").isNotNull()).alias("repeated"),
     )
 
 

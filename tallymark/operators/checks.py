@@ -621,9 +621,9 @@ def _required(df: DataFrame, schema: StructType) -> dict[str, Column]:
     }
 
 
-def case_constraint_violations(cases: DataFrame) -> DataFrame:
-    """Rows that must not be published, with the constraint each one breaks."""
-    rules = {
+def case_rules() -> dict[str, Column]:
+    """Conditions under which a case must not be published."""
+    return {
         "case_id_format": ~F.col("case_id").rlike(r"\A[0-9a-f]{64}\z"),
         "amount_not_negative": F.col("amount_ngn_kobo") < 0,
         "exposure_not_negative": F.col("exposure_kobo") < 0,
@@ -632,8 +632,18 @@ def case_constraint_violations(cases: DataFrame) -> DataFrame:
         "analyst_status_known": ~F.col("analyst_status").isin(*ANALYST_STATUSES),
         "decision_has_fingerprint": F.col("analyst_status").isNull()
         != F.col("decided_fingerprint").isNull(),
+        **{f"{field.name}_present": F.col(field.name).isNull() for field in CASE if not field.nullable},
     }
-    return _violations(cases, "case_id", rules | _required(cases, CASE))
+
+
+def case_constraint_violations(cases: DataFrame) -> DataFrame:
+    """Rows that must not be published, with the constraint each one breaks."""
+    return _violations(cases, "case_id", case_rules())
+
+
+def broken_cases() -> Column:
+    """How many rows break a constraint, to be counted while they are written."""
+    return F.count_if(_any([F.coalesce(rule, F.lit(False)) for rule in case_rules().values()]))
 
 
 def action_constraint_violations(actions: DataFrame) -> DataFrame:

@@ -122,7 +122,7 @@ register(
 )
 register(
     "k03_sync_counts",
-    lambda ws: cs.sync_counts(ws.applied().cases, fixtures.second_breaks(ws.recon)),
+    lambda ws: cs.sync_counts(ws.applied().cases, fixtures.second_breaks(ws.recon)).drop("repeated"),
     _sql(
         "select (select count(*) from breaks_two) as current_breaks, (select count(*) from"
         " breaks_one where case_id not in (select case_id from breaks_two)) as newly_cleared"

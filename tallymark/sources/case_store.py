@@ -6,6 +6,10 @@ which only succeeds if nobody else has: then the change starts again from the ne
 So no writer overwrites another's work, a failed change leaves the old state, and the state
 of a case and the actions behind it can never come apart.
 
+The snapshot is a base and the rows that actions have changed since: applying requests reads and
+writes the cases they name, not the table. A sync writes a new base, and so does every
+FOLD_CHANGES-th change.
+
 The log is a set of segments; applying requests adds one and rewrites nothing. Each segment has a
 fingerprint of its rows, which does not care for their order, and the fingerprints are chained by
 digests: the state holds the chain, so whether a segment is still what was appended is seen from
@@ -19,6 +23,7 @@ import json
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -30,13 +35,18 @@ from tallymark.operators.actions import AppliedActions, apply_actions
 from tallymark.schemas import BREAK, CASE, CASE_ACTION, nullable
 from tallymark.sources.files import delete_path
 from tallymark.sources.states import States
+from tallymark.sources.tables import materialize
 
+#: cases, changes: the base of the snapshot and the rows changed since, oldest first.
 #: links: for each segment its rows, the sums of their hashes and the digest of the chain so far.
-EMPTY = {"cases": None, "segments": [], "links": []}
+EMPTY = {"cases": None, "changes": [], "segments": [], "links": []}
 
 #: States kept for readers that still hold an older one, with the snapshots they name.
 KEEP_STATES = 3
 
+#: Changes of a base that readers merge before they are folded into a new one.
+FOLD_CHANGES = 8
+
 
 def _refuse(violations: DataFrame, what: str) -> None:
     found = violations.limit(5).collect()
@@ -88,7 +98,7 @@ class CaseStore:
 
     @staticmethod
     def _files(state: dict) -> list[str]:
-        return [f for f in (state["cases"], *state["segments"]) if f]
+        return [f for f in (state["cases"], *state["changes"], *state["segments"]) if f]
 
     # --- reading
 
@@ -99,7 +109,17 @@ class CaseStore:
         return self.spark.read.schema(nullable(schema)).parquet(*full).select(*schema.names)
 
     def _cases(self, state: dict) -> DataFrame:
-        return self._read([state["cases"]] if state["cases"] else [], CASE)
+        base = self._read([state["cases"]] if state["cases"] else [], CASE)
+        if not state["changes"]:
+            return base
+        parts = [
+            self._read([name], CASE).withColumn("_turn", F.lit(turn)) for turn, name in enumerate(state["changes"])
+        ]
+        newest = reduce(DataFrame.unionByName, parts).groupBy("case_id").agg(
+            F.max_by(F.struct(*CASE.names), "_turn").alias("row")
+        )
+        kept = base.join(newest.select("case_id"), "case_id", "anti")
+        return kept.select(*CASE.names).unionByName(newest.select("row.*"))
 
     def cases(self) -> DataFrame:
         return self._cases(self.states.live()[1])
@@ -120,12 +140,15 @@ class CaseStore:
     # --- writing
 
     def _draft_cases(self, cases: DataFrame) -> str:
-        """Write a new snapshot that nobody reads yet, and check it."""
-        name = f"cases/v={uuid.uuid4().hex}"
-        cases.select(*CASE.names).write.parquet(f"{self.root}/{name}")
+        """Write a new snapshot that nobody reads yet, and check it. Rules on single rows are counted
+        while it is written."""
+        name, seen = f"cases/v={uuid.uuid4().hex}", Observation()
+        counted = cases.select(*CASE.names).observe(seen, ck.broken_cases().alias("broken"))
+        counted.write.parquet(f"{self.root}/{name}")
         written = self._read([name], CASE)
         try:
-            _refuse(ck.case_constraint_violations(written), "case constraint violated")
+            if seen.get["broken"]:
+                _refuse(ck.case_constraint_violations(written), "case constraint violated")
             _refuse(ck.case_key_violations(written), "case key is not unique")
         except ValueError:
             delete_path(self.spark, f"{self.root}/{name}")
@@ -167,14 +190,15 @@ class CaseStore:
     def sync(self, breaks: DataFrame, run_at: Column) -> dict:
         """Reconcile the system columns with the latest breaks."""
         breaks = breaks.select(*BREAK.names)
-        _refuse(ck.check_unique(breaks, "case_id"), "a case occurs twice in the break feed")
 
         def build(state: dict) -> tuple[dict, dict]:
             before = self._cases(state)
             counts = cs.sync_counts(before, breaks).first()
+            if counts["repeated"]:
+                _refuse(ck.check_unique(breaks, "case_id"), "a case occurs twice in the break feed")
             draft = self._draft_cases(cs.sync_cases(before, breaks, run_at))
             done = {"open": counts["current_breaks"], "cleared": counts["newly_cleared"]}
-            return {**state, "cases": draft}, done
+            return {**state, "cases": draft, "changes": []}, done
 
         return self.states.change(build)
 
@@ -184,19 +208,29 @@ class CaseStore:
         return self.sync(cs.break_feed(recon), run_at)
 
     def apply(self, requests: DataFrame) -> AppliedActions:
-        """Apply analyst requests and append the accepted ones to the audit log."""
+        """Apply analyst requests and append the accepted ones to the audit log. Only the cases that
+        requests name are read on, and only those with an accepted action are written; `cases` of
+        the result holds the former."""
 
         def build(state: dict) -> tuple[dict, AppliedActions]:
             cases, log = self._cases(state), self._read(state["segments"], CASE_ACTION)
+            named = requests.select("case_id").distinct()
+            cases = materialize(cases.join(named, "case_id", "semi"), "named-cases")
             applied = apply_actions(cases, requests, log)
             _refuse(ck.action_constraint_violations(applied.recorded), "action constraint violated")
             _refuse(
                 ck.action_key_violations(applied.recorded, cases), "action key constraint violated"
             )
-            draft = self._draft_cases(applied.cases)
             segment, found = self._draft_segment(applied.recorded)
             links = [*state["links"], self._linked(_head(state["links"]), found)]
-            return {"cases": draft, "segments": [*state["segments"], segment], "links": links}, applied
+            after = {**state, "segments": [*state["segments"], segment], "links": links}
+            if found["rows"]:
+                acted = self._read([segment], CASE_ACTION).select("case_id").distinct()
+                changed = self._draft_cases(applied.cases.join(acted, "case_id", "semi"))
+                after["changes"] = [*state["changes"], changed]
+            if len(after["changes"]) >= FOLD_CHANGES:
+                after |= {"cases": self._draft_cases(self._cases(after)), "changes": []}
+            return after, applied
 
         return self.states.change(build)
 

@@ -195,6 +195,30 @@ def test_audit_log_is_append_only(store, spark):
     assert store.actions().count() == 3
 
 
+def test_an_action_writes_the_cases_it_names(store, spark, tmp_path, monkeypatch):
+    from tallymark.sources import case_store as module
+
+    monkeypatch.setattr(module, "FOLD_CHANGES", 3)
+    store.sync(breaks(spark, *[broken(n) for n in range(40)]), stamp(0))
+
+    def written():
+        state = store.states.live()[1]
+        return state["cases"], [spark.read.parquet(f"{store.root}/{name}").count() for name in state["changes"]]
+
+    base, _ = written()
+    store.apply(log(spark, request(1, 7, "ESCALATE")))
+    store.apply(log(spark, request(2, 7, "CLOSE"), request(3, 8, "START_REVIEW"), request(4, 9, "REOPEN")))
+    assert written() == (base, [1, 2])  # the refused request wrote nothing
+    assert [status_of(store, n)[0] for n in (6, 7, 8, 9)] == ["OPEN", "CLOSED", "MANUAL_REVIEW", "OPEN"]
+    assert store.cases().count() == 40 and agree(store)
+    store.apply(log(spark, request(5, 7, "REOPEN")))  # the third change makes a new base
+    folded, changes = written()
+    assert folded != base and changes == [] and store.cases().count() == 40
+    assert [status_of(store, n)[0] for n in (7, 8)] == ["OPEN", "MANUAL_REVIEW"]
+    store.sync(breaks(spark, broken(8, exposure_kobo=1)), stamp(1))
+    assert status_of(store, 8)[0] == "MANUAL_REVIEW" and status_of(store, 7)[0] == "CLEARED"
+
+
 def test_the_log_is_a_chain_of_fingerprints(store, spark, tmp_path, monkeypatch):
     store.sync(breaks(spark, broken(1), broken(2)), stamp(0))
     steps = [request(1, 1, "START_REVIEW"), request(2, 2, "CLOSE"), request(3, 1, "CLOSE")]
