@@ -16,15 +16,16 @@ import time
 
 from pyspark.sql import functions as F
 
-from tallymark.operators import checks, marts, reports, staging
+from tallymark.operators import checks, fingerprints, marts, reports, staging
 from tallymark.operators.actions import apply_actions
 from tallymark.operators.coerce import accepted, coerce
-from tallymark.operators.reconcile import reconcile
+from tallymark.operators.reconcile import reconcile, reconcile_by_reference
 from tallymark.plans import fixtures
 from tallymark.plans.nightly import run, staged_root
 from tallymark.plans.workspace import Workspace
 from tallymark.schemas import TRANSACTION_EVENT
 from tallymark.session import local_session, scratch
+from tallymark.sources.by_reference import write_by_reference
 from tallymark.sources.case_store import CaseStore
 from tallymark.sources.publish import published
 from tallymark.sources.tables import materialize, read_staged
@@ -73,12 +74,21 @@ def main() -> int:
     timed("dedupe_and_collapse", lambda: noop(staging.stage_transactions(raw_tx)))
     timed("fct_settlements", lambda: noop(marts.fct_settlements(stg_stl, stg_tx)))
     timed("reconcile", lambda: noop(reconcile(stg_tx, stg_stl)))
+    layout = timed(
+        "write_by_reference", lambda: write_by_reference(stg_tx, stg_stl, scratch(spark, "by-reference"))
+    )
+    timed("reconcile_by_reference", lambda: noop(reconcile_by_reference(layout)))
+    timed("fct_settlements_by_reference", lambda: noop(marts.fct_settlements_by_reference(layout)))
     timed("merchant_daily", lambda: noop(marts.mart_merchant_daily(stg_tx)))
     timed("channel_performance", lambda: noop(marts.mart_channel_performance(stg_tx)))
     timed("status_breakdown", lambda: noop(reports.reconciliation_breakdown(recon)))
     timed("merchant_health", lambda: noop(reports.merchant_health(recon)))
     timed("oldest_unsettled", lambda: noop(reports.oldest_unsettled(recon)))
     timed("compare_bags", lambda: noop(checks.compare_bags(raw_tx, raw_tx, "event_id")))
+    timed("compare_bags_by_ranges", lambda: noop(fingerprints.differing_ranges(raw_tx, raw_tx, "event_id")))
+    # what a typed read without any check costs on the same messages
+    typed = F.from_json(F.col("value").cast("string"), TRANSACTION_EVENT).alias("record")
+    timed("plain_from_json", lambda: noop(messages.select(typed).select("record.*")))
     stamp = F.lit("2024-01-15 06:00:00")
     timed(
         "coerce_messages",
