@@ -248,10 +248,10 @@ def test_a_batch_adds_a_run_and_reads_no_history(spark, base, tmp_path, monkeypa
 
 
 def test_runs_are_folded_level_by_level(spark, base, tmp_path, monkeypatch):
-    monkeypatch.setattr(live, "FOLD", 3)
+    monkeypatch.setattr(live, "FOLD", 2)
     latest, first = str(tmp_path / "latest"), str(tmp_path / "first")
-    raw = base.raw_transactions().withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(10))).persist()
-    for part in range(10):
+    raw = base.raw_transactions().withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(5))).persist()
+    for part in range(5):
         batch = raw.where(F.col("part") == part).drop("part")
         merge_latest(batch, latest)
         keep_first_deliveries(batch, f"{part}", first)
