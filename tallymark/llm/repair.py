@@ -52,7 +52,7 @@ ROLES = {"u": "user", "a": "assistant"}
 #: Rows parsed over every split; longer runs are joined from blocks, two by two.
 BLOCK = 8
 
-#: Parsed blocks a task remembers before it forgets them all.
+#: Parsed spans a task remembers before it forgets them all.
 REMEMBERED = 50_000
 
 #: Parts of a row's letter: its role initial, then what is wrong with it.
@@ -97,7 +97,7 @@ def insertions() -> Cell:
 INSERTED = insertions()
 
 
-def row_cell(letter: str) -> Cell:
+def row_cell(letter: tuple[str, str]) -> Cell:
     """The cell of one row, given its role initial and fault."""
     initial, fault = letter
     cell: Cell = {(p, p): (COST[DELETE], DELETE) for p in range(4)}
@@ -109,17 +109,23 @@ def row_cell(letter: str) -> Cell:
     return join(join(INSERTED, cell), INSERTED)
 
 
-def parse_block(letters: tuple[str, ...], cells: dict[str, Cell]) -> Cell:
-    """CYK over one block: every span by length, every split of a span."""
-    spans = {(at, at + 1): cells.get(letter) or cells.setdefault(letter, row_cell(letter)) for at, letter in enumerate(letters)}
-    for length in range(2, len(letters) + 1):
+def parse_block(letters: tuple[tuple[str, str], ...], known: dict[tuple, Cell]) -> Cell:
+    """CYK over one block: every span by length, every split of a span. A span's cell depends on
+    its letters alone, so one that `known` has seen, in any conversation, is not built again; known
+    holds all spans of what it holds."""
+    for length in range(1, len(letters) + 1):
         for start in range(len(letters) - length + 1):
-            end = start + length
+            span = letters[start : start + length]
+            if span in known:
+                continue
+            if length == 1:
+                known[span] = row_cell(span[0])
+                continue
             cell: Cell = {}
-            for split in range(start + 1, end):
-                cell = better(cell, join(spans[start, split], spans[split, end]))
-            spans[start, end] = cell
-    return spans[0, len(letters)]
+            for split in range(1, length):
+                cell = better(cell, join(known[span[:split]], known[span[split:]]))
+            known[span] = cell
+    return known[letters]
 
 
 def join_all(cells: list[Cell]) -> Cell:
@@ -131,21 +137,20 @@ def join_all(cells: list[Cell]) -> Cell:
 
 
 class Parser:
-    """Parses letters as they come and remembers blocks it has seen."""
+    """Parses letters as they come and remembers spans it has seen."""
 
     def __init__(self) -> None:
-        self.rows: dict[str, Cell] = {}
-        self.blocks: dict[tuple[str, ...], Cell] = {}
+        self.known: dict[tuple, Cell] = {}
 
-    def block(self, letters: tuple[str, ...]) -> Cell:
-        found = self.blocks.get(letters)
+    def block(self, letters: tuple[tuple[str, str], ...]) -> Cell:
+        found = self.known.get(letters)
         if found is None:
-            if len(self.blocks) >= REMEMBERED:
-                self.blocks.clear()
-            found = self.blocks[letters] = parse_block(letters, self.rows)
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            found = parse_block(letters, self.known)
         return found
 
-    def add(self, spans: list[tuple[int, Cell]], letters: tuple[str, ...]) -> None:
+    def add(self, spans: list[tuple[int, Cell]], letters: tuple[tuple[str, str], ...]) -> None:
         """Spans of equal length at the end are joined at once: a counter in base two."""
         spans.append((1, self.block(letters)))
         while len(spans) > 1 and spans[-1][0] == spans[-2][0]:
