@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.llm.components import components
-from tallymark.llm.text import chunks, map_batches, mix, split_words, text_key, windows, word_hashes
+from tallymark.llm.text import brief_plans, chunks, map_batches, mix, split_words, text_key, windows, word_hashes
 from tallymark.sources.tables import materialize
 
 
@@ -372,8 +372,9 @@ def near_duplicates(
 
 def _placed(docs: DataFrame, percent: int, width: int, bands: int | None, rows: int) -> DataFrame:
     """doc_id, text_key, n_shingles, component (null without words), component_id of each row."""
-    signed = materialize(signatures(docs, width, bands or bands_of(percent, rows), rows), "signatures")
-    labels = link_nodes(docs, signed, percent, width)
+    with brief_plans(docs.sparkSession):
+        signed = materialize(signatures(docs, width, bands or bands_of(percent, rows), rows), "signatures")
+        labels = link_nodes(docs, signed, percent, width)
     narrow = signed.select("doc_id", "text_key", "n_shingles", "node")
     classes = narrow.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("least"))
     classes = classes.join(labels, "node", "left").withColumn(

@@ -176,25 +176,33 @@ def constant_model(probability: float) -> Model:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Mean n-gram counts of labelled texts as (columns, values), sparse."""
+    """Mean n-gram counts of labelled texts, sparse: buckets of words, then of characters, in two
+    bytes each, how many of them are of words, and the values."""
     for batch in batches:
         for part in chunks(batch, "text"):
             texts = pc.fill_null(part.column("text"), "")
             words, starts = split_words(texts)
             groups = _groups(texts, word_hashes(words), starts)
-            columns, values = [], []
+            columns, values, word_buckets = [], [], []
             for row in range(len(texts)):
                 own_columns, own_values = [], []
-                for group, grams in enumerate(groups):
+                for grams in groups:
                     own = np.concatenate([b[s[row] : s[row + 1]] for b, s in grams])
                     buckets, counts = np.unique(own, return_counts=True)
-                    own_columns.append(buckets.astype(np.int32) + (group << BITS))
+                    own_columns.append(buckets.astype(np.uint16))
                     own_values.append((counts / max(len(own), 1)).astype(np.float32))
+                word_buckets.append(len(own_columns[0]))
                 columns.append(np.concatenate(own_columns).tobytes())
                 values.append(np.concatenate(own_values).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [part.column("order"), part.column("label"), pa.array(columns, pa.binary()), pa.array(values, pa.binary())],
-                names=["order", "label", "columns", "values"],
+                [
+                    part.column("order"),
+                    part.column("label"),
+                    pa.array(word_buckets, pa.int32()),
+                    pa.array(columns, pa.binary()),
+                    pa.array(values, pa.binary()),
+                ],
+                names=["order", "label", "word_buckets", "columns", "values"],
             )
 
 
@@ -231,25 +239,34 @@ def _cuts(ends: np.ndarray) -> list[tuple[int, int]]:
 
 
 def fit_rows(rows: list[tuple], rounds: int = 150, ridge: float = 1e-7, rate: float = 0.5) -> Model:
-    """rows: (order, label, columns, values). Every fourth row calibrates."""
+    """rows: (order, label, word buckets, columns, values), the last two as arrays. Every fourth row
+    calibrates."""
     rows = sorted(rows, key=lambda r: r[0])
     labels = np.array([float(r[1]) for r in rows])
     if not len(rows) or labels.min() == labels.max():
         return constant_model(float(labels.mean()) if len(rows) else 1.0)
     held = np.arange(len(rows)) % 4 == 3
-    ends = np.cumsum([0, *(len(r[2]) // 4 for r in rows)])
-    cols = np.concatenate([np.frombuffer(r[2], np.int32) for r in rows])
-    vals = np.concatenate([np.frombuffer(r[3], np.float32) for r in rows])
+    words = np.array([r[2] for r in rows])
+    sizes = np.array([len(r[3]) for r in rows])
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    cols = np.concatenate([r[3] for r in rows])
+    vals = np.concatenate([r[4] for r in rows])
     del rows  # the driver holds the features once
     size, count = 2 << BITS, len(labels)
     cuts = _cuts(ends)
 
+    def columns_of(start: int, end: int) -> np.ndarray:
+        """Columns of some rows: buckets of characters lie behind those of words."""
+        lengths = np.stack([words[start:end], sizes[start:end] - words[start:end]], 1).reshape(-1)
+        first = np.repeat(np.tile([0, 1 << BITS], end - start), lengths)
+        return cols[ends[start] : ends[end]] + first
+
     def logits_of(weights: np.ndarray, constant: float) -> np.ndarray:
         out = np.full(count, constant)
         for start, end in cuts:
             held_here = slice(ends[start], ends[end])
             owner = np.repeat(np.arange(end - start), np.diff(ends[start : end + 1]))
-            part = vals[held_here] * weights[cols[held_here]]
+            part = vals[held_here] * weights[columns_of(start, end)]
             out[start:end] += np.bincount(owner, weights=part, minlength=end - start)
         return out
 
@@ -265,7 +282,7 @@ def fit_rows(rows: list[tuple], rounds: int = 150, ridge: float = 1e-7, rate: fl
         for start, end in cuts:
             held_here = slice(ends[start], ends[end])
             each = np.repeat(error[start:end], np.diff(ends[start : end + 1]))
-            slope[:-1] += np.bincount(cols[held_here], weights=vals[held_here] * each, minlength=size)
+            slope[:-1] += np.bincount(columns_of(start, end), weights=vals[held_here] * each, minlength=size)
         first = 0.9 * first + 0.1 * slope
         second = 0.99 * second + 0.01 * slope**2
         move = rate * (first / (1 - 0.9**turn)) / (np.sqrt(second / (1 - 0.99**turn)) + 1e-8)
@@ -295,9 +312,25 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     chosen = F.broadcast(materialize(chosen, "labelled"))  # at most `rows` rows
     texts = keyed.join(chosen, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key", "label"])
     texts = texts.select(order.alias("order"), "label", "text")
-    schema = "order long, label double, columns binary, values binary"
+    schema = "order long, label double, word_buckets int, columns binary, values binary"
     found = map_batches(texts, _features, schema).toArrow()
-    return fit_rows(list(zip(*(column.to_pylist() for column in found.columns))))
+    model = fit_rows(_views(found))
+    del found
+    pa.default_memory_pool().release_unused()
+    return model
+
+
+def _views(found: pa.Table) -> list[tuple]:
+    """Rows of a table of features whose arrays lie in the table's own memory."""
+    rows = []
+    for batch in found.to_batches():
+        plain = zip(*(batch.column(name).to_pylist() for name in ("order", "label", "word_buckets")))
+        arrays = [
+            [np.frombuffer(value.as_buffer(), kind) for value in batch.column(name)]
+            for name, kind in (("columns", np.uint16), ("values", np.float32))
+        ]
+        rows += [(*row, *own) for row, *own in zip(plain, *arrays)]
+    return rows
 
 
 # --- tables

@@ -7,12 +7,13 @@ split and coded by Arrow's kernels, so Python touches each distinct word of a ba
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -89,6 +90,19 @@ def map_batches(df: DataFrame, function, schema: str | StructType) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
+@contextmanager
+def brief_plans(spark: SparkSession) -> Iterator[None]:
+    """Within, the driver keeps the beginnings of plan texts only. Steps that are repeated until
+    nothing changes run hundreds of plans, and the driver remembers a text of each."""
+    name = "spark.sql.maxPlanStringLength"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "2000")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
 def text_key(column: str = "text"):
     """Tells texts of one doc_id apart without carrying them."""
     return F.xxhash64(F.col(column))
