@@ -295,14 +295,10 @@ def fit_rows(rows: list[tuple], rounds: int = 150, ridge: float = 1e-7, rate: fl
     return Model(weights.reshape(2, -1).astype(np.float32), float(constant), slope, shift)
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
-    """Fits the classifier on the labelled rows of docs. labels: doc_id, quality (0 or 1).
-
-    At most `rows` rows, different in (doc_id, label, text), are used: those with the least
-    hashes. Their sparse features go to the driver, where the weights are fitted; a doc_id that
-    many rows share, or one text of it that comes often, adds no more than its part of the bound.
-    Null ids, null labels and ids that docs lacks teach nothing. Without both kinds of labels the
-    probability is their share (1 where there are none, or no rows)."""
+def labelled_features(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
+    """Features of at most `rows` labelled rows, different in (doc_id, label, text): those with the
+    least hashes. A doc_id that many rows share, or one text of it that comes often, adds no more
+    than its part of the bound. Null ids, null labels and ids that docs lacks teach nothing."""
     known = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     known = known.select("doc_id", F.col("quality").cast("double").alias("label")).distinct()
     keyed = docs.select("doc_id", text_key().alias("text_key"), "text")
@@ -313,24 +309,40 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     texts = keyed.join(chosen, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key", "label"])
     texts = texts.select(order.alias("order"), "label", "text")
     schema = "order long, label double, word_buckets int, columns binary, values binary"
-    found = map_batches(texts, _features, schema).toArrow()
-    model = fit_rows(_views(found))
-    del found
-    pa.default_memory_pool().release_unused()
-    return model
-
-
-def _views(found: pa.Table) -> list[tuple]:
-    """Rows of a table of features whose arrays lie in the table's own memory."""
-    rows = []
-    for batch in found.to_batches():
-        plain = zip(*(batch.column(name).to_pylist() for name in ("order", "label", "word_buckets")))
-        arrays = [
-            [np.frombuffer(value.as_buffer(), kind) for value in batch.column(name)]
-            for name, kind in (("columns", np.uint16), ("values", np.float32))
-        ]
-        rows += [(*row, *own) for row, *own in zip(plain, *arrays)]
-    return rows
+    return map_batches(texts, _features, schema)
+
+
+def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
+    """Fits the classifier on the labelled rows of docs. labels: doc_id, quality (0 or 1).
+
+    At most `rows` rows are used, see `labelled_features`. Being bounded they meet in one task,
+    which fits the weights; the driver gets the model alone. Without both kinds of labels the
+    probability is their share (1 where there are none, or no rows)."""
+    features = labelled_features(docs, labels, rows).repartition(1)
+    schema = "weights binary, constant double, slope double, shift double"
+    found = map_batches(features, _fit_task, schema).collect()  # one row, or none
+    if not found:
+        return fit_rows([])
+    weights = np.frombuffer(found[0].weights, np.float32).reshape(2, -1)
+    return Model(weights, found[0].constant, found[0].slope, found[0].shift)
+
+
+def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    model = fit_rows([row for batch in batches for row in _views(batch)])
+    row = (model.weights.astype(np.float32).tobytes(), model.constant, model.slope, model.shift)
+    types = [pa.binary(), pa.float64(), pa.float64(), pa.float64()]
+    columns = [pa.array([value], kind) for value, kind in zip(row, types)]
+    yield pa.RecordBatch.from_arrays(columns, names=["weights", "constant", "slope", "shift"])
+
+
+def _views(batch: pa.RecordBatch) -> list[tuple]:
+    """Rows of features whose arrays lie in the batch's own memory."""
+    plain = zip(*(batch.column(name).to_pylist() for name in ("order", "label", "word_buckets")))
+    arrays = [
+        [np.frombuffer(value.as_buffer(), kind) for value in batch.column(name)]
+        for name, kind in (("columns", np.uint16), ("values", np.float32))
+    ]
+    return [(*row, *own) for row, *own in zip(plain, *arrays)]
 
 
 # --- tables

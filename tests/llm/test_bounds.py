@@ -16,25 +16,26 @@ SF = "/root/testdata/sf0.001"
 # --- quality
 
 
-def test_fitting_takes_bounded_rows_of_a_hot_id(spark, monkeypatch):
+def test_fitting_takes_bounded_rows_of_a_hot_id(spark):
     good = [(n, f"sound text number {n} " * 20) for n in range(40)]
     hot = [(7, f"version {n} of the text of one id " * 10) for n in range(300)]
     again = [(8, "one row many times over " * 10)] * 300
     docs = spark.createDataFrame([*good, *hot, *again], "doc_id long, text string")
     labels = spark.createDataFrame([(n, n % 2) for n in range(40)], "doc_id long, quality int")
-    seen = []
-    monkeypatch.setattr(quality, "fit_rows", lambda rows: seen.append(rows) or quality.constant_model(0.5))
-    quality.fit(docs, labels, rows=30)
-    quality.fit(docs, labels, rows=100_000)
-    assert [len(rows) for rows in seen] == [30, 40 + 300 + 1]
+    assert quality.labelled_features(docs, labels, rows=30).count() == 30
+    assert quality.labelled_features(docs, labels, rows=100_000).count() == 40 + 300 + 1
 
 
 def test_features_in_slices_fit_the_same_model(spark, documents, monkeypatch):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
-    whole = quality.fit(documents, labels)
+    found = quality.labelled_features(documents, labels).toArrow()
+    rows = [row for batch in found.to_batches() for row in quality._views(batch)]
+    whole, fitted = quality.fit_rows(rows), quality.fit(documents, labels)
     monkeypatch.setattr(quality, "FIT_CHUNK", 3_000)
-    sliced = quality.fit(documents, labels)
-    assert abs(whole.weights - sliced.weights).max() < 1e-3 and abs(whole.constant - sliced.constant) < 1e-3
+    sliced = quality.fit_rows(rows)
+    for other in (sliced, fitted):
+        assert abs(whole.weights - other.weights).max() < 1e-3 and abs(whole.constant - other.constant) < 1e-3
+        assert abs(whole.slope - other.slope) < 1e-3 and abs(whole.shift - other.shift) < 1e-3
 
 
 # --- language
