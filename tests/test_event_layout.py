@@ -54,3 +54,19 @@ def test_orders_without_key_or_lines(spark):
     assert events.where(F.col("transaction_ref").isNull()).count() > 0
     lines = fixtures.settlement_events(orders, lineitem, 3)
     assert [r[0] for r in lines.select("transaction_ref").collect()] == ["TX_0000000001"] * 2
+
+
+def test_events_are_made_in_one_step(base):
+    plan = base.raw_transactions()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate explode") == 1
+
+
+def test_queue_ranges_follow_cases(spark, base, monkeypatch):
+    from tallymark.plans import workspace
+
+    cases = base.effective()
+    size = max(1, cases.count() // 9)
+    monkeypatch.setattr(workspace, "RANGE_CASES", size)
+    ws = workspace.Workspace(spark, base.sf_dir, False)
+    monkeypatch.setattr(ws, "effective", lambda: cases)
+    assert len(ws.queue()._live()["ranges"]) >= 9
