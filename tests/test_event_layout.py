@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tallymark.operators import staging
+from tallymark.operators import checks, marts, staging
+from tallymark.operators import reconcile as rc
 from tallymark.plans import fixtures
 
 
@@ -70,3 +71,17 @@ def test_queue_ranges_follow_cases(spark, base, monkeypatch):
     ws = workspace.Workspace(spark, base.sf_dir, False)
     monkeypatch.setattr(ws, "effective", lambda: cases)
     assert len(ws.queue()._live()["ranges"]) >= 9
+
+
+@pytest.mark.parametrize("kind", ["base", "faulty"])
+def test_staged_tables_stay_where_events_were_made(kind, request, no_broadcast):
+    ws = request.getfixturevalue(kind)
+    charges, lines = ws.stg_transactions(), ws.stg_settlements()
+    for table in (charges, lines, ws.fct_stl):
+        assert len(table.inputFiles()) == ws.tasks()
+    assert not exchanges(marts.fct_settlements(lines, charges))
+    mart = rc.reconcile(charges, lines)
+    assert not [line for line in exchanges(mart) if "hashpartitioning" in line]
+    # the reversed charges move, the lines don't
+    expected = exchanges(checks.expected_mart_rows(charges, lines))
+    assert not [line for line in expected if "hashpartitioning" in line]
