@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tallymark.operators import checks, marts, staging
 from tallymark.operators import reconcile as rc
+from tallymark.operators.actions import states_before
 from tallymark.plans import fixtures
 
 
@@ -85,3 +86,33 @@ def test_staged_tables_stay_where_events_were_made(kind, request, no_broadcast):
     # the reversed charges move, the lines don't
     expected = exchanges(checks.expected_mart_rows(charges, lines))
     assert not [line for line in expected if "hashpartitioning" in line]
+
+
+def test_cases_with_few_actions_move_once(spark):
+    moves = spark.range(600).selectExpr(
+        "concat('c', id % 200) as case_id",
+        "id * 1000000 as action_id",
+        "0 as start",
+        "array(1, 2, 3, 4, 0) as move",
+        "named_struct('tag', id) as payload",
+    )
+    states = states_before(moves)
+    assert len(exchanges(states)) == 1
+    assert {(r["payload"]["tag"] // 200, r["state"]) for r in states.collect()} == {(0, 0), (1, 1), (2, 2)}
+
+
+def test_short_and_long_cases_in_one_log(spark):
+    moves = spark.range(100).selectExpr(
+        "if(id < 40, 'long', concat('c', id % 30)) as case_id",
+        "id as action_id",
+        "0 as start",
+        "array(1, 2, 3, 4, 0) as move",
+        "named_struct('tag', id) as payload",
+    )
+    got = {(r["case_id"], r["action_id"]): r["state"] for r in states_before(moves, fan=8).collect()}
+    seen, want = {}, {}
+    for row in sorted(moves.collect(), key=lambda r: r["action_id"]):
+        at = seen.get(row["case_id"], 0)
+        want[row["case_id"], row["action_id"]] = at % 5
+        seen[row["case_id"]] = at + 1
+    assert got == want
