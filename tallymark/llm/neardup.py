@@ -18,7 +18,7 @@
    members become hubs, in growing numbers, until every two of a group are in one component,
    were compared, or differ too much in size.
 
-Links are joined to components by joins (`components`). Nothing is collected to the driver.
+Links are joined to components by joins (`stars`). Nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymark.llm.components import components
+from tallymark.llm.components import stars
 from tallymark.llm.text import brief_plans, chunks, map_batches, mix, split_words, text_key, windows, word_hashes
 from tallymark.sources.tables import materialize
 
@@ -204,14 +204,6 @@ class _Matcher:
         reached = F.col("shared") * 100 >= F.lit(self.percent) * F.col("total")
         return compared.filter(reached).select(F.col("a").alias("node"), F.col("b").alias("other"))
 
-    def links(self) -> DataFrame:
-        """All pairs so far that reach the similarity."""
-        found = [self.near(known) for known in self.known]
-        total = found[0]
-        for more in found[1:]:
-            total = total.unionByName(more)
-        return total
-
 
 def _size_fits(percent: int):
     """Sets whose sizes differ more than this can't reach the similarity."""
@@ -234,13 +226,15 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members with their component, in groups that hold more than one component."""
+    """Members with their component, in groups that hold more than one component, and how many
+    members of the group have not been hubs (`done`, where there is that column)."""
     labelled = _labelled(members, labels)
+    waiting = F.count_if(~F.col("done")) if "done" in members.columns else F.count("*")
     mixed = (
         labelled.groupBy("bucket")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), waiting.alias("waiting"))
         .filter(F.col("low") != F.col("high"))
-        .select("bucket")
+        .select("bucket", "waiting")
     )
     return labelled.join(mixed, "bucket")
 
@@ -272,7 +266,9 @@ def _settle(rest: DataFrame, match: _Matcher, labels: DataFrame) -> DataFrame:
         state = materialize(_unsettled(rest, labels), "unsettled")
         order = F.xxhash64("node", "bucket")
         waiting = state.filter(~F.col("done")).withColumn("order", order)
-        hubs = waiting.groupBy("bucket", F.pmod("order", F.lit(allowed)).alias("slot")).agg(
+        # a group with no more members than hubs it may get has them all as hubs at once
+        slot = F.when(F.col("waiting") > allowed, F.pmod("order", F.lit(allowed))).otherwise(F.col("order"))
+        hubs = waiting.groupBy("bucket", slot.alias("slot")).agg(
             F.min(F.struct("order", "node", "size", "place", "component")).alias("h")
         )
         hubs = hubs.select(
@@ -290,8 +286,11 @@ def _settle(rest: DataFrame, match: _Matcher, labels: DataFrame) -> DataFrame:
             (F.col("component") != F.col("b_component")) & _place_fits(match.percent)
         )
         found = match(pairs.select(F.greatest("x", "b").alias("a"), F.least("x", "b").alias("b")), "rest")
-        if not match.near(found).isEmpty():
-            labels = materialize(components(match.links()), "labels")
+        near = match.near(found)
+        if not near.isEmpty():
+            # the labels stand for all links before
+            before = labels.select("node", F.col("component").alias("other"))
+            labels = stars(before.unionByName(near))
         used = hubs.select("bucket", F.col("b").alias("node"), F.lit(True).alias("used"))
         rest = state.select("bucket", "node", "size", "place", "done").join(used, ["bucket", "node"], "left")
         rest = rest.select(
@@ -301,7 +300,8 @@ def _settle(rest: DataFrame, match: _Matcher, labels: DataFrame) -> DataFrame:
 
 
 def link_nodes(docs: DataFrame, signed: DataFrame, percent: int, width: int) -> DataFrame:
-    """(node, component) of all nodes that have a link. signed: a table as of `signatures`."""
+    """(node, component) of all nodes that links lead on from to a lesser one; the others are
+    components of their own name. signed: a table as of `signatures`."""
     real = signed.filter(F.col("node").isNotNull())
     classes = real.groupBy("node").agg(
         F.min(F.struct("doc_id", "text_key")).alias("first"), F.max("n_shingles").alias("size")
@@ -335,8 +335,8 @@ def link_nodes(docs: DataFrame, signed: DataFrame, percent: int, width: int) ->
     match = _Matcher(sets, percent)
     star = members.filter(F.col("node") != F.col("hub"))
     star = star.withColumn("a_size", F.col("size")).filter(_size_fits(percent))
-    match(star.select(F.col("node").alias("a"), F.col("hub").alias("b")), "star")
-    labels = materialize(components(match.links()), "labels")
+    compared = match(star.select(F.col("node").alias("a"), F.col("hub").alias("b")), "star")
+    labels = stars(match.near(compared))
 
     open_nodes = _unsettled(members.select("bucket", "node"), labels).select("node").distinct()
     rest = materialize(_prefix_groups(open_nodes, sets, percent), "rest")

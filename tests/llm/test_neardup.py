@@ -142,3 +142,18 @@ def test_components_of_a_chain_and_a_star(spark):
     draw.shuffle(chain)
     got = dict(components(spark.createDataFrame(chain, "node long, other long")).collect())
     assert got == {i: 0 for i in range(61)} | {i: 100 for i in range(100, 160)}
+
+
+def test_stars_end_without_a_round_that_changes_nothing(spark, monkeypatch):
+    """A star is known as one after the first round, and no step reads its input twice."""
+    from tallymark.llm import components as module
+
+    rounds = []
+    real = module._small_star
+    monkeypatch.setattr(module, "_small_star", lambda links: rounds.append(1) or real(links))
+    links = spark.createDataFrame([(n, 0) for n in range(1, 50)], "node long, other long")
+    assert {tuple(r) for r in module.components(links).collect()} == {(n, 0) for n in range(50)}
+    assert len(rounds) == 1
+    assert {tuple(r) for r in module.stars(links).collect()} == {(n, 0) for n in range(1, 50)}
+    chain = spark.createDataFrame([(n, n + 1) for n in range(40)], "node long, other long")
+    assert {tuple(r) for r in module.components(chain).collect()} == {(n, 0) for n in range(41)}
